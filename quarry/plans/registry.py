@@ -8,6 +8,7 @@ from quarry.plans import catalog
 
 _MODULES = [
     "quarry.plans.q_retrieval",
+    "quarry.plans.q_answer",
 ]
 
 
@@ -28,4 +29,4 @@ def all_oracles():
 
 def flagship(spark, sf_dir):
     _load()
-    return catalog.QUERIES["knn_exact"](spark, sf_dir)
+    return catalog.QUERIES["answer_pipeline"](spark, sf_dir)

@@ -29,3 +29,80 @@ JUDGE = """judge AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def q(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def lst(values) -> str:
+    return "[" + ", ".join(q(v) for v in values) + "]::VARCHAR[]"
+
+
+def scope_case(groups, col: str) -> str:
+    """G1 twin: label of the first group with a keyword contained in ``col``."""
+    whens = " ".join(
+        f"WHEN {' OR '.join(f'contains({col}, {q(k)})' for k in kws)} THEN {q(lab)}" for lab, kws in groups)
+    return f"(CASE {whens} ELSE NULL END)"
+
+
+def keyword_bonus(question: str, content: str, words) -> str:
+    """R7 twin."""
+    from quarry.functions.text import ARTICLE_REF, WS_CLASS
+    lq, lc = f"lower({question})", f"lower({content})"
+    nw = f"len(list_filter({lst(words)}, lambda w: contains({lq}, w) AND contains({lc}, w)))"
+    arts = f"len(list_filter(regexp_extract_all({question}, {q(ARTICLE_REF)}), lambda a: contains({lc}, a)))"
+    qw = (f"len(list_filter(regexp_split_to_array({lq}, {q(WS_CLASS + '+')}), "
+          f"lambda w: length(w) >= 2 AND contains({lc}, w)))")
+    return f"(-0.5 * {nw} - CASE WHEN {nw} >= 2 THEN 0.5 ELSE 0.0 END - 2.0 * {arts} - 0.3 * {qw})"
+
+
+def quotas(k: int):
+    sk = max(4, k // 2 + 1)
+    return sk, k - sk + 2
+
+
+def hybrid_ctes(k: int, words, pool: str = "pool", qtab: str = "inq", sfx: str = "") -> list[str]:
+    """R4-R9 twin for final size k over a pool (qid, ord, doc_id, type, domain, distance, rk).
+    Produces CTE ``m{k}{sfx}`` (qid, doc_id, type, domain, distance, pos)."""
+    sk, ck = quotas(k)
+    n = f"{k}{sfx}"
+    return [
+        f"""cand{n} AS (
+  SELECT qid, doc_id, min(distance) AS distance, first(type) AS type, first(domain) AS domain FROM {pool}
+  WHERE (type = 'statute' AND rk <= {2 * sk}) OR (type = 'case' AND ord = 0 AND rk <= {2 * ck})
+  GROUP BY qid, doc_id)""",
+        f"""sc{n} AS (
+  SELECT c.*, CASE WHEN c.type = 'statute' THEN c.distance + {keyword_bonus('q.question', 'd.content', words)}
+              ELSE c.distance END AS kscore
+  FROM cand{n} c JOIN corpus d ON c.doc_id = d.doc_id JOIN {qtab} q ON c.qid = q.qid)""",
+        f"""br{n} AS (
+  SELECT * FROM (SELECT *, 0 AS branch, row_number() OVER (PARTITION BY qid ORDER BY kscore, distance, doc_id) AS brk
+                 FROM sc{n} WHERE type = 'statute') WHERE brk <= {sk}
+  UNION ALL
+  SELECT * FROM (SELECT *, 1 AS branch, row_number() OVER (PARTITION BY qid ORDER BY distance, doc_id) AS brk
+                 FROM sc{n} WHERE type = 'case') WHERE brk <= {ck})""",
+        f"""mm{n} AS (
+  SELECT qid, doc_id, type, domain, distance, kscore, pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY qid ORDER BY branch, brk) AS pos FROM br{n}) WHERE pos <= {k})""",
+        f"""m{n} AS (
+  SELECT * FROM mm{n}
+  UNION ALL
+  SELECT qid, doc_id, type, domain, distance, distance AS kscore, pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, doc_id) AS pos FROM (
+      SELECT qid, doc_id, min(distance) AS distance, first(type) AS type, first(domain) AS domain
+      FROM {pool} WHERE ord = 0 GROUP BY qid, doc_id))
+  WHERE pos <= {k} AND qid IN (SELECT qid FROM {qtab}) AND qid NOT IN (SELECT qid FROM mm{n}))""",
+    ]
+
+
+def pool_cte(fetch: int, qtab: str = "inq") -> str:
+    """R1/R4 twin: per (qid, ord, domain, type) top ``fetch`` of the original question vector."""
+    return f"""pool AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY qid, ord, domain, type ORDER BY distance, doc_id) AS rk FROM (
+      SELECT q.qid, 0 AS ord, c.doc_id, c.type, c.domain,
+             list_sum(list_transform(list_zip(q.qvec, c.embedding), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS distance
+      FROM {qtab} q, corpus c WHERE c.doc_id <> q.qid))
+  WHERE rk <= {fetch})"""
