@@ -53,20 +53,23 @@ def rerank_policy(docs_k16: DataFrame, docs_k8: DataFrame, judge: DataFrame,
     keep the relevant of the top ``top_k``; fewer than ``top_k`` survivors -> the k=8 hybrid
     result.  Questions with <= ``min_docs`` docs keep their first ``final_k``.
 
+    Branches are tagged (0 reranked, 1 redo at k=8, 2 short list) and per question the first
+    present branch wins — windows instead of semi/anti joins.
     Returns (qid, doc_id, type, domain, distance, pos) with pos 1..n in final order."""
-    n = docs_k16.groupBy("qid").agg(F.count("*").alias("_n"))
-    big = docs_k16.join(n, "qid").where(F.col("_n") > min_docs).drop("_n")
-    rr = judge_rerank(big.where(F.col("pos") <= pool_size), judge, top_k=top_k)
-    surv = rr.where(F.col("is_relevant"))
-    ns = surv.groupBy("qid").agg(F.count("*").alias("_ns"))
-    ok = ns.where(F.col("_ns") >= top_k).select("qid")
-    kept = surv.join(ok, "qid", "left_semi").withColumn("pos", F.col("rpos"))
-    redo_q = n.where(F.col("_n") > min_docs).select("qid").join(ok, "qid", "left_anti")
-    redo = docs_k8.join(redo_q, "qid", "left_semi")
-    small_q = n.where(F.col("_n") <= min_docs).select("qid")
-    small = docs_k16.join(small_q, "qid", "left_semi").where(F.col("pos") <= final_k)
+    w = Window.partitionBy("qid")
     cols = ["qid", "doc_id", "type", "domain", "distance", "pos"]
-    return kept.select(*cols).unionByName(redo.select(*cols)).unionByName(small.select(*cols))
+    d16 = docs_k16.withColumn("_n", F.count("*").over(w))
+    rr = judge_rerank(d16.where((F.col("_n") > min_docs) & (F.col("pos") <= pool_size)), judge, top_k=top_k)
+    surv = rr.where(F.col("is_relevant")).withColumn("_ns", F.count("*").over(w))
+    kept = surv.where(F.col("_ns") >= top_k).withColumn("pos", F.col("rpos")).select(*cols) \
+        .withColumn("_b", F.lit(0))
+    n16 = docs_k16.groupBy("qid").agg(F.count("*").alias("_n"))
+    redo = docs_k8.join(n16.where(F.col("_n") > min_docs), "qid", "left_semi").select(*cols) \
+        .withColumn("_b", F.lit(1))
+    short = d16.where((F.col("_n") <= min_docs) & (F.col("pos") <= final_k)).select(*cols) \
+        .withColumn("_b", F.lit(2))
+    u = kept.unionByName(redo).unionByName(short)
+    return u.withColumn("_m", F.min("_b").over(w)).where(F.col("_b") == F.col("_m")).select(*cols)
 
 
 def doc_stats(docs: DataFrame) -> DataFrame:

@@ -63,30 +63,45 @@ def attach(small: DataFrame, corpus: DataFrame, cols, on: str = "doc_id", est_ro
     return small.join(right, on, "inner")
 
 
-def keyword_bonus(question, content, words, article_ref: str = ARTICLE_REF) -> F.Column:
-    """Bonus (<= 0) added to a statute's distance.
-
-    -0.5 per lexicon word found in both lowered question and lowered content, -0.5 more
-    when >= 2 such words; -2.0 per article reference occurrence of the question found in
-    the content; -0.3 per whitespace word (length >= 2) of the lowered question found in it.
-    """
-    lq, lc = F.lower(question), F.lower(content)
-    n_words = F.size(F.filter(lit_array(words), lambda w: (F.instr(lq, w) > 0) & (F.instr(lc, w) > 0)))
-    arts = F.size(F.filter(F.regexp_extract_all(question, F.lit(article_ref), 0), lambda a: F.instr(lc, a) > 0))
-    qwords = F.size(F.filter(ws_words(lq), lambda w: (F.length(w) >= 2) & (F.instr(lc, w) > 0)))
+def question_features(questions: DataFrame, words, text_col: str = "question",
+                      article_ref: str = ARTICLE_REF) -> DataFrame:
+    """R7, question side (computed once per question, not per candidate):
+    qlex = lexicon words in the lowered question, qarts = article references (with repeats),
+    qwords = lowered whitespace words of length >= 2 (with repeats)."""
+    lq = F.lower(F.col(text_col))
+    return questions.select(
+        "qid",
+        F.filter(lit_array(words), lambda w: F.instr(lq, w) > 0).alias("qlex"),
+        F.regexp_extract_all(F.col(text_col), F.lit(article_ref), 0).alias("qarts"),
+        F.filter(ws_words(lq), lambda w: F.length(w) >= 2).alias("qwords"))
+
+
+def keyword_bonus(lc) -> F.Column:
+    """Bonus (<= 0) added to a statute's distance, from question features and the lowered
+    content ``lc``: -0.5 per lexicon word in both, -0.5 more when >= 2 such words; -2.0 per
+    article reference occurrence found in the content; -0.3 per question word found in it."""
+    n_words = F.size(F.filter("qlex", lambda w: F.instr(lc, w) > 0))
+    arts = F.size(F.filter("qarts", lambda a: F.instr(lc, a) > 0))
+    qwords = F.size(F.filter("qwords", lambda w: F.instr(lc, w) > 0))
     return (-0.5 * n_words - F.when(n_words >= 2, F.lit(0.5)).otherwise(F.lit(0.0))
             - 2.0 * arts - 0.3 * qwords)
 
 
-def keyword_rerank(cands: DataFrame, questions: DataFrame, corpus: DataFrame, words,
-                   est_rows: int | None = None) -> DataFrame:
+def keyword_bonus_table(cands: DataFrame, questions: DataFrame, corpus: DataFrame, words,
+                        est_rows: int | None = None) -> DataFrame:
+    """(qid, doc_id, bonus) for every candidate statute (cases get no bonus)."""
+    st = cands.where(F.col("type") == "statute").select("qid", "doc_id").distinct()
+    withdoc = attach(st, corpus, ["content"], est_rows=est_rows).withColumn("lc", F.lower("content"))
+    feats = question_features(questions, words)
+    j = withdoc.join(F.broadcast(feats) if est_rows is not None else feats, "qid")
+    return j.select("qid", "doc_id", keyword_bonus(F.col("lc")).alias("bonus"))
+
+
+def keyword_rerank(cands: DataFrame, bonus: DataFrame) -> DataFrame:
     """Adds ``kscore`` = distance + bonus for statutes, distance for cases."""
-    withdoc = attach(cands, corpus, ["content"], est_rows=est_rows)
-    j = withdoc.join(F.broadcast(questions.select("qid", "question")) if est_rows is not None else
-                     questions.select("qid", "question"), "qid")
-    bonus = keyword_bonus(F.col("question"), F.col("content"), words)
-    return j.withColumn("kscore", F.when(F.col("type") == "statute", F.col("distance") + bonus)
-                        .otherwise(F.col("distance"))).drop("content", "question")
+    j = cands.join(bonus, ["qid", "doc_id"], "left")
+    return j.withColumn("kscore", F.when(F.col("type") == "statute", F.col("distance") + F.col("bonus"))
+                        .otherwise(F.col("distance"))).drop("bonus")
 
 
 def hybrid_merge(scored: DataFrame, k: int) -> DataFrame:
@@ -113,17 +128,20 @@ def fallback_topk(pool_df: DataFrame, k: int) -> DataFrame:
             .withColumn("kscore", F.col("distance")))
 
 
-def with_fallback(merged: DataFrame, fallback: DataFrame, qids: DataFrame) -> DataFrame:
-    """Questions with no hybrid result take the unfiltered top-k."""
-    missing = qids.select("qid").join(merged.select("qid").distinct(), "qid", "left_anti")
-    return merged.unionByName(fallback.join(missing, "qid", "left_semi"))
+def with_fallback(merged: DataFrame, fallback: DataFrame, qids: DataFrame | None = None) -> DataFrame:
+    """Questions with no hybrid result take the unfiltered top-k.  Both inputs are tagged
+    and, per question, only the rows of the first non-empty branch survive (one window, no
+    anti-join of ``merged`` against itself)."""
+    u = merged.withColumn("_b", F.lit(0)).unionByName(fallback.select(*merged.columns).withColumn("_b", F.lit(1)))
+    return u.withColumn("_m", F.min("_b").over(Window.partitionBy("qid"))).where(
+        F.col("_b") == F.col("_m")).drop("_b", "_m")
 
 
-def hybrid(pool_df: DataFrame, questions: DataFrame, corpus: DataFrame, k: int, words,
-           est_rows: int | None = None) -> DataFrame:
-    """R4-R9 for final size k: (qid, doc_id, type, domain, distance, kscore, pos)."""
+def hybrid(pool_df: DataFrame, bonus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """R4-R9 for final size k: (qid, doc_id, type, domain, distance, kscore, pos).
+    ``bonus`` comes from ``keyword_bonus_table`` over the candidates of the largest k used."""
     cands = hybrid_candidates(pool_df, k)
-    merged = hybrid_merge(keyword_rerank(cands, questions, corpus, words, est_rows=est_rows), k)
+    merged = hybrid_merge(keyword_rerank(cands, bonus), k)
     return with_fallback(merged, fallback_topk(pool_df, k), questions)
 
 

@@ -25,17 +25,23 @@ ANSWER_CHARS = 300   # extractive answer length
 
 def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame | None, words,
                    qrows: DataFrame | None = None, final_k: int = params.RETRIEVAL_TOP_K) -> DataFrame:
-    """Hybrid retrieval + rerank policy for in-scope questions: (qid, doc_id, type, domain, distance, pos)."""
+    """Hybrid retrieval + rerank policy for in-scope questions: (qid, doc_id, type, domain, distance, pos).
+
+    The pool (one kNN pass), the keyword bonuses and the k=16 result are each computed once
+    and persisted: the policy reads them from several branches.  All three are bounded by
+    (questions x fetch x groups) rows."""
     if qrows is None:
         qrows = questions_in.select("qid", F.lit(0).cast("bigint").alias("ord"), "qvec")
     n_rows = qrows.count()
     fetch = R.fetch_size(POOL_K)
-    pool = R.pool(corpus, qrows, fetch).persist(StorageLevel.MEMORY_AND_DISK)
     est = n_rows * fetch * 10
-    d16 = R.hybrid(pool, questions_in, corpus, POOL_K, words, est_rows=est)
+    pool = R.pool(corpus, qrows, fetch).persist(StorageLevel.MEMORY_AND_DISK)
+    bonus = R.keyword_bonus_table(R.hybrid_candidates(pool, POOL_K), questions_in, corpus, words,
+                                  est_rows=est).persist(StorageLevel.MEMORY_AND_DISK)
+    d16 = R.hybrid(pool, bonus, questions_in, POOL_K).persist(StorageLevel.MEMORY_AND_DISK)
     if judge is None:
         return d16.where(F.col("pos") <= final_k)
-    d8 = R.hybrid(pool, questions_in, corpus, final_k, words, est_rows=est)
+    d8 = R.hybrid(pool, bonus, questions_in, final_k)
     return K.rerank_policy(d16, d8, judge, final_k=final_k)
 
 
@@ -48,8 +54,9 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     is_uncertain, answer, citations."""
     gated = scope_gate(questions, scope_groups)
     inq = gated.where(~F.col("out_of_scope"))
-    final = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows)
-    est = None  # final has at most RETRIEVAL_TOP_K rows per question
+    final = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows).persist(StorageLevel.MEMORY_AND_DISK)
+    # at most RETRIEVAL_TOP_K rows per question; the question count was size-checked by the kNN
+    est = inq.count() * params.RETRIEVAL_TOP_K
     docs = R.attach(final, corpus, ["content", "source", "article", "accusation"], est_rows=est)
     stats = K.doc_stats(final)
     lists = docs.groupBy("qid").agg(

@@ -145,7 +145,7 @@ def keyword_rerank(spark, sf):
     q, c, inq = _inputs(spark, sf)
     qrows = inq.select("qid", F.lit(0).cast("bigint").alias("ord"), "qvec")
     d = R.hybrid_candidates(R.pool(c, qrows, FETCH), 16)
-    return R.keyword_rerank(d, inq, c, WORDS).select("qid", "doc_id", "type", _r("kscore"))
+    return R.keyword_rerank(d, R.keyword_bonus_table(d, inq, c, WORDS)).select("qid", "doc_id", "type", _r("kscore"))
 
 
 @register("hybrid_topk", S.with_(*_PREFIX, *_M8) +
@@ -154,7 +154,8 @@ def hybrid_topk(spark, sf):
     q, c, inq = _inputs(spark, sf)
     qrows = inq.select("qid", F.lit(0).cast("bigint").alias("ord"), "qvec")
     p = R.pool(c, qrows, FETCH)
-    return R.hybrid(p, inq, c, 8, WORDS).select("qid", "doc_id", "type", "pos", _r("distance"))
+    bonus = R.keyword_bonus_table(R.hybrid_candidates(p, 8), inq, c, WORDS)
+    return R.hybrid(p, bonus, inq, 8).select("qid", "doc_id", "type", "pos", _r("distance"))
 
 
 # Fallback: the hybrid branches restricted to one domain's statutes and cases of another
@@ -173,7 +174,7 @@ def hybrid_fallback(spark, sf):
     p = R.pool(c, qrows, FETCH)
     cands = R.dedup(p.where(((F.col("type") == "statute") & (F.col("rk") <= 10)) |
                             ((F.col("type") == "case") & (F.col("ord") == 1) & (F.col("rk") <= 10))))
-    merged = R.hybrid_merge(R.keyword_rerank(cands, inq, c, WORDS), 8)
+    merged = R.hybrid_merge(R.keyword_rerank(cands, R.keyword_bonus_table(cands, inq, c, WORDS)), 8)
     out = R.with_fallback(merged, R.fallback_topk(p, 8), inq)
     return out.select("qid", "doc_id", "type", "pos", _r("distance"))
 
@@ -188,7 +189,8 @@ WHERE rpos <= 3""")
 def judge_rerank(spark, sf):
     q, c, inq = _inputs(spark, sf)
     qrows = inq.select("qid", F.lit(0).cast("bigint").alias("ord"), "qvec")
-    d16 = R.hybrid(R.pool(c, qrows, FETCH), inq, c, 16, WORDS)
+    p = R.pool(c, qrows, FETCH)
+    d16 = R.hybrid(p, R.keyword_bonus_table(R.hybrid_candidates(p, 16), inq, c, WORDS), inq, 16)
     return K.judge_rerank(d16, ad.judge_scores(spark, sf)).select("qid", "doc_id", "pos", "rscore", "is_relevant",
                                                                    "rpos")
 
