@@ -76,3 +76,48 @@ def judge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return d.join(lab, "doc_id", "inner").select(
         "doc_id", (F.col("n_chars") % 11).cast("double").alias("score"), (F.col("quality") == 1).alias("relevant"))
+
+
+# Chinese numerals one..ten used for synthetic chapter headings.
+CHAPTER_NUMERALS = ["一", "二", "三", "四", "五", "六", "七", "八", "九", "十"]
+
+
+def statute_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statute-format texts from documents: each document is one file; every line i gets
+    the anchor '第{i+1}条 ', every 10th line is preceded by a chapter heading line, and a
+    title line precedes the first anchor (marked as a contents page when n_chars % 7 = 0).
+    Columns: file_id, domain_name, text."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    nums = F.array(*[F.lit(x) for x in CHAPTER_NUMERALS])
+    lines = F.split(F.col("text"), "\n")
+    body = F.array_join(F.transform(lines, lambda l, i: F.concat(
+        F.when(i % 10 == 0, F.concat(F.lit("第"), F.element_at(nums, ((i / 10).cast("int") % 10 + 1)),
+                                     F.lit("章 Part "), ((i / 10).cast("int") + 1).cast("string"), F.lit("\n")))
+        .otherwise(F.lit("")),
+        F.lit("第"), (i + 1).cast("string"), F.lit("条 "), l)), "\n")
+    title = F.concat(F.when(F.col("n_chars") % 7 == 0, F.lit("目录 ")).otherwise(F.lit("")),
+                     F.lit("Title "), F.col("source"), F.lit(" "), F.substring("text", 1, 150), F.lit("\n"))
+    return d.select(F.col("doc_id").alias("file_id"), F.col("source").alias("domain_name"),
+                    F.concat(title, body).alias("text"))
+
+
+def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Case records in both raw shapes from orders: even keys nested (meta), odd keys flat."""
+    o = table(spark, sf_dir, "orders")
+    key, cust, st, pr = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    nested = key % 2 == 0
+    term = F.when(st == "P", F.lit(None)).otherwise(F.struct(
+        (key % 37).cast("int").alias("imprisonment"), (pr == "1-URGENT").alias("death_penalty"),
+        (pr == "2-HIGH").alias("life_imprisonment")))
+    meta = F.struct(F.array(pr).alias("accusation"), F.array(cust % 300, key % 100).alias("relevant_articles"),
+                    term.alias("term_of_imprisonment"), cust.alias("punish_of_money"))
+    fact = F.concat(F.lit("Order "), key.cast("string"), F.lit(" was placed by customer "), cust.cast("string"),
+                    F.lit(" with status "), st)
+    return o.select(
+        key.alias("case_index"), fact.alias("fact"),
+        F.when(nested, meta).alias("meta"),
+        F.when(~nested, F.when(st == "F", F.array().cast("array<string>")).otherwise(F.array(pr, F.lit("theft"))))
+        .alias("accusation"),
+        F.when(~nested, F.array(cust % 300)).alias("law_articles"),
+        F.when(~nested, (key % 25).cast("int")).alias("prison_term"),
+        F.when(~nested, cust).alias("fine"))

@@ -9,6 +9,7 @@ from quarry.plans import catalog
 _MODULES = [
     "quarry.plans.q_retrieval",
     "quarry.plans.q_answer",
+    "quarry.plans.q_text",
 ]
 
 

@@ -106,3 +106,70 @@ def pool_cte(fetch: int, qtab: str = "inq") -> str:
              list_sum(list_transform(list_zip(q.qvec, c.embedding), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS distance
       FROM {qtab} q, corpus c WHERE c.doc_id <> q.qid))
   WHERE rk <= {fetch})"""
+
+
+def clean_sql(x: str) -> str:
+    """T1 twin."""
+    from quarry.functions.text import CONTROL_CLASS, WS_CLASS
+    a = f"regexp_replace(coalesce({x}, ''), {q(WS_CLASS + '+')}, ' ', 'g')"
+    b = f"regexp_replace({a}, {q(CONTROL_CLASS)}, '', 'g')"
+    c = f"replace({b}, '．', '.')"
+    return f"regexp_replace({c}, '^ +| +$', '', 'g')"
+
+
+def strip_sql(x: str) -> str:
+    from quarry.functions.text import WS_CLASS
+    return f"regexp_replace({x}, {q(f'^{WS_CLASS}+|{WS_CLASS}+$')}, '', 'g')"
+
+
+def stable_id_sql(content: str, source: str) -> str:
+    return f"substr(md5({source} || ':' || substr({content}, 1, 100)), 1, 12)"
+
+
+STATUTE_FILES = """files AS (
+  SELECT doc_id AS file_id, source AS domain_name,
+         (CASE WHEN n_chars % 7 = 0 THEN '目录 ' ELSE '' END) || 'Title ' || source || ' ' || substr(text, 1, 150) || chr(10) ||
+         array_to_string(list_transform(string_split(text, chr(10)), lambda l, i:
+            (CASE WHEN (i - 1) % 10 = 0 THEN '第' || ['一','二','三','四','五','六','七','八','九','十'][((i - 1) // 10) % 10 + 1]
+                  || '章 Part ' || CAST((i - 1) // 10 + 1 AS VARCHAR) || chr(10) ELSE '' END)
+            || '第' || CAST(i AS VARCHAR) || '条 ' || l), chr(10)) AS text
+  FROM documents)"""
+
+
+def segment_ctes(src: str = "files") -> list[str]:
+    """T3-T7 twin: CTE ``seg`` (file_id, domain_name, pos, article, chapter, body, content, chunk_id)."""
+    from quarry.functions.text import WS_CLASS
+    from quarry.operators.segment import ANCHOR, HEADING
+    anchor_line = rf"(?m)^ *({ANCHOR}){WS_CLASS}*"
+    heading_line = rf"(?m)^ *({HEADING})"
+    heading_strip = rf"(?m)^ *{HEADING}$"
+    body = clean_sql(f"regexp_replace(p, {q(heading_strip)}, '', 'g')")
+    return [
+        f"""sg1 AS (
+  SELECT file_id, domain_name, regexp_extract_all(t, {q(anchor_line)}, 1) AS anchors,
+         regexp_split_to_array(t, {q(anchor_line)}) AS parts
+  FROM (SELECT file_id, domain_name, regexp_replace(text, '[　\t]', ' ', 'g') AS t FROM {src}))""",
+        f"""sg2 AS (SELECT *, list_transform(parts, lambda p: regexp_extract_all(p, {q(heading_line)}, 1)[-1]) AS heads FROM sg1)""",
+        """sg3 AS (SELECT *, list_transform(anchors, lambda a, i: coalesce(list_filter(heads[1:i], lambda h: h IS NOT NULL)[-1], '')) AS chap FROM sg2)""",
+        f"""sg4 AS (
+  SELECT file_id, domain_name, u.pos AS pos, u.article AS article, u.chapter AS chapter, u.body AS body, u.raw AS raw
+  FROM (SELECT file_id, domain_name, unnest(list_transform(parts, lambda p, i: {{
+          'pos': i - 1,
+          'article': CASE WHEN i = 1 THEN '前言' ELSE anchors[i - 1] END,
+          'chapter': CASE WHEN i = 1 THEN '' ELSE chap[i - 1] END,
+          'body': {body},
+          'raw': p}})) AS u FROM sg3))""",
+        f"""seg AS (
+  SELECT file_id, domain_name, CAST(pos AS BIGINT) AS pos, article, chapter, body,
+         CASE WHEN pos = 0 THEN body ELSE (CASE WHEN chapter <> '' THEN '【' || chapter || '】' ELSE '' END)
+              || article || ' ' || body END AS content,
+         {stable_id_sql("CASE WHEN pos = 0 THEN substr(body, 1, 100) ELSE body END",
+                        "CASE WHEN pos = 0 THEN domain_name || '前言' ELSE domain_name END")} AS chunk_id
+  FROM sg4
+  WHERE CASE WHEN pos = 0 THEN
+          length({strip_sql(f"regexp_replace(raw, {q(heading_strip)}, '', 'g')")}) > 100
+          AND NOT (contains(regexp_replace(raw, {q(WS_CLASS + '+')}, '', 'g'), '目录')
+                   OR contains(regexp_replace(raw, {q(WS_CLASS + '+')}, '', 'g'), '第一编')
+                   OR contains(regexp_replace(raw, {q(WS_CLASS + '+')}, '', 'g'), '第二编'))
+        ELSE length(body) > 20 END)""",
+    ]
