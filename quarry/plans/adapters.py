@@ -121,3 +121,27 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~nested, F.array(cust % 300)).alias("law_articles"),
         F.when(~nested, (key % 25).cast("int")).alias("prison_term"),
         F.when(~nested, cust).alias("fine"))
+
+
+# Fixed value: the served domain's label in model scope replies.
+SERVED = "刑法"
+OTHER = "民法"
+
+
+def scope_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model scope replies per labelled document in five shapes (prose around multi-line JSON,
+    missing confidence, not JSON, missing domain, bare JSON).  Columns: qid, reply."""
+    lab = table(spark, sf_dir, "labels")
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    j = lab.join(d, "doc_id")
+    dom = F.when(F.col("quality") == 1, F.lit(SERVED)).otherwise(F.lit(OTHER))
+    conf = F.when(F.col("toxic") == 1, F.lit("0.95")).otherwise(F.concat(F.lit("0."), (F.col("n_chars") % 10)
+                                                                       .cast("string")))
+    form = F.col("doc_id") % 5
+    reply = (F.when(form == 0, F.concat(F.lit('Sure.\n{"domain": "'), dom, F.lit('",\n "confidence": '), conf,
+                                        F.lit(', "reasoning": "r"}\nDone')))
+             .when(form == 1, F.concat(F.lit('{"domain": "'), dom, F.lit('"}')))
+             .when(form == 2, F.lit("no verdict {broken"))
+             .when(form == 3, F.concat(F.lit('{"confidence": '), conf, F.lit("}")))
+             .otherwise(F.concat(F.lit('{"domain": "'), dom, F.lit('", "confidence": '), conf, F.lit("}"))))
+    return j.select(F.col("doc_id").alias("qid"), reply.alias("reply"))

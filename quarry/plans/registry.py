@@ -10,6 +10,7 @@ _MODULES = [
     "quarry.plans.q_retrieval",
     "quarry.plans.q_answer",
     "quarry.plans.q_text",
+    "quarry.plans.q_scope",
 ]
 
 

@@ -173,3 +173,26 @@ def segment_ctes(src: str = "files") -> list[str]:
                    OR contains(regexp_replace(raw, {q(WS_CLASS + '+')}, '', 'g'), '第二编'))
         ELSE length(body) > 20 END)""",
     ]
+
+SCOPE_REPLIES = """replies AS (
+  SELECT l.doc_id AS qid,
+    CASE l.doc_id % 5
+      WHEN 0 THEN 'Sure.' || chr(10) || '{"domain": "' || (CASE WHEN l.quality = 1 THEN '刑法' ELSE '民法' END)
+                  || '",' || chr(10) || ' "confidence": ' || (CASE WHEN l.toxic = 1 THEN '0.95' ELSE '0.' || CAST(d.n_chars % 10 AS VARCHAR) END)
+                  || ', "reasoning": "r"}' || chr(10) || 'Done'
+      WHEN 1 THEN '{"domain": "' || (CASE WHEN l.quality = 1 THEN '刑法' ELSE '民法' END) || '"}'
+      WHEN 2 THEN 'no verdict {broken'
+      WHEN 3 THEN '{"confidence": ' || (CASE WHEN l.toxic = 1 THEN '0.95' ELSE '0.' || CAST(d.n_chars % 10 AS VARCHAR) END) || '}'
+      ELSE '{"domain": "' || (CASE WHEN l.quality = 1 THEN '刑法' ELSE '民法' END) || '", "confidence": '
+           || (CASE WHEN l.toxic = 1 THEN '0.95' ELSE '0.' || CAST(d.n_chars % 10 AS VARCHAR) END) || '}'
+    END AS reply
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def json_span_sql(x: str) -> str:
+    return f"regexp_extract(coalesce({x}, ''), '(?s)\\{{.*\\}}', 0)"
+
+
+def parsed_ok_sql(x: str) -> str:
+    s = json_span_sql(x)
+    return f"({s} <> '' AND json_valid({s}))"
