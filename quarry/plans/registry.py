@@ -11,6 +11,7 @@ _MODULES = [
     "quarry.plans.q_answer",
     "quarry.plans.q_text",
     "quarry.plans.q_scope",
+    "quarry.plans.q_history",
 ]
 
 
