@@ -145,3 +145,43 @@ def scope_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(form == 3, F.concat(F.lit('{"confidence": '), conf, F.lit("}")))
              .otherwise(F.concat(F.lit('{"domain": "'), dom, F.lit('", "confidence": '), conf, F.lit("}"))))
     return j.select(F.col("doc_id").alias("qid"), reply.alias("reply"))
+
+
+CATEGORIES = ["criminal_law", "special_case", "case_related", "out_of_scope"]
+
+
+def eval_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation samples from conversation pairs: question = user turn, ground truth =
+    assistant turn ('' for out-of-scope), category by conversation, expected sources."""
+    from quarry.operators.answer import message_pairs
+    p = message_pairs(table(spark, sf_dir, "conversations"))
+    cat = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), (F.col("conv_id") % 4 + 1).cast("int"))
+    oos = F.col("conv_id") % 4 == 3
+    return p.select(
+        "conv_id", "pair_no", F.col("user").alias("question"),
+        F.when(oos, F.lit("")).otherwise(F.col("assistant")).alias("ground_truth"),
+        cat.alias("category"),
+        F.when(oos, F.array().cast("array<string>")).otherwise(F.array(
+            F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")),
+            F.concat(F.lit("Case "), (F.col("pair_no") % 3).cast("string")))).alias("expected_sources"))
+
+
+def eval_answers(spark: SparkSession, sf_dir: str, run: str = "next") -> DataFrame:
+    """Answers of a system under test for the samples.  Run 'next' answers with the next
+    pair's assistant turn (the last pair with its own), run 'self' with its own turn.
+    Pairs whose assistant turn has <= 20 characters have no result (failed samples)."""
+    from pyspark.sql import Window
+    from quarry.operators.answer import message_pairs
+    p = message_pairs(table(spark, sf_dir, "conversations"))
+    w = Window.partitionBy("conv_id").orderBy("pair_no")
+    pred = F.coalesce(F.lead("assistant").over(w), F.col("assistant")) if run == "next" else F.col("assistant")
+    p = p.withColumn("predicted", pred).where(F.length("assistant") > 20)
+    return p.select(
+        "conv_id", "pair_no", F.col("predicted").alias("predicted_answer"),
+        F.when(F.col("conv_id") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(
+            F.concat(F.lit("[src"), (F.col("conv_id") % 13).cast("string"), F.lit("] statute")),
+            F.concat(F.lit("【case】 "), F.col("pair_no").cast("string")))).alias("citations"),
+        ((F.col("pair_no") % 10) / 10.0).alias("confidence"),
+        (F.length("assistant") / 1000.0).alias("latency"),
+        F.when(F.col("pair_no") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.col("user")))
+        .alias("doc_texts"))

@@ -12,6 +12,7 @@ _MODULES = [
     "quarry.plans.q_text",
     "quarry.plans.q_scope",
     "quarry.plans.q_history",
+    "quarry.plans.q_eval",
 ]
 
 
