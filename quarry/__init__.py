@@ -13,4 +13,15 @@ Layout
 ``streaming``   Structured Streaming operators (stateful guards, TTL reuse, answer stream)
 """
 
+import sys as _sys
+
 __all__ = ["params"]
+
+# Python tasks (mapInPandas / applyInPandas) must not depend on the package being installed
+# on the executors: functions of this package are shipped with the task by value.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
