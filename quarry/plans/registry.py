@@ -13,6 +13,7 @@ _MODULES = [
     "quarry.plans.q_scope",
     "quarry.plans.q_history",
     "quarry.plans.q_eval",
+    "quarry.plans.q_sources",
 ]
 
 
