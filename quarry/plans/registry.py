@@ -14,6 +14,7 @@ _MODULES = [
     "quarry.plans.q_history",
     "quarry.plans.q_eval",
     "quarry.plans.q_sources",
+    "quarry.plans.q_streaming",
 ]
 
 
