@@ -73,6 +73,32 @@ def hashed_embedding(text, dim: int = 64, token_pattern: str = TOKEN_PATTERN) ->
     return F.when(norm > 0, F.transform(counts, lambda x: x / norm)).otherwise(counts)
 
 
+def hashed_embeddings(df: DataFrame, id_col: str, text_col: str, dim: int = 64,
+                      token_pattern: str = TOKEN_PATTERN) -> DataFrame:
+    """M1 default for a table of texts: (id, n_tokens, embedding).
+
+    Tokens are exploded and counted per (id, bucket) with map-side partial aggregation, so
+    at most ``dim`` rows per text cross the shuffle; the vector is assembled from that map.
+    Same values as ``hashed_embedding`` (the per-row column form, for short texts)."""
+    toks = df.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), token_pattern)).alias("t")) \
+        .where(F.length("t") > 0)
+    b = toks.select(id_col, (F.conv(F.substring(F.md5("t"), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
+                    .alias("b"))
+    counts = b.groupBy(id_col, "b").agg(F.count("*").alias("n"))
+    per = counts.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("m"),
+                                     F.sum("n").cast("bigint").alias("n_tokens"))
+    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                      lambda i: F.coalesce(F.element_at(F.col("m"), i), F.lit(0)).cast("double"))
+    per = per.select(id_col, "n_tokens", vec.alias("_c"))
+    norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, x: a + x * x))
+    per = per.select(id_col, "n_tokens", F.when(norm > 0, F.transform("_c", lambda x: x / norm))
+                     .otherwise(F.col("_c")).alias("embedding"))
+    zero = F.array_repeat(F.lit(0.0), dim)
+    return df.select(id_col).join(per, id_col, "left").select(
+        id_col, F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.coalesce("embedding", zero).alias("embedding"))
+
+
 def embed(df: DataFrame, text_col: str, embed_fn=None, out_col: str = "embedding", dim: int = 64,
           batch_size: int = params.EMBED_BATCH_SIZE, max_retries: int = params.EMBED_MAX_RETRIES) -> DataFrame:
     """M1/M3: add an embedding column.

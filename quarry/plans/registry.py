@@ -15,6 +15,7 @@ _MODULES = [
     "quarry.plans.q_eval",
     "quarry.plans.q_sources",
     "quarry.plans.q_streaming",
+    "quarry.plans.q_models",
 ]
 
 
