@@ -10,6 +10,7 @@ corpus is scanned once per answer batch.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,9 +78,10 @@ def question_features(questions: DataFrame, words, text_col: str = "question",
 
 
 def keyword_bonus(lc) -> F.Column:
-    """Bonus (<= 0) added to a statute's distance, from question features and the lowered
-    content ``lc``: -0.5 per lexicon word in both, -0.5 more when >= 2 such words; -2.0 per
-    article reference occurrence found in the content; -0.3 per question word found in it."""
+    """R7 as a column expression: bonus (<= 0) added to a statute's distance, from question
+    features and the lowered content ``lc``: -0.5 per lexicon word in both, -0.5 more when
+    >= 2 such words; -2.0 per article reference occurrence found in the content; -0.3 per
+    question word found in it."""
     n_words = F.size(F.filter("qlex", lambda w: F.instr(lc, w) > 0))
     arts = F.size(F.filter("qarts", lambda a: F.instr(lc, a) > 0))
     qwords = F.size(F.filter("qwords", lambda w: F.instr(lc, w) > 0))
@@ -87,14 +89,28 @@ def keyword_bonus(lc) -> F.Column:
             - 2.0 * arts - 0.3 * qwords)
 
 
+@F.pandas_udf("double")
+def _bonus_udf(qlex: pd.Series, qarts: pd.Series, qwords: pd.Series, lc: pd.Series) -> pd.Series:
+    """R7 over Arrow batches: the same counts as ``keyword_bonus`` with C-speed substring
+    search (``in``) instead of the JVM's naive per-word scan of long contents."""
+    out = []
+    for lex, arts, words, text in zip(qlex, qarts, qwords, lc):
+        n = sum(1 for w in lex if w in text)
+        a = sum(1 for x in arts if x in text)
+        q = sum(1 for w in words if w in text)
+        out.append(-0.5 * n - (0.5 if n >= 2 else 0.0) - 2.0 * a - 0.3 * q)
+    return pd.Series(out, dtype="float64")
+
+
 def keyword_bonus_table(cands: DataFrame, questions: DataFrame, corpus: DataFrame, words,
                         est_rows: int | None = None) -> DataFrame:
-    """(qid, doc_id, bonus) for every candidate statute (cases get no bonus)."""
+    """(qid, doc_id, bonus) for every candidate statute (cases get no bonus).  Content is
+    lowered in the JVM; the substring counts run in an Arrow-batched pandas UDF."""
     st = cands.where(F.col("type") == "statute").select("qid", "doc_id").distinct()
     withdoc = attach(st, corpus, ["content"], est_rows=est_rows).withColumn("lc", F.lower("content"))
     feats = question_features(questions, words)
     j = withdoc.join(F.broadcast(feats) if est_rows is not None else feats, "qid")
-    return j.select("qid", "doc_id", keyword_bonus(F.col("lc")).alias("bonus"))
+    return j.select("qid", "doc_id", _bonus_udf("qlex", "qarts", "qwords", "lc").alias("bonus"))
 
 
 def keyword_rerank(cands: DataFrame, bonus: DataFrame) -> DataFrame:

@@ -55,8 +55,12 @@ def segment_articles(files: DataFrame, text_col: str = "text", domain_name_col:
     # last heading inside each part (null when none), then carried forward to later articles
     df = df.withColumn("_heads", F.transform("_parts", lambda p: F.try_element_at(
         F.regexp_extract_all(p, F.lit(heading_line), 1), F.lit(-1))))
-    df = df.withColumn("_chap", F.transform("_anchors", lambda a, i: F.coalesce(F.try_element_at(
-        F.filter(F.slice("_heads", 1, i + 1), lambda h: h.isNotNull()), F.lit(-1)), F.lit(""))))
+    # carry forward in O(articles x headings): the chapter of anchor i is the heading of the
+    # last heading-bearing part among parts 0..i (headings are few compared with articles)
+    df = df.withColumn("_hidx", F.filter(F.sequence(F.lit(0), F.size("_heads") - 1),
+                                         lambda j: F.element_at("_heads", j + 1).isNotNull()))
+    df = df.withColumn("_chap", F.transform("_anchors", lambda a, i: F.coalesce(F.element_at(
+        "_heads", F.try_element_at("_hidx", F.size(F.filter("_hidx", lambda h: h <= i))) + 1), F.lit(""))))
     items = F.transform("_parts", lambda p, i: F.struct(
         i.alias("pos"),
         F.when(i == 0, F.lit(PREAMBLE_ARTICLE)).otherwise(F.element_at("_anchors", i)).alias("article"),

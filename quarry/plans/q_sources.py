@@ -28,7 +28,7 @@ _FILES = """files AS (
   SELECT 'doc/' || CAST(doc_id AS VARCHAR) AS file, text FROM documents
   UNION ALL SELECT 'page/' || CAST(page_id AS VARCHAR), html FROM pages)"""
 _LINES = (f"len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: "
-          f"{S.strip_sql('l')} <> ''))")
+          f"regexp_matches(l, {S.q(Q.NON_WS)})))")
 _DQ = f"""dq AS (
   SELECT file, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, CAST(length(text) AS BIGINT) AS n_chars,
          CAST({_LINES} AS BIGINT) AS n_lines,

@@ -9,6 +9,7 @@ from quarry.functions.text import WS_CLASS
 
 MIN_BYTES = 1000
 MIN_LINES = 3
+NON_WS = WS_CLASS.replace("[", "[^", 1)
 
 
 def text_file_quality(files: DataFrame, name_col: str = "file", text_col: str = "text",
@@ -19,8 +20,8 @@ def text_file_quality(files: DataFrame, name_col: str = "file", text_col: str =
     t = F.col(text_col)
     size = F.col(bytes_col) if bytes_col else F.octet_length(t)
     valid = F.col(valid_col) if valid_col else F.lit(True)
-    lines = F.size(F.filter(F.split(F.coalesce(t, F.lit("")), "\n"),
-                            lambda l: F.regexp_replace(l, f"^{WS_CLASS}+|{WS_CLASS}+$", "") != ""))
+    # a line is non-blank iff it has a non-whitespace character (same as strip() != '')
+    lines = F.size(F.filter(F.split(F.coalesce(t, F.lit("")), "\n"), lambda l: l.rlike(NON_WS)))
     has_art = (F.instr(t, "第") > 0) & (F.instr(t, "条") > 0)
     has_chap = (F.instr(t, "第") > 0) & ((F.instr(t, "章") > 0) | (F.instr(t, "编") > 0))
     reason = (F.when(t.isNull(), F.lit("missing"))
