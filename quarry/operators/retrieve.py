@@ -13,6 +13,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry import params
 from quarry.functions.text import ARTICLE_REF, lit_array, ws_words
@@ -89,7 +90,7 @@ def keyword_bonus(lc) -> F.Column:
             - 2.0 * arts - 0.3 * qwords)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _bonus_udf(qlex: pd.Series, qarts: pd.Series, qwords: pd.Series, lc: pd.Series) -> pd.Series:
     """R7 over Arrow batches: the same counts as ``keyword_bonus`` with C-speed substring
     search (``in``) instead of the JVM's naive per-word scan of long contents."""
