@@ -45,13 +45,20 @@ def case_records(spark: SparkSession, path: str, limit: int | None = params.CASE
     df = global_index(df.withColumn("_mid", F.monotonically_increasing_id()), "_mid") \
         .withColumnRenamed("idx", "case_index").drop("_mid")
     df = df.where(F.col("case_index") < limit)
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return df.where(_valid("fact")).drop("_corrupt_record")
+
+
+def _valid(data_col: str) -> F.Column:
+    """Not a corrupt record.  A corrupt record has every data column null, so also testing a
+    data column keeps the meaning and lets Spark prune to it (a query on the corrupt-record
+    column alone is not allowed)."""
+    return F.col("_corrupt_record").isNull() | F.col(data_col).isNotNull()
 
 
 def qa_pairs(spark: SparkSession, path: str) -> DataFrame:
     """QA JSONL with a declared schema; broken lines dropped (see ``cases.qa_chunks``)."""
     df = spark.read.schema(QA_SCHEMA + ", _corrupt_record string").option("mode", "PERMISSIVE").json(path)
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return df.where(_valid("question")).drop("_corrupt_record")
 
 
 def eval_samples(spark: SparkSession, path: str | None, fallback: DataFrame | None = None) -> DataFrame:
@@ -62,7 +69,7 @@ def eval_samples(spark: SparkSession, path: str | None, fallback: DataFrame | No
             raise FileNotFoundError(f"evaluation set {path!r} not found and no fallback given")
         return fallback
     df = spark.read.schema(EVAL_SCHEMA + ", _corrupt_record string").option("mode", "PERMISSIVE").json(path)
-    return df.where(F.col("_corrupt_record").isNull()).select(
+    return df.where(_valid("question")).select(
         F.coalesce("question", F.lit("")).alias("question"), F.coalesce("answer", F.lit("")).alias("ground_truth"),
         F.coalesce("sources", F.array().cast("array<string>")).alias("expected_sources"),
         F.coalesce("category", F.lit("general")).alias("category"))
