@@ -125,6 +125,9 @@ def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_
                 Qc = Q[s : s + step]
                 dist = qn[s : s + step, None] + dn[None, :] - 2.0 * (Qc @ D.T)
                 np.maximum(dist, 0.0, out=dist)
+                # 1e-9 grid: identical vectors tie exactly (BLAS may differ in the last bits),
+                # so the id tie-break decides, as in an exact sequential sum
+                np.round(dist, 9, out=dist)
                 if c_excl is not None:
                     dist[q_excl[s : s + step, None] == c_excl[None, :]] = np.inf
                 cand = _candidates(dist, s, codes, ids, k)
