@@ -35,42 +35,44 @@ from quarry import params
 _TILE_BYTES = 64 * 1024 * 1024
 
 
-def _topk_sorted(qi: np.ndarray, g: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int):
-    """Keep the k smallest (d, id) per (qi, g). Inputs are flat candidate arrays."""
+def _topk_sorted(qi: np.ndarray, g: np.ndarray, ids: np.ndarray, d: np.ndarray, key: np.ndarray, k: int):
+    """Keep the k smallest (key, id) per (qi, g). Inputs are flat candidate arrays."""
     if len(d) == 0:
-        return qi, g, ids, d
-    order = np.lexsort((ids, d, g, qi))
-    qi, g, ids, d = qi[order], g[order], ids[order], d[order]
+        return qi, g, ids, d, key
+    order = np.lexsort((ids, key, g, qi))
+    qi, g, ids, d, key = qi[order], g[order], ids[order], d[order], key[order]
     new_grp = np.ones(len(d), dtype=bool)
     new_grp[1:] = (qi[1:] != qi[:-1]) | (g[1:] != g[:-1])
     first = np.flatnonzero(new_grp)
     lengths = np.diff(np.append(first, len(d)))
     rank = np.arange(len(d)) - np.repeat(first, lengths)
     keep = rank < k
-    return qi[keep], g[keep], ids[keep], d[keep]
+    return qi[keep], g[keep], ids[keep], d[keep], key[keep]
 
 
-def _candidates(dist: np.ndarray, q_offset: int, codes: np.ndarray, ids: np.ndarray, k: int):
-    """Per-row, per-group candidates of a (queries x batch) distance tile."""
-    out_q, out_g, out_i, out_d = [], [], [], []
+def _candidates(dist: np.ndarray, key: np.ndarray, q_offset: int, codes: np.ndarray, ids: np.ndarray, k: int):
+    """Per-row, per-group candidates of a (queries x batch) distance tile (all ties of the
+    k-th key are kept; the exact cut happens in ``_topk_sorted``)."""
+    out_q, out_g, out_i, out_d, out_k = [], [], [], [], []
     for code in np.unique(codes):
         cols = np.flatnonzero(codes == code)
-        sub = dist[:, cols]
+        sub = key[:, cols]
         if len(cols) > k:
             kth = np.partition(sub, k - 1, axis=1)[:, k - 1 : k]
             r, c = np.nonzero(sub <= kth)
         else:
             r, c = np.nonzero(np.isfinite(sub))
-        d = sub[r, c]
-        fin = np.isfinite(d)
-        r, c, d = r[fin], c[fin], d[fin]
+        kk = sub[r, c]
+        fin = np.isfinite(kk)
+        r, c, kk = r[fin], c[fin], kk[fin]
         out_q.append(r + q_offset)
         out_g.append(np.full(len(r), code, dtype=np.int64))
         out_i.append(ids[cols][c])
-        out_d.append(d)
+        out_d.append(dist[r, cols[c]])
+        out_k.append(kk)
     if not out_q:
         return None
-    return (np.concatenate(out_q), np.concatenate(out_g), np.concatenate(out_i), np.concatenate(out_d))
+    return tuple(np.concatenate(x) for x in (out_q, out_g, out_i, out_d, out_k))
 
 
 def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_col, id_col, vec_col, by,
@@ -92,7 +94,7 @@ def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_
     cschema = corpus.schema
     qschema = queries.schema
     out_fields = [qschema[c] for c in qid_cols] + [cschema[c] for c in by] + [
-        cschema[id_col], T.StructField("distance", T.DoubleType(), False)]
+        cschema[id_col], T.StructField("distance", T.DoubleType(), False), T.StructField("_key", T.DoubleType())]
     out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out_fields])
     c_cols = [id_col] + list(by) + ([c_excl_col] if c_excl_col and c_excl_col not in [id_col, *by] else []) + [vec_col]
     by_list = list(by)
@@ -125,12 +127,13 @@ def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_
                 Qc = Q[s : s + step]
                 dist = qn[s : s + step, None] + dn[None, :] - 2.0 * (Qc @ D.T)
                 np.maximum(dist, 0.0, out=dist)
-                # 1e-9 grid: identical vectors tie exactly (BLAS may differ in the last bits),
-                # so the id tie-break decides, as in an exact sequential sum
-                np.round(dist, 9, out=dist)
+                # ordering key on a 1e-9 grid: identical vectors tie exactly (a matrix product
+                # may differ in the last bits), so the id tie-break decides; the distance
+                # itself is emitted unrounded
+                key = np.round(dist, 9)
                 if c_excl is not None:
-                    dist[q_excl[s : s + step, None] == c_excl[None, :]] = np.inf
-                cand = _candidates(dist, s, codes, ids, k)
+                    key[q_excl[s : s + step, None] == c_excl[None, :]] = np.inf
+                cand = _candidates(dist, key, s, codes, ids, k)
                 if cand is not None:
                     buf.append(cand)
                     buf_rows += len(cand[0])
@@ -139,7 +142,7 @@ def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_
                 buf, buf_rows = [merged], len(merged[0])
         if not buf:
             return
-        qi, g, ids, d = _topk_sorted(*[np.concatenate(p) for p in zip(*buf)], k)
+        qi, g, ids, d, key = _topk_sorted(*[np.concatenate(p) for p in zip(*buf)], k)
         out = data["keys"].iloc[qi].reset_index(drop=True)
         if by_list:
             inv = {v: t for t, v in group_index.items()}
@@ -148,7 +151,8 @@ def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_
                 out[c] = [t[j] for t in gt]
         out[id_col] = ids
         out["distance"] = d
-        yield out[qid_list + by_list + [id_col, "distance"]]
+        out["_key"] = key
+        yield out[qid_list + by_list + [id_col, "distance", "_key"]]
 
     return corpus.select(*c_cols).mapInPandas(search, out_schema)
 
@@ -181,7 +185,7 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int, *, qid_cols=("qid",), qve
     cand = found[0]
     for f in found[1:]:
         cand = cand.unionByName(f)
-    w = Window.partitionBy(*qid_cols, *by).orderBy(F.col("distance").asc(), F.col(id_col).asc())
+    w = Window.partitionBy(*qid_cols, *by).orderBy(F.col("_key").asc(), F.col(id_col).asc())
     return (cand.withColumn("rk", F.row_number().over(w))
             .where(F.col("rk") <= k)
-            .withColumn("rk", F.col("rk").cast("bigint")))
+            .withColumn("rk", F.col("rk").cast("bigint")).drop("_key"))

@@ -16,6 +16,7 @@ _MODULES = [
     "quarry.plans.q_sources",
     "quarry.plans.q_streaming",
     "quarry.plans.q_models",
+    "quarry.plans.q_extra",
 ]
 
 
