@@ -27,8 +27,12 @@ def global_index(df: DataFrame, order_col: str, n_parts: int | None = None) -> D
 
     Range-partition by the order column, number rows inside each partition, then add each
     partition's offset (a running sum over one row per partition)."""
+    from quarry.session import ensure_checkpoint_dir
     n = n_parts or df.sparkSession.sparkContext.defaultParallelism
-    d = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    # range bounds come from a sample: checkpoint one assignment so that both branches below
+    # (per-partition counts and the rows) see the same partition ids
+    d = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     d = d.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)) - 1)
     counts = d.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(

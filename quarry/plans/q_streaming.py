@@ -27,7 +27,7 @@ FROM (SELECT *, CAST(floor(value / 10) AS BIGINT)::VARCHAR AS hk FROM events)
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def q_dup_submit(spark, sf):
     """Same message (event type) with the same history key as the user's previous submit."""
-    d = W.duplicate_submits(_events(spark, sf), "user_id", ["ts", "event_id"], "event_type", "history_key")
+    d = W.duplicate_submits_split(_events(spark, sf), "user_id", ["ts", "event_id"], "event_type", "history_key")
     return d.select("event_id", "user_id", "is_duplicate")
 
 
@@ -82,5 +82,5 @@ FROM (SELECT *, i * {GAP_S}::DOUBLE + max(arrive_s - i * {GAP_S}::DOUBLE) OVER (
                    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events))""")
 def q_rate_schedule(spark, sf):
     """Per-user start times under a minimum interval between calls."""
-    r = W.rate_schedule(ad.table(spark, sf, "events"), "user_id", "ts", "event_id", GAP_S)
+    r = W.rate_schedule_split(ad.table(spark, sf, "events"), "user_id", "ts", "event_id", GAP_S)
     return r.select("user_id", "event_id", *[F.round(c, 6).alias(c) for c in ["arrive_s", "start_s", "wait_s"]])

@@ -196,3 +196,63 @@ def rate_schedule(df: DataFrame, key: str, ts: str, id_col: str, gap_s: float =
     run = Window.partitionBy(key).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("start_s", F.col("_i") * gap_s + F.max(F.col("arrive_s") - F.col("_i") * gap_s).over(run))
     return d.withColumn("wait_s", F.col("start_s") - F.col("arrive_s")).drop("_i")
+
+
+# ---- skew-safe forms: a session split across range partitions ---------------------------------------
+def _range_chunks(df: DataFrame, key: str, order, n_parts: int | None) -> DataFrame:
+    """Range-partition by (key, order...) and tag rows with the partition id ``_pid``: a
+    session holding a large share of all rows is spread over consecutive partitions."""
+    from quarry.session import ensure_checkpoint_dir
+    n = n_parts or df.sparkSession.sparkContext.defaultParallelism
+    ensure_checkpoint_dir(df.sparkSession)
+    # range bounds come from a sample; checkpointing fixes one assignment of rows to chunks
+    # for every branch that reads it (and survives executor loss without re-sampling)
+    return df.repartitionByRange(n, key, *order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def rate_schedule_split(df: DataFrame, key: str, ts: str, id_col: str, gap_s: float = 60.0 / params.LLM_RPM,
+                        n_parts: int | None = None) -> DataFrame:
+    """W5 for skewed sessions; same result as ``rate_schedule``.
+
+    Rows are range-partitioned by (key, ts, id); each (key, partition) chunk numbers its rows
+    and takes its running max locally; the global row index adds the row counts of the key's
+    earlier chunks, and the running max starts from the max of the earlier chunks (both from
+    small per-chunk tables with at most partitions-many rows per key)."""
+    d = _range_chunks(df.select(key, id_col, epoch_seconds(ts).alias("arrive_s"), F.col(ts).alias("_ts")),
+                      key, ["_ts", id_col], n_parts)
+    wl = Window.partitionBy(key, "_pid").orderBy("_ts", id_col)
+    d = d.withColumn("_li", F.row_number().over(wl) - 1)
+    cnt = d.groupBy(key, "_pid").agg(F.count("*").alias("_n"))
+    off = cnt.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    d = d.join(off.select(key, "_pid", "_off"), [key, "_pid"]).withColumn("_i", F.col("_off") + F.col("_li"))
+    d = d.withColumn("_v", F.col("arrive_s") - F.col("_i") * gap_s)
+    mx = d.groupBy(key, "_pid").agg(F.max("_v").alias("_m"))
+    carry = mx.withColumn("_c", F.max("_m").over(
+        Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).select(key, "_pid", "_c")
+    d = d.join(carry, [key, "_pid"]).withColumn(
+        "_run", F.max("_v").over(wl.rowsBetween(Window.unboundedPreceding, 0)))
+    best = F.when(F.col("_c").isNull(), F.col("_run")).otherwise(F.greatest("_c", "_run"))
+    out = d.withColumn("start_s", F.col("_i") * gap_s + best)
+    return out.select(key, id_col, "arrive_s", "start_s", (F.col("start_s") - F.col("arrive_s")).alias("wait_s"))
+
+
+def duplicate_submits_split(df: DataFrame, key: str, order, message: str, history: str,
+                            n_parts: int | None = None) -> DataFrame:
+    """W1 for skewed sessions; same result as ``duplicate_submits``.  The previous submit of a
+    chunk's first row is the last row of the key's previous non-empty chunk."""
+    order = list(order)
+    d = _range_chunks(df, key, order, n_parts)
+    wl = Window.partitionBy(key, "_pid").orderBy(*order)
+    d = d.withColumn("_pm", F.lag(message).over(wl)).withColumn("_ph", F.lag(history).over(wl)) \
+        .withColumn("_first", F.row_number().over(wl) == 1)
+    last = d.groupBy(key, "_pid").agg(F.max_by(F.struct(F.col(message).alias("m"), F.col(history).alias("h")),
+                                               F.struct(*order)).alias("_last"))
+    prev = last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(key).orderBy("_pid"))) \
+        .select(key, "_pid", "_prev")
+    d = d.join(prev, [key, "_pid"], "left")
+    pm = F.when(F.col("_first"), F.col("_prev.m")).otherwise(F.col("_pm"))
+    ph = F.when(F.col("_first"), F.col("_prev.h")).otherwise(F.col("_ph"))
+    m = F.col(message)
+    dup = (F.trim(F.coalesce(m, F.lit(""))) != "") & (m == pm) & (F.col(history) == ph)
+    return d.withColumn("is_duplicate", F.coalesce(dup, F.lit(False))).drop("_pm", "_ph", "_first", "_prev", "_pid")

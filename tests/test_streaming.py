@@ -47,3 +47,21 @@ def test_history_stream_equals_batch(spark):
     assert got == batch
     pairs = {(r.conv_id, r.user, r.assistant) for r in message_pairs(df).collect()}
     assert pairs == {(1, "q1", "a1"), (1, "q3", "a3"), (2, "q", "a")}
+
+
+def test_split_forms_equal_window_forms_on_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    # one user holds most events, so its rows span several range partitions
+    rows = [(i, 0 if i % 4 else 1 + i % 3, ["view", "click"][(i // 5) % 2], i * 37 % 5000, str((i // 7) % 2))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, t long, hk string") \
+        .withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    a = {r.event_id: r.is_duplicate for r in
+         W.duplicate_submits(df, "user_id", ["ts", "event_id"], "event_type", "hk").collect()}
+    b = {r.event_id: r.is_duplicate for r in
+         W.duplicate_submits_split(df, "user_id", ["ts", "event_id"], "event_type", "hk", n_parts=6).collect()}
+    assert a == b and any(a.values())
+    a = {r.event_id: (r.start_s, r.wait_s) for r in W.rate_schedule(df, "user_id", "ts", "event_id", 90.0).collect()}
+    b = {r.event_id: (r.start_s, r.wait_s) for r in
+         W.rate_schedule_split(df, "user_id", "ts", "event_id", 90.0, n_parts=6).collect()}
+    assert a == b and any(w > 0 for _, w in a.values())
