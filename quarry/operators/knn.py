@@ -75,12 +75,22 @@ def _candidates(dist: np.ndarray, key: np.ndarray, q_offset: int, codes: np.ndar
     return tuple(np.concatenate(x) for x in (out_q, out_g, out_i, out_d, out_k))
 
 
+def _query_cols(qid_cols, qvec_col, exclude):
+    q_excl_col = exclude[0] if exclude else None
+    return list(qid_cols) + ([q_excl_col] if q_excl_col and q_excl_col not in qid_cols else []) + [qvec_col]
+
+
+# Query tables up to this many rows are collected in one job without a count first: even at
+# 4096 dimensions they stay within the broadcast bound.
+_FAST_ROWS = 8192
+
+
 def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_col, id_col, vec_col, by,
-                  exclude) -> DataFrame:
+                  exclude, qpdf=None) -> DataFrame:
     spark = corpus.sparkSession
     q_excl_col, c_excl_col = exclude if exclude else (None, None)
-    q_select = list(qid_cols) + ([q_excl_col] if q_excl_col and q_excl_col not in qid_cols else []) + [qvec_col]
-    qpdf = queries.select(*q_select).toPandas()
+    if qpdf is None:
+        qpdf = queries.select(*_query_cols(qid_cols, qvec_col, exclude)).toPandas()
     if len(qpdf) == 0:
         return None
     qmat = np.stack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec_col]])
@@ -167,16 +177,20 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int, *, qid_cols=("qid",), qve
     (e.g. a question must not retrieve its own vector).
     """
     qid_cols, by = tuple(qid_cols), tuple(by)
-    n_q = queries.count()
-    dim_row = queries.select(F.size(qvec_col).alias("d")).where(F.col("d") > 0).first()
-    dim = dim_row[0] if dim_row else 1
-    n_blocks = max(1, math.ceil(n_q * dim * 8 / max_broadcast_bytes))
-    if n_blocks == 1:
-        parts = [queries]
+    cap = max(1, min(_FAST_ROWS, max_broadcast_bytes // (8 * 4096)))
+    head = queries.select(*_query_cols(qid_cols, qvec_col, exclude)).limit(cap + 1).toPandas()
+    if len(head) <= cap:                      # common case: one bounded collection, one pass
+        found = [_search_block(corpus, queries, k, qid_cols, qvec_col, id_col, vec_col, by, exclude, qpdf=head)]
     else:
-        blk = queries.withColumn("__blk", F.pmod(F.xxhash64(*qid_cols), F.lit(n_blocks)))
-        parts = [blk.where(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
-    found = [_search_block(corpus, p, k, qid_cols, qvec_col, id_col, vec_col, by, exclude) for p in parts]
+        n_q = queries.count()
+        dim = max(len(v) for v in head[qvec_col])
+        n_blocks = max(1, math.ceil(n_q * dim * 8 / max_broadcast_bytes))
+        if n_blocks == 1:
+            parts = [queries]
+        else:
+            blk = queries.withColumn("__blk", F.pmod(F.xxhash64(*qid_cols), F.lit(n_blocks)))
+            parts = [blk.where(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
+        found = [_search_block(corpus, p, k, qid_cols, qvec_col, id_col, vec_col, by, exclude) for p in parts]
     found = [f for f in found if f is not None]
     if not found:
         schema = T.StructType([queries.schema[c] for c in qid_cols] + [corpus.schema[c] for c in by] + [

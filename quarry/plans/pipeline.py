@@ -24,7 +24,8 @@ ANSWER_CHARS = 300   # extractive answer length
 
 
 def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame | None, words,
-                   qrows: DataFrame | None = None, final_k: int = params.RETRIEVAL_TOP_K) -> DataFrame:
+                   qrows: DataFrame | None = None, final_k: int = params.RETRIEVAL_TOP_K,
+                   with_count: bool = False):
     """Hybrid retrieval + rerank policy for in-scope questions: (qid, doc_id, type, domain, distance, pos).
 
     The pool (one kNN pass), the keyword bonuses and the k=16 result are each computed once
@@ -40,9 +41,11 @@ def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame
                                   est_rows=est).persist(StorageLevel.MEMORY_AND_DISK)
     d16 = R.hybrid(pool, bonus, questions_in, POOL_K).persist(StorageLevel.MEMORY_AND_DISK)
     if judge is None:
-        return d16.where(F.col("pos") <= final_k)
-    d8 = R.hybrid(pool, bonus, questions_in, final_k)
-    return K.rerank_policy(d16, d8, judge, final_k=final_k)
+        final = d16.where(F.col("pos") <= final_k)
+    else:
+        d8 = R.hybrid(pool, bonus, questions_in, final_k)
+        final = K.rerank_policy(d16, d8, judge, final_k=final_k)
+    return (final, n_rows) if with_count else final
 
 
 def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame | None = None, *, scope_groups,
@@ -54,9 +57,10 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     is_uncertain, answer, citations."""
     gated = scope_gate(questions, scope_groups)
     inq = gated.where(~F.col("out_of_scope"))
-    final = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows).persist(StorageLevel.MEMORY_AND_DISK)
-    # at most RETRIEVAL_TOP_K rows per question; the question count was size-checked by the kNN
-    est = inq.count() * params.RETRIEVAL_TOP_K
+    final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True)
+    final = final.persist(StorageLevel.MEMORY_AND_DISK)
+    # at most RETRIEVAL_TOP_K rows per question row; the question side was size-checked by the kNN
+    est = n_rows * params.RETRIEVAL_TOP_K
     docs = R.attach(final, corpus, ["content", "source", "article", "accusation"], est_rows=est)
     stats = K.doc_stats(final)
     lists = docs.groupBy("qid").agg(
