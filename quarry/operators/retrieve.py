@@ -10,6 +10,8 @@ corpus is scanned once per answer batch.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,8 +99,8 @@ def _bonus_udf(qlex: pd.Series, qarts: pd.Series, qwords: pd.Series, lc: pd.Seri
     out = []
     for lex, arts, words, text in zip(qlex, qarts, qwords, lc):
         n = sum(1 for w in lex if w in text)
-        a = sum(1 for x in arts if x in text)
-        q = sum(1 for w in words if w in text)
+        a = sum(c for x, c in Counter(arts).items() if x in text)      # each distinct word searched once,
+        q = sum(c for w, c in Counter(words).items() if w in text)     # counted with its repeats
         out.append(-0.5 * n - (0.5 if n >= 2 else 0.0) - 2.0 * a - 0.3 * q)
     return pd.Series(out, dtype="float64")
 
