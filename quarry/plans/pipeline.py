@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry import params
 from quarry.functions.text import cut
 from quarry.operators import answer as A
+from quarry.operators import checks as H
 from quarry.operators import rank as K
 from quarry.operators import retrieve as R
 from quarry.operators.scope import refusal, scope_gate
@@ -52,9 +53,15 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
                     rerank_words, min_relevance: float = params.MIN_RELEVANCE,
                     confidence_threshold: float = params.CONFIDENCE_THRESHOLD,
                     refusal_template: str = A.REFUSAL_TEMPLATE, low_relevance_answer: str = A.LOW_RELEVANCE_ANSWER,
-                    uncertain_answer: str = A.UNCERTAIN_ANSWER, qrows: DataFrame | None = None) -> DataFrame:
+                    uncertain_answer: str = A.UNCERTAIN_ANSWER, qrows: DataFrame | None = None,
+                    verdicts: DataFrame | None = None, check_lexicon: H.CheckLexicon = H.DEFAULT) -> DataFrame:
     """One row per question: qid, status, detected_domain, n_docs, doc_ids, confidence,
-    is_uncertain, answer, citations."""
+    is_uncertain, answer, citations.
+
+    Answered questions that the check policy (K9) marks as risky get a hallucination check:
+    the model verdict from ``verdicts`` (qid, reply) when given, else the local heuristic
+    check (what the reference falls back to without a model); medium/high risk appends the
+    warning (H3)."""
     gated = scope_gate(questions, scope_groups)
     inq = gated.where(~F.col("out_of_scope"))
     final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True)
@@ -67,7 +74,8 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
         F.array_sort(F.collect_list(F.struct(
             "pos", F.col("doc_id").cast("string").alias("id"),
             A.source_label("source", "type", "article", "accusation").alias("label"),
-            cut("content", ANSWER_CHARS).alias("excerpt")))).alias("_l"))
+            cut("content", ANSWER_CHARS).alias("excerpt"),
+            F.substring("content", 1, params.CONTEXT_CHARS_LOCAL).alias("ctx")))).alias("_l"))
     out = gated.select("qid", "out_of_scope", "detected_domain").join(stats, "qid", "left").join(lists, "qid", "left")
     oos, n = F.col("out_of_scope"), F.coalesce(F.col("n_docs"), F.lit(0))
     low = K.low_relevance(out, min_relevance)
@@ -75,6 +83,17 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     status = F.when(oos, "out_of_scope").when(low, "low_relevance").otherwise("answered")
     answered = ~oos & ~low
     ids = F.coalesce(F.array_join(F.transform("_l", lambda s: s["id"]), ","), F.lit(""))
+    # K9 -> H1/H2 -> H3 on answered questions
+    excerpt = F.col("_l")[0]["excerpt"]
+    context = F.array_join(F.transform(F.slice("_l", 1, params.CONTEXT_DOCS_LOCAL), lambda s: s["ctx"]), " ")
+    policy = K.check_policy(oos, n, low)
+    if verdicts is not None:
+        out = out.join(verdicts.select("qid", F.col("reply").alias("_reply")), "qid", "left")
+        check = F.when(F.col("_reply").isNull(), H.local_check(excerpt, context, n, check_lexicon)).otherwise(
+            H.verdict_check(F.col("_reply"), excerpt, context, n, check_lexicon))
+    else:
+        check = H.local_check(excerpt, context, n, check_lexicon)
+    checked = F.when(policy["check"], H.with_warning(excerpt, check, F.lit(0.0), lex=check_lexicon)).otherwise(excerpt)
     return out.select(
         "qid",
         status.alias("status"),
@@ -85,7 +104,7 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
         .otherwise(conf).alias("confidence"),
         F.when(oos | low, F.lit(True)).otherwise(K.is_uncertain(conf, n, confidence_threshold)).alias("is_uncertain"),
         F.when(oos, refusal("detected_domain", refusal_template)).when(low, F.lit(low_relevance_answer))
-        .when(n == 0, F.lit(uncertain_answer)).otherwise(F.col("_l")[0]["excerpt"]).alias("answer"),
+        .when(n == 0, F.lit(uncertain_answer)).otherwise(checked).alias("answer"),
         F.when(answered, F.array_join(F.transform("_l", lambda s: s["label"]), " | ")).otherwise(F.lit(""))
         .alias("citations"),
     )
