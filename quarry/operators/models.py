@@ -12,7 +12,6 @@ from __future__ import annotations
 import time
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,13 +154,3 @@ def generate(prompts: DataFrame, prompt_col: str, generate_fn=None, out_col: str
             yield pdf.assign(**{out_col: list(out)})
 
     return prompts.mapInPandas(run, schema)
-
-
-def normalize_rows(mat: np.ndarray) -> np.ndarray:
-    n = np.linalg.norm(mat, axis=1, keepdims=True)
-    n[n == 0] = 1.0
-    return mat / n
-
-
-__all__ = ["backoff_schedule", "batch_plan", "embed", "generate", "global_index", "hashed_embedding",
-           "normalize_rows", "pd"]

@@ -3,7 +3,6 @@ retrieval variants (G1-G6, M2, M5, R10-R13)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry import lexicon as L

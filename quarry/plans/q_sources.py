@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import WS_CLASS
 from quarry.plans import adapters as ad
 from quarry.plans import sql_fragments as S
 from quarry.plans.catalog import register
@@ -89,6 +88,3 @@ def q_index_roundtrip(spark, sf):
     return idx.groupBy("domain", "type").agg(F.count("*").cast("bigint").alias("n_chunks"),
                                              F.sum(F.length("content")).cast("bigint").alias("n_chars"),
                                              F.sum(F.size("embedding")).cast("bigint").alias("n_values"))
-
-
-__all__ = ["WS_CLASS"]
