@@ -32,7 +32,7 @@ def q_pairs_to_messages(spark, sf):
     return A.pairs_to_messages(_pairs(spark, sf))
 
 
-@register("history_window", S.with_(MSG_PAIRS) + f"""
+HISTORY_SQL = f"""
 SELECT conv_id, pair_no, CAST(n_history AS BIGINT) AS n_history,
        CASE WHEN n_history = 0 THEN '{A.NO_HISTORY}' ELSE array_to_string(list_transform(
          list_sort(last3), lambda s: s.l), chr(10)) END AS history_text
@@ -42,7 +42,10 @@ FROM (
          flatten(list([{{'k': pair_no * 2, 'l': '{A.USER_LABEL}' || substr("user", 1, 200) || '...'}},
                        {{'k': pair_no * 2 + 1, 'l': '{A.ASSISTANT_LABEL}' || substr(assistant, 1, 300) || '...'}}])
            OVER (PARTITION BY conv_id ORDER BY pair_no ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)) AS last3
-  FROM pairs)""")
+  FROM pairs)"""
+
+
+@register("history_window", S.with_(MSG_PAIRS) + HISTORY_SQL)
 def q_history_window(spark, sf):
     h = A.history_window(_pairs(spark, sf))
     return h.select("conv_id", "pair_no", "n_history", "history_text")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from quarry import lexicon as L
 from quarry.plans import adapters as ad
 from quarry.plans import q_answer as QA
+from quarry.plans import sql_fragments as S
 from quarry.plans.catalog import register
+from quarry.plans.q_history import HISTORY_SQL
+from quarry.plans.q_text import MSG_PAIRS
 from quarry.streaming import answers as SA
 from quarry.streaming import operators as W
 
@@ -20,48 +23,68 @@ def _events(spark, sf):
     return e.withColumn("history_key", F.floor(F.col("value") / 10).cast("string"))
 
 
-@register("dup_submit", """
+DUP_SQL = """
 SELECT event_id, user_id,
   coalesce(trim(event_type) <> '' AND event_type = lag(event_type) OVER w AND hk = lag(hk) OVER w, false) AS is_duplicate
 FROM (SELECT *, CAST(floor(value / 10) AS BIGINT)::VARCHAR AS hk FROM events)
-WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+
+def _ttl_sql(key: str) -> str:
+    """W2 twin: a recursive walk over each key's requests in time order; the computed-at time
+    is carried from row to row and reset on a miss."""
+    return f"""WITH RECURSIVE ev AS (
+  SELECT {key} AS k, event_id, epoch_us(ts) / 1e6 AS t,
+         row_number() OVER (PARTITION BY {key} ORDER BY epoch_us(ts) / 1e6, event_id) AS rn FROM events),
+chain(k, rn, c, hit) AS (
+  SELECT k, rn, t, false FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.k, e.rn, CASE WHEN e.t - ch.c <= {TTL_S} THEN ch.c ELSE e.t END, e.t - ch.c <= {TTL_S}
+  FROM chain ch JOIN ev e ON e.k = ch.k AND e.rn = ch.rn + 1)
+SELECT e.event_id, ch.hit, round(ch.c, 6) AS computed_at FROM ev e JOIN chain ch ON e.k = ch.k AND e.rn = ch.rn"""
+
+
+@register("dup_submit", DUP_SQL)
 def q_dup_submit(spark, sf):
     """Same message (event type) with the same history key as the user's previous submit."""
     d = W.duplicate_submits_split(_events(spark, sf), "user_id", ["ts", "event_id"], "event_type", "history_key")
     return d.select("event_id", "user_id", "is_duplicate")
 
 
-@register("dup_submit_stream")
+@register("dup_submit_stream", DUP_SQL)
 def q_dup_submit_stream(spark, sf):
     s = SA.file_stream(spark, sf, ad.table(spark, sf, "events").schema, "events.parquet") \
         .withColumn("history_key", F.floor(F.col("value") / 10).cast("string"))
-    return SA.run_available(W.duplicate_submits_stream(s, "user_id", "ts", "event_type", "history_key", "event_id"),
-                            "dup-submit")
+    r = SA.run_available(W.duplicate_submits_stream(s, "user_id", "ts", "event_type", "history_key", "event_id"),
+                         "dup-submit")
+    return r.select("event_id", "user_id", "is_duplicate")
 
 
-@register("ttl_reuse")
+@register("ttl_reuse", _ttl_sql("user_id || '/' || event_type"))
 def q_ttl_reuse(spark, sf):
     """Per (user, event type) result reuse within the TTL of when it was computed."""
     r = W.ttl_reuse(ad.table(spark, sf, "events"), ["user_id", "event_type"], "ts", "event_id", TTL_S)
     return r.select("event_id", "hit", F.round("computed_at", 6).alias("computed_at"))
 
 
-@register("ttl_reuse_stream")
+@register("ttl_reuse_stream", _ttl_sql("CAST(user_id AS VARCHAR) || '/' || event_type"))
 def q_ttl_reuse_stream(spark, sf):
     s = SA.file_stream(spark, sf, ad.table(spark, sf, "events").schema, "events.parquet") \
         .withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "event_type"))
-    return SA.run_available(W.ttl_reuse_stream(s, "key", "ts", "event_id", TTL_S), "ttl-reuse")
+    r = SA.run_available(W.ttl_reuse_stream(s, "key", "ts", "event_id", TTL_S), "ttl-reuse")
+    return r.select("event_id", "hit", F.round("computed_at", 6).alias("computed_at"))
 
 
-@register("stream_history")
+@register("stream_history", S.with_(MSG_PAIRS) + HISTORY_SQL)
 def q_stream_history(spark, sf):
     """Conversation messages arriving as a stream; each new (user, assistant) pair sees its
     session's last turns (same result as the batch ``history_window``)."""
     conv = SA.file_stream(spark, sf, ad.table(spark, sf, "conversations").schema, "conversations.parquet")
-    return SA.run_available(W.history_stream(conv), "history")
+    h = SA.run_available(W.history_stream(conv), "history")
+    return h.select("conv_id", "pair_no", "n_history", "history_text")
 
 
-@register("stream_answers")
+@register("stream_answers", QA._ANSWER_SQL)
 def q_stream_answers(spark, sf):
     """Benchmark questions arriving as a stream, answered per micro-batch."""
     b = SA.file_stream(spark, sf, ad.table(spark, sf, "benchmark").schema, "benchmark.parquet")
