@@ -19,10 +19,12 @@ from pyspark.sql import types as T
 from quarry import params
 
 
-def epoch_seconds(ts) -> F.Column:
-    """Event time (TIMESTAMP or TIMESTAMP_NTZ, read as UTC) as double seconds."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp")) / 1e6
+def epoch_seconds(df: DataFrame, ts: str) -> F.Column:
+    """Event time as double seconds since the epoch: a TIMESTAMP is an instant; a
+    TIMESTAMP_NTZ is read as UTC wall time, independent of the session time zone."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)") / 1e6
+    return F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
 
 
 # ---- W1: duplicate-submit guard -------------------------------------------------------------
@@ -84,7 +86,7 @@ def ttl_reuse(df: DataFrame, keys, ts: str, id_col: str, ttl_s: float = params.C
     ``mapInPandas`` pass folds each key's run with O(1) state (the current key's
     computed-at time).  Output: id, hit, computed_at."""
     keys = list(keys)
-    d = (df.select(*keys, id_col, epoch_seconds(ts).alias("_t")).repartition(*keys)
+    d = (df.select(*keys, id_col, epoch_seconds(df, ts).alias("_t")).repartition(*keys)
          .sortWithinPartitions(*keys, "_t", id_col))
     id_type = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("hit", T.BooleanType()),
@@ -116,7 +118,7 @@ def ttl_reuse_stream(stream: DataFrame, key: str, ts: str, id_col: str,
     out = T.StructType([T.StructField(id_col, id_type), T.StructField("hit", T.BooleanType()),
                         T.StructField("computed_at", T.DoubleType())])
     state_schema = T.StructType([T.StructField("computed_at", T.DoubleType())])
-    s = stream.withColumn("_t", epoch_seconds(ts))
+    s = stream.withColumn("_t", epoch_seconds(stream, ts))
 
     def step(k, batches, state):
         c = state.get[0] if state.exists else None
@@ -192,7 +194,7 @@ def rate_schedule(df: DataFrame, key: str, ts: str, id_col: str, gap_s: float =
     """Start time t_i = max(arrive_i, t_{i-1} + gap) per key, computed in closed form
     t_i = i*gap + max_{j<=i}(arrive_j - j*gap) with a running-max window."""
     w = Window.partitionBy(key).orderBy(ts, id_col)
-    d = df.select(key, id_col, epoch_seconds(ts).alias("arrive_s"), (F.row_number().over(w) - 1).alias("_i"))
+    d = df.select(key, id_col, epoch_seconds(df, ts).alias("arrive_s"), (F.row_number().over(w) - 1).alias("_i"))
     run = Window.partitionBy(key).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("start_s", F.col("_i") * gap_s + F.max(F.col("arrive_s") - F.col("_i") * gap_s).over(run))
     return d.withColumn("wait_s", F.col("start_s") - F.col("arrive_s")).drop("_i")
@@ -218,7 +220,7 @@ def rate_schedule_split(df: DataFrame, key: str, ts: str, id_col: str, gap_s: fl
     and takes its running max locally; the global row index adds the row counts of the key's
     earlier chunks, and the running max starts from the max of the earlier chunks (both from
     small per-chunk tables with at most partitions-many rows per key)."""
-    d = _range_chunks(df.select(key, id_col, epoch_seconds(ts).alias("arrive_s"), F.col(ts).alias("_ts")),
+    d = _range_chunks(df.select(key, id_col, epoch_seconds(df, ts).alias("arrive_s"), F.col(ts).alias("_ts")),
                       key, ["_ts", id_col], n_parts)
     wl = Window.partitionBy(key, "_pid").orderBy("_ts", id_col)
     d = d.withColumn("_li", F.row_number().over(wl) - 1)
