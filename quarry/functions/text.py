@@ -22,9 +22,10 @@ def clean_text(c) -> Column:
     """Null -> ''; whitespace runs -> one space; control chars removed; '．' -> '.'; trim."""
     x = F.coalesce(col_(c), F.lit(""))
     x = F.regexp_replace(x, WS_CLASS + "+", " ")
-    x = F.regexp_replace(x, CONTROL_CLASS, "")
-    x = F.regexp_replace(x, "．", ".")
-    return F.regexp_replace(x, r"^ +| +$", "")
+    # control characters are rare: test once, replace only when present
+    x = F.when(x.rlike(CONTROL_CLASS), F.regexp_replace(x, CONTROL_CLASS, "")).otherwise(x)
+    x = F.replace(x, F.lit("．"), F.lit("."))
+    return F.trim(x)           # only spaces can remain at the ends after folding whitespace
 
 
 def stable_id(content, source) -> Column:

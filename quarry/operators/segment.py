@@ -65,7 +65,10 @@ def segment_articles(files: DataFrame, text_col: str = "text", domain_name_col:
         i.alias("pos"),
         F.when(i == 0, F.lit(PREAMBLE_ARTICLE)).otherwise(F.element_at("_anchors", i)).alias("article"),
         F.when(i == 0, F.lit("")).otherwise(F.element_at("_chap", i)).alias("chapter"),
-        clean_text(F.regexp_replace(p, rf"(?m)^ *{HEADING}$", "")).alias("body"),
+        # cleaned inside the generator so that it is computed once (a filter on a projected
+        # column would be pushed below the projection and evaluate the cleaning twice)
+        clean_text(F.when(F.instr(p, "第") > 0, F.regexp_replace(p, rf"(?m)^ *{HEADING}$", "")).otherwise(p))
+        .alias("body"),
         p.alias("raw")))
     ex = df.select(*keep, F.explode(items).alias("it")).select(*keep, "it.*")
     is_pre = F.col("pos") == 0
