@@ -16,6 +16,7 @@ from quarry import params
 from quarry.functions.text import cut
 from quarry.operators import answer as A
 from quarry.operators import checks as H
+from quarry.operators import fused
 from quarry.operators import rank as K
 from quarry.operators import retrieve as R
 from quarry.operators.scope import refusal, scope_gate
@@ -29,8 +30,8 @@ def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame
                    with_count: bool = False):
     """Hybrid retrieval + rerank policy for in-scope questions: (qid, doc_id, type, domain, distance, pos).
 
-    The pool (one kNN pass), the keyword bonuses and the k=16 result are each computed once
-    and persisted: the policy reads them from several branches.  All three are bounded by
+    One kNN pass builds the pool (persisted: the keyword bonuses and the final step both read
+    it); everything after it is the fused per-question step (``operators.fused``), bounded by
     (questions x fetch x groups) rows."""
     if qrows is None:
         qrows = questions_in.select("qid", F.lit(0).cast("bigint").alias("ord"), "qvec")
@@ -38,14 +39,10 @@ def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame
     fetch = R.fetch_size(POOL_K)
     est = n_rows * fetch * 10
     pool = R.pool(corpus, qrows, fetch).persist(StorageLevel.MEMORY_AND_DISK)
-    bonus = R.keyword_bonus_table(R.hybrid_candidates(pool, POOL_K), questions_in, corpus, words,
-                                  est_rows=est).persist(StorageLevel.MEMORY_AND_DISK)
-    d16 = R.hybrid(pool, bonus, questions_in, POOL_K).persist(StorageLevel.MEMORY_AND_DISK)
-    if judge is None:
-        final = d16.where(F.col("pos") <= final_k)
-    else:
-        d8 = R.hybrid(pool, bonus, questions_in, final_k)
-        final = K.rerank_policy(d16, d8, judge, final_k=final_k)
+    sk, _ = R.quotas(POOL_K)
+    statutes = pool.where((F.col("type") == "statute") & (F.col("rk") <= 2 * sk))
+    bonus = R.keyword_bonus_table(statutes, questions_in, corpus, words, est_rows=est)
+    final = fused.final_docs(pool, bonus, judge, est_rows=est, pool_k=POOL_K, final_k=final_k)
     return (final, n_rows) if with_count else final
 
 
