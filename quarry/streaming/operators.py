@@ -258,3 +258,13 @@ def duplicate_submits_split(df: DataFrame, key: str, order, message: str, histor
     m = F.col(message)
     dup = (F.trim(F.coalesce(m, F.lit(""))) != "") & (m == pm) & (F.col(history) == ph)
     return d.withColumn("is_duplicate", F.coalesce(dup, F.lit(False))).drop("_pm", "_ph", "_first", "_prev", "_pid")
+
+
+def dedup_within_delay(stream: DataFrame, keys, ts: str, delay: str = "10 minutes") -> DataFrame:
+    """W1, time-bounded variant: keep one row per key among repeats arriving within the
+    watermark delay (``dropDuplicatesWithinWatermark``; state is evicted once the watermark
+    passes; which repeat of one micro-batch survives is not specified).
+    Unlike the exact guard above it may also drop repeats that are somewhat further apart,
+    so it is not used where exact results are checked."""
+    t = stream.withColumn("_ets", F.col(ts).cast("timestamp"))
+    return t.withWatermark("_ets", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_ets")

@@ -65,3 +65,15 @@ def test_split_forms_equal_window_forms_on_a_hot_key(spark):
     b = {r.event_id: (r.start_s, r.wait_s) for r in
          W.rate_schedule_split(df, "user_id", "ts", "event_id", 90.0, n_parts=6).collect()}
     assert a == b and any(w > 0 for _, w in a.values())
+
+
+def test_dedup_within_delay_drops_close_repeats(spark):
+    d = tempfile.mkdtemp(prefix="quarry-test-wm-")
+    rows = [(1, 7, "view", 0), (2, 7, "view", 30), (3, 7, "click", 40), (4, 8, "view", 50)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, t long") \
+        .withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    df.orderBy("ts").coalesce(1).write.mode("overwrite").parquet(os.path.join(d, "e"))
+    stream = SA.file_stream(spark, os.path.join(d, "e"), df.schema)
+    got = {r.event_id for r in SA.run_available(W.dedup_within_delay(stream, ["user_id", "event_type"], "ts",
+                                                                      "10 minutes"), "t-wm").collect()}
+    assert {3, 4} <= got and len(got & {1, 2}) == 1 and len(got) == 3   # one of the two close repeats
