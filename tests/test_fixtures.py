@@ -121,3 +121,20 @@ def test_rate_schedule(spark):
 def test_backoff_schedule():
     from quarry.operators.models import backoff_schedule
     assert backoff_schedule(5) == [10, 20, 40, 80, 120]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_SRC = st.lists(st.sampled_from(["刑法", "第1条", "案例", "cail", "abc", "【x】", "(y)", "", "Statute", "z"]), max_size=5)
+
+
+@settings(max_examples=20, deadline=None)
+@given(_SRC, _SRC)
+def test_citation_prf_bounds(spark, pred, exp):
+    df = spark.createDataFrame([(pred, exp)], "p array<string>, e array<string>")
+    r = one(df.select(E.citation_prf("p", "e").alias("v")).select("v.*"))
+    for x in (r.precision, r.recall, r.f1):
+        assert 0.0 <= x <= 1.0
+    if r.precision + r.recall > 0:
+        assert r.f1 == pytest.approx(2 * r.precision * r.recall / (r.precision + r.recall))
