@@ -63,7 +63,7 @@ def q_dup_submit_stream(spark, sf):
 @register("ttl_reuse", _ttl_sql("user_id || '/' || event_type"))
 def q_ttl_reuse(spark, sf):
     """Per (user, event type) result reuse within the TTL of when it was computed."""
-    r = W.ttl_reuse(ad.table(spark, sf, "events"), ["user_id", "event_type"], "ts", "event_id", TTL_S)
+    r = W.ttl_reuse_split(ad.table(spark, sf, "events"), ["user_id", "event_type"], "ts", "event_id", TTL_S)
     return r.select("event_id", "hit", F.round("computed_at", 6).alias("computed_at"))
 
 

@@ -268,3 +268,53 @@ def dedup_within_delay(stream: DataFrame, keys, ts: str, delay: str = "10 minute
     so it is not used where exact results are checked."""
     t = stream.withColumn("_ets", F.col(ts).cast("timestamp"))
     return t.withWatermark("_ets", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_ets")
+
+
+def ttl_reuse_split(df: DataFrame, keys, ts: str, id_col: str, ttl_s: float = params.CACHE_TTL_SECONDS,
+                    n_parts: int | None = None) -> DataFrame:
+    """W2 for skewed keys; same result as ``ttl_reuse``.
+
+    A gap longer than the TTL always starts afresh (the cached result has expired), so each
+    key's timeline is cut at such gaps into independent segments.  The previous request of a
+    chunk's first row comes from the key's previous range chunk, and segment numbers are a
+    running count carried across chunks; the fold then runs per (key, segment), hash-spread
+    over tasks, so a busy key's segments are folded in parallel."""
+    keys = list(keys)
+    kcol = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]) if len(keys) > 1 else F.col(keys[0])
+    base = df.select(kcol.alias("_key"), id_col, epoch_seconds(df, ts).alias("_t"))
+    d = _range_chunks(base, "_key", ["_t", id_col], n_parts)
+    wl = Window.partitionBy("_key", "_pid").orderBy("_t", id_col)
+    d = d.withColumn("_prev", F.lag("_t").over(wl)).withColumn("_first", F.row_number().over(wl) == 1)
+    last = d.groupBy("_key", "_pid").agg(F.max("_t").alias("_last"))   # chunks are time-ordered per key
+    prev_last = last.withColumn("_pl", F.lag("_last").over(Window.partitionBy("_key").orderBy("_pid"))) \
+        .select("_key", "_pid", "_pl")
+    d = d.join(prev_last, ["_key", "_pid"], "left").withColumn(
+        "_prev", F.when(F.col("_first"), F.col("_pl")).otherwise(F.col("_prev")))
+    d = d.withColumn("_new", (F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > ttl_s)).cast("int"))
+    d = d.withColumn("_lseg", F.sum("_new").over(wl.rowsBetween(Window.unboundedPreceding, 0)))
+    cnt = d.groupBy("_key", "_pid").agg(F.sum("_new").alias("_n"))
+    off = cnt.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.partitionBy("_key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    d = d.join(off.select("_key", "_pid", "_off"), ["_key", "_pid"]).withColumn("_seg", F.col("_off") + F.col("_lseg"))
+    seg = (d.select("_key", "_seg", id_col, "_t").repartition("_key", "_seg")
+           .sortWithinPartitions("_key", "_seg", "_t", id_col))
+    id_type = df.schema[id_col].dataType
+    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("hit", T.BooleanType()),
+                           T.StructField("computed_at", T.DoubleType())])
+
+    def run(batches):
+        cur, c = None, None
+        for pdf in batches:
+            hits, cs = [], []
+            for kk, sg, t in zip(pdf["_key"].tolist(), pdf["_seg"].tolist(), pdf["_t"].tolist()):
+                if (kk, sg) != cur:
+                    cur, c = (kk, sg), None
+                if c is not None and t - c <= ttl_s:
+                    hits.append(True)
+                else:
+                    c = t
+                    hits.append(False)
+                cs.append(c)
+            yield pd.DataFrame({id_col: pdf[id_col].tolist(), "hit": hits, "computed_at": cs})
+
+    return seg.mapInPandas(run, schema)

@@ -77,3 +77,14 @@ def test_dedup_within_delay_drops_close_repeats(spark):
     got = {r.event_id for r in SA.run_available(W.dedup_within_delay(stream, ["user_id", "event_type"], "ts",
                                                                       "10 minutes"), "t-wm").collect()}
     assert {3, 4} <= got and len(got & {1, 2}) == 1 and len(got) == 3   # one of the two close repeats
+
+
+def test_ttl_split_equals_fold_on_a_hot_key(spark):
+    rows = [(i, 0 if i % 5 else 1 + i % 2, "view", (i * 53) % 9000) for i in range(500)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, t long") \
+        .withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    a = {r.event_id: (r.hit, r.computed_at) for r in W.ttl_reuse(df, ["user_id", "event_type"], "ts", "event_id",
+                                                                  120).collect()}
+    b = {r.event_id: (r.hit, r.computed_at) for r in W.ttl_reuse_split(df, ["user_id", "event_type"], "ts", "event_id",
+                                                                        120, n_parts=7).collect()}
+    assert a == b and any(h for h, _ in a.values()) and not all(h for h, _ in a.values())
