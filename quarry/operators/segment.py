@@ -45,16 +45,16 @@ def segment_articles(files: DataFrame, text_col: str = "text", domain_name_col:
     than ``min_preamble`` and not a table of contents.  Output columns: all input columns
     except the text, plus pos (0 = preamble), article, chapter, body, content, chunk_id.
     """
-    t = normalise_layout(F.col(text_col))
     anchor_line = rf"(?m)^ *({ANCHOR}){WS_CLASS}*"
     heading_line = rf"(?m)^ *({HEADING})"
     keep = [c for c in files.columns if c != text_col]
-    df = files.select(*keep,
-                      F.regexp_extract_all(t, F.lit(anchor_line), 1).alias("_anchors"),
-                      F.split(t, anchor_line).alias("_parts"))
-    # last heading inside each part (null when none), then carried forward to later articles
-    df = df.withColumn("_heads", F.transform("_parts", lambda p: F.try_element_at(
-        F.regexp_extract_all(p, F.lit(heading_line), 1), F.lit(-1))))
+    df = files.select(*keep, normalise_layout(F.col(text_col)).alias("_t"))
+    df = df.select(*keep, F.regexp_extract_all("_t", F.lit(anchor_line), 1).alias("_anchors"),
+                   F.split("_t", anchor_line).alias("_parts"))
+    # last heading inside each part (null when none), then carried forward to later articles;
+    # a part without '第' cannot hold a heading, so the regex runs only where one can occur
+    df = df.withColumn("_heads", F.transform("_parts", lambda p: F.when(F.instr(p, "第") > 0, F.try_element_at(
+        F.regexp_extract_all(p, F.lit(heading_line), 1), F.lit(-1)))))
     # carry forward in O(articles x headings): the chapter of anchor i is the heading of the
     # last heading-bearing part among parts 0..i (headings are few compared with articles)
     df = df.withColumn("_hidx", F.filter(F.sequence(F.lit(0), F.size("_heads") - 1),
