@@ -74,3 +74,22 @@ def test_eval_samples_defaults_and_fallback(spark):
     fb = spark.createDataFrame([("q", "", [], "general")], "question string, ground_truth string, "
                                "expected_sources array<string>, category string")
     assert readers.eval_samples(spark, os.path.join(d, "none.jsonl"), fallback=fb).count() == 1
+
+
+def test_binary_text_file_quality(spark):
+    from quarry.sources import quality as Q
+    d = _tmp()
+    with open(os.path.join(d, "good.txt"), "w", encoding="utf-8") as fh:
+        fh.write("标题\n\n第一条 " + "内容" * 400 + "\n第一章 总则\n第二条 内容\n")
+    with open(os.path.join(d, "bad.txt"), "wb") as fh:
+        fh.write(b"\xff\xfe broken " * 200 + b"\nline\nline\n")
+    with open(os.path.join(d, "small.txt"), "w", encoding="utf-8") as fh:
+        fh.write("a\nb\nc\n")
+    files = Q.binary_text_files(spark, os.path.join(d, "*.txt"))
+    rows = {os.path.basename(r.file): r for r in
+            Q.text_file_quality(files, bytes_col="size_bytes", valid_col="utf8").collect()}
+    assert rows["good.txt"].passed and rows["good.txt"].has_articles and rows["good.txt"].has_chapters
+    assert rows["bad.txt"].reason == "not_utf8"
+    assert rows["small.txt"].reason == "too_small"
+    s = Q.quality_summary(Q.text_file_quality(files, bytes_col="size_bytes", valid_col="utf8")).collect()[0]
+    assert (s.passed, s.total, s.all_passed) == (1, 3, False)
