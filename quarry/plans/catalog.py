@@ -22,3 +22,9 @@ def register(name: str, sql: str | None = None):
         return fn
 
     return deco
+
+
+def round6(df: DataFrame, cols) -> DataFrame:
+    """Round the given double columns to 6 decimals (the SQL twins do the same)."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])

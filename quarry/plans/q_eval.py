@@ -8,7 +8,9 @@ from quarry.operators import checks as H
 from quarry.operators import evaluate as E
 from quarry.plans import adapters as ad
 from quarry.plans import sql_fragments as S
-from quarry.plans.catalog import register
+from quarry.plans.catalog import register, round6
+
+METRIC_COLS = ["accuracy", "avg_confidence", "citation_precision", "citation_recall", "citation_f1", "hallucination_rate", "avg_relevance", "avg_latency"]
 
 # Latin-script lexicons for the driver data (the defaults are the reference's Chinese ones).
 ELEX = E.EvalLexicon(
@@ -278,15 +280,16 @@ _AGG = """avg(CAST(is_correct AS DOUBLE)) AS accuracy, avg(confidence) AS avg_co
   avg(relevance_score) AS avg_relevance, avg(latency) AS avg_latency, CAST(count(*) AS BIGINT) AS n"""
 
 
-@register("eval_metrics", S.with_(*_BASE, _J, scored_sql()) + f"SELECT {_AGG} FROM scored")
+@register("eval_metrics", S.round6(S.with_(*_BASE, _J, scored_sql()) + f"SELECT {_AGG} FROM scored", METRIC_COLS))
 def q_eval_metrics(spark, sf):
-    return E.metrics(scored(spark, sf))
+    return round6(E.metrics(scored(spark, sf)), METRIC_COLS)
 
 
-@register("eval_by_category", S.with_(*_BASE, _J, scored_sql()) +
-          f"SELECT category, {_AGG}, CAST(grouping(category) AS INTEGER) AS is_total FROM scored GROUP BY ROLLUP (category)")
+@register("eval_by_category", S.round6(S.with_(*_BASE, _J, scored_sql()) +
+          f"SELECT category, {_AGG}, CAST(grouping(category) AS INTEGER) AS is_total FROM scored GROUP BY ROLLUP (category)",
+                                       METRIC_COLS))
 def q_eval_by_category(spark, sf):
-    return E.metrics_by_category(scored(spark, sf))
+    return round6(E.metrics_by_category(scored(spark, sf)), METRIC_COLS)
 
 
 @register("eval_coverage", S.with_(*_BASE) + """
@@ -297,7 +300,7 @@ def q_eval_coverage(spark, sf):
     return E.coverage(ad.eval_samples(spark, sf), ad.eval_answers(spark, sf), ["conv_id", "pair_no"])
 
 
-@register("run_compare", S.with_(*_BASE, answers_sql("self", "answers2"), _J,
+_RUN_SQL = S.with_(*_BASE, answers_sql("self", "answers2"), _J,
                                  _J.replace("j AS", "j2 AS").replace("answers a", "answers2 a"),
                                  scored_sql("s1", "j"), scored_sql("s2", "j2")) + f"""
 SELECT run, CAST(run_order AS BIGINT) AS run_order, {_AGG},
@@ -309,12 +312,16 @@ FROM (SELECT run, run_order, {_AGG} FROM (
       GROUP BY run, run_order)""".replace(f"SELECT run, CAST(run_order AS BIGINT) AS run_order, {_AGG},",
                                           "SELECT run, CAST(run_order AS BIGINT) AS run_order, accuracy, avg_confidence, "
                                           "citation_precision, citation_recall, citation_f1, hallucination_rate, "
-                                          "avg_relevance, avg_latency, n,"))
+                                          "avg_relevance, avg_latency, n,")
+
+
+@register("run_compare", S.round6(_RUN_SQL, METRIC_COLS + ["delta_accuracy", "delta_citation_f1", "delta_hallucination_rate"]))
 def q_run_compare(spark, sf):
     """Two runs (answers from the next turn / own turn) compared with deltas."""
     a = scored(spark, sf, "next").withColumn("run", F.lit("next")).withColumn("run_order", F.lit(1).cast("bigint"))
     b = scored(spark, sf, "self").withColumn("run", F.lit("self")).withColumn("run_order", F.lit(2).cast("bigint"))
-    return E.run_compare(a.unionByName(b))
+    return round6(E.run_compare(a.unionByName(b)),
+                  METRIC_COLS + ["delta_accuracy", "delta_citation_f1", "delta_hallucination_rate"])
 
 
 @register("eval_report", S.with_(*_BASE, _J, scored_sql()) + f"""

@@ -14,7 +14,7 @@ from quarry.operators.models import batch_plan
 from quarry.plans import adapters as ad
 from quarry.plans import q_answer as QA
 from quarry.plans import sql_fragments as S
-from quarry.plans.catalog import register
+from quarry.plans.catalog import register, round6
 
 
 @register("scope_gate", S.with_(S.QUESTIONS, QA._GATE) +
@@ -97,14 +97,17 @@ def q_refusal_text(spark, sf):
     return g.select("qid", G.refusal("detected_domain", REFUSAL_TEMPLATE).alias("answer"))
 
 
-@register("batch_plan", S.with_(S.CORPUS) + f"""
+_BATCH_SQL = S.with_(S.CORPUS) + f"""
 SELECT CAST(b AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(length(content)) AS BIGINT) AS n_chars,
        greatest({params.EMBED_MIN_SLEEP_S}::DOUBLE, 60.0::DOUBLE / {params.EMBED_RPM},
                 sum(length(content)) / {float(params.EMBED_TPM)}::DOUBLE * 60.0::DOUBLE) AS wait_s
 FROM (SELECT content, (row_number() OVER (ORDER BY doc_id) - 1) // {params.EMBED_BATCH_SIZE} AS b FROM corpus)
-GROUP BY b""")
+GROUP BY b"""
+
+
+@register("batch_plan", S.round6(_BATCH_SQL, ["wait_s"]))
 def q_batch_plan(spark, sf):
-    return batch_plan(ad.corpus(spark, sf), order_col="doc_id")
+    return round6(batch_plan(ad.corpus(spark, sf), order_col="doc_id"), ["wait_s"])
 
 
 # ---- retrieval variants over the k=16 pool ---------------------------------------------------

@@ -12,7 +12,7 @@ from quarry.operators import cases as C
 from quarry.operators import segment as G
 from quarry.plans import adapters as ad
 from quarry.plans import sql_fragments as S
-from quarry.plans.catalog import register
+from quarry.plans.catalog import register, round6
 
 PACK_SEPS = ".;"          # Latin sentence separators for the driver texts
 CASE_LIMIT = 100_000      # S11 default
@@ -103,12 +103,15 @@ def q_tag_keywords(spark, sf):
     return G.tag_keywords(d, L.LATIN_TAGS, "text").select("doc_id", F.array_join("tags", ",").alias("tags"))
 
 
-@register("corpus_stats", S.with_(S.CORPUS) + """
+_STATS_SQL = S.with_(S.CORPUS) + """
 SELECT type, CAST(count(*) AS BIGINT) AS n_docs, CAST(coalesce(sum(length(content)), 0) AS BIGINT) AS total_chars,
        coalesce(avg(length(content)), 0.0) AS avg_chars, CAST(grouping(type) AS INTEGER) AS is_total
-FROM corpus GROUP BY ROLLUP (type)""")
+FROM corpus GROUP BY ROLLUP (type)"""
+
+
+@register("corpus_stats", S.round6(_STATS_SQL, ["avg_chars"]))
 def q_corpus_stats(spark, sf):
-    return G.corpus_stats(ad.corpus(spark, sf))
+    return round6(G.corpus_stats(ad.corpus(spark, sf)), ["avg_chars"])
 
 
 # ---- cases ----------------------------------------------------------------------------------

@@ -196,3 +196,9 @@ def json_span_sql(x: str) -> str:
 def parsed_ok_sql(x: str) -> str:
     s = json_span_sql(x)
     return f"({s} <> '' AND json_valid({s}))"
+
+
+def round6(sql: str, cols) -> str:
+    """Wrap a query so that the given double columns are rounded to 6 decimals."""
+    rep = ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n)"
