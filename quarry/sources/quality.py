@@ -44,12 +44,15 @@ def binary_text_files(spark, path_glob: str) -> DataFrame:
 
 
 def json_records_quality(records: DataFrame, group_col: str, json_col: str) -> DataFrame:
-    """Per source: records, parseable JSON objects, distinct field names."""
+    """Per source: records, parseable JSON objects, distinct field names.  Field names
+    are exploded and de-duplicated per source before they are gathered, so the gathered list
+    is bounded by the number of distinct names, not by the records."""
     keys = F.json_object_keys(F.col(json_col))
-    return records.groupBy(group_col).agg(
-        F.count("*").cast("bigint").alias("n_records"),
-        F.count(keys).cast("bigint").alias("n_valid"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(keys)))), ",").alias("fields"))
+    counts = records.groupBy(group_col).agg(F.count("*").cast("bigint").alias("n_records"),
+                                            F.count(keys).cast("bigint").alias("n_valid"))
+    names = records.select(group_col, F.explode(keys).alias("_k")).distinct() \
+        .groupBy(group_col).agg(F.array_join(F.array_sort(F.collect_list("_k")), ",").alias("fields"))
+    return counts.join(names, group_col, "left").withColumn("fields", F.coalesce("fields", F.lit("")))
 
 
 def quality_summary(checks: DataFrame) -> DataFrame:
