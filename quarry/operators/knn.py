@@ -2,10 +2,11 @@
 
 Plan shape (no cross join, no all-pairs rows):
 
-1. The query side is counted and its matrix size checked.  Up to
-   ``max_broadcast_bytes`` it is collected once and shipped to the tasks as a
-   broadcast variable; a larger query table is cut into blocks of that size
-   (hash of the query key) and each block is searched in its own pass.
+1. The query side is size-checked before it is broadcast: a bounded ``limit``
+   collection (at most 8192 rows, within ``max_broadcast_bytes`` even at 4096
+   dimensions) serves the common case in one job; a larger query table is counted
+   and cut into blocks of ``max_broadcast_bytes`` (hash of the query key), each
+   block shipped as a broadcast variable and searched in its own pass.
 2. The corpus stays distributed.  ``mapInPandas`` streams Arrow batches of
    ``(id, group columns, vector)`` through numpy: one matrix product per
    (query chunk x batch), then a per-(query, group) partial top-k that is kept
