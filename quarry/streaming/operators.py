@@ -1,10 +1,12 @@
 """Per-session stateful behaviours (W1-W5) as batch window operators and Structured
 Streaming operators.
 
-Batch forms use windows partitioned by the session key (``lag``, running ``max``) —
-streaming, sort-based, O(1) memory per row.  Stream forms keep O(1) (W1, W2) or bounded
-(W3: 15 pairs) state per key in ``applyInPandasWithState``; their output for a whole
-stream equals the batch form.
+Plain batch forms use windows partitioned by the session key (``lag``, running ``max``) —
+sort-based, O(1) memory per row.  The ``*_split`` forms (used by the registered queries)
+first range-partition by (session, time) so that one very busy session is spread over
+many tasks, and carry values across chunk boundaries through small per-chunk tables.
+Stream forms keep O(1) (W1, W2) or bounded (W3: 15 pairs) state per key in
+``applyInPandasWithState``; for a stream in time order their output equals the batch form.
 """
 
 from __future__ import annotations
