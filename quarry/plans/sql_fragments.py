@@ -102,7 +102,7 @@ def pool_cte(fetch: int, qtab: str = "inq") -> str:
     return f"""pool AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY qid, ord, domain, type ORDER BY distance, doc_id) AS rk FROM (
-      SELECT q.qid, 0 AS ord, c.doc_id, c.type, c.domain,
+      SELECT q.qid, CAST(0 AS BIGINT) AS ord, c.doc_id, c.type, c.domain,
              list_sum(list_transform(list_zip(q.qvec, c.embedding), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS distance
       FROM {qtab} q, corpus c WHERE c.doc_id <> q.qid))
   WHERE rk <= {fetch})"""
