@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, tokencount
+from quarry.llm import bpe, langid, tokencount
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -33,6 +33,16 @@ def op6(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@query("op8_language_id")
+def op8(spark, sf_dir):
+    """Predicted language of every whole document; learned from two thirds of the labelled ones."""
+    docs = tables(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = docs.withColumn("held_out", F.coalesce(fold == 1, F.lit(False)))
+    contents = langid.train(docs, where=fold != 1)
+    return langid.identify(docs, contents, keep=["doc_id", "held_out"])
+
+
 @query("op9_bpe_round_trip")
 def op9(spark, sf_dir):
     """Digests of every whole document's ids and of what they decode to."""
