@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, tokencount
+from quarry.llm import bpe, langid, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -26,6 +26,16 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+@query("op3_url_filter")
+def op3(spark, sf_dir):
+    """Verdict on every page's url: the rules', else that of trees learned from the urls the rules decide."""
+    return urlfilter.judge(tables(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op6_token_counts")
 def op6(spark, sf_dir):
     """Tokens of every whole document under a sentencepiece model."""
