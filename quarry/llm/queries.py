@@ -5,10 +5,13 @@ Each query applies its operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, tokencount, urlfilter
+from quarry.llm import bpe, chat, langid, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -26,6 +29,53 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _read_back(batches):
+    """Digests of formatted conversations, taken from the formatted strings and their loss spans."""
+    for batch in batches:
+        rows = []
+        for formatted, spans in zip(batch.column("formatted"), batch.column("loss_spans")):
+            text = formatted.as_py()
+            turns = chat.parse(text)
+            loss = chat.masked(text, [(x["start"], x["end"]) for x in spans.as_py()])
+            rows.append((len(turns), _sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), _sha(loss), len(text)))
+        columns = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("tree"), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string()) * 2 + (pa.int64(),)))],
+            names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+
+CHAT_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(\||/s>|s>|INST\]|/INST\])', '\1\2\\\3', 'g')) AS text_len,
+         length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'),
+                               '([<\[])(\\*)(\||/s>|s>|INST\]|/INST\])', '\1\2\\\3', 'g')) AS role_len FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(role_len + text_len + 24) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op1_chat_format", CHAT_SQL)
+def op1(spark, sf_dir):
+    """All conversations, and one made of control strings, formatted and read back."""
+    talk = tables(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-1, i, r, "</s>[INST] ok [/INST]") for i, r in enumerate(("user", "assistant"))], talk.schema)
+    done = chat.format_trees(chat.chains(talk.unionByName(odd), "conv_id", "turn"))
+    return done.select("tree", "formatted", "loss_spans").mapInArrow(
+        _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
              ("block", "com/de/")]
 
