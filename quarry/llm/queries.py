@@ -11,7 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, langid, tokencount, urlfilter
+from quarry.llm import bpe, chat, fingerprint, langid, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -76,6 +76,39 @@ def op1(spark, sf_dir):
         _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def _fingerprint_rows(batches):
+    """Fingerprints of texts, their edited texts and their successors, from ``next_in_order``."""
+    sketcher, names = fingerprint.Sketcher(), ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                              "near_edited", "near_next"]
+    types = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+    rows, known = [], (None, None)
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, types)], names=names)
+
+    for (doc, text), (_, after) in fingerprint.pairs_in_order(batches, "doc_id", "text"):
+        n = len(text)
+        edited = text[:n - n // 3] + after[:n // 3]
+        own = known[1] if known[0] is text else sketcher(text)
+        changed, following = sketcher(edited), sketcher(after)
+        known = (after, following)
+        rows.append((doc, n, _sha(edited), fingerprint.as_string(own), fingerprint.as_string(changed),
+                     sketcher.resemblance(own, changed), sketcher.resemblance(own, following)))
+        if len(rows) == 2000:
+            yield batch()
+            rows = []
+    yield batch()
+
+
+@query("op2_fingerprints")
+def op2(spark, sf_dir):
+    """Fingerprints of every whole document and of its edited text, and how near they are."""
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = fingerprint.next_in_order(tables(spark, sf_dir, "documents"), "doc_id", "text", parts)
+    return dealt.mapInArrow(_fingerprint_rows, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+                                               "edited_fingerprint string, near_edited double, near_next double")
+
+
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
              ("block", "com/de/")]
 
