@@ -11,7 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, fingerprint, langid, tokencount, urlfilter
+from quarry.llm import bpe, chat, fingerprint, langid, linededup, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -126,6 +126,36 @@ def op6(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+LINE_SQL = """
+WITH pages AS (SELECT row_number() OVER () AS id, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+total AS (SELECT source, count(*) AS pages FROM pages GROUP BY source),
+often AS (
+  SELECT source, line FROM (
+    SELECT source, line, count(*) AS n
+    FROM (SELECT DISTINCT id, source, line FROM (SELECT id, source, trim(unnest(lines), ' ') AS line FROM pages) WHERE line <> '')
+    GROUP BY source, line)
+  JOIN total t USING (source) WHERE n >= 5 AND n > 0.05::DOUBLE * t.pages
+  ),
+marked AS (
+  SELECT p.id, p.pos, p.line, o.line IS NOT NULL AS gone
+  FROM (SELECT id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM pages) p
+  LEFT JOIN often o ON o.source = p.source AND o.line = trim(p.line, ' ')
+),
+rebuilt AS (
+  SELECT id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) FILTER (gone) AS n_dropped
+  FROM marked GROUP BY id
+)
+SELECT p.doc_id, r.text, coalesce(r.n_dropped, 0) AS n_dropped FROM pages p LEFT JOIN rebuilt r USING (id)
+"""
+
+
+@query("op7_line_dedup", LINE_SQL)
+def op7(spark, sf_dir):
+    """Documents without the lines that are on more than a twentieth of their source's documents."""
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return linededup.drop_frequent_lines(docs).drop("source")
+
+
 @query("op8_language_id")
 def op8(spark, sf_dir):
     """Predicted language of every whole document; learned from two thirds of the labelled ones."""
