@@ -11,7 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, fingerprint, langid, linededup, tokencount, urlfilter
+from quarry.llm import bpe, chat, fingerprint, langid, linededup, mixing, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -171,3 +171,13 @@ def op9(spark, sf_dir):
     """Digests of every whole document's ids and of what they decode to."""
     return bpe.encode_decode(tables(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                              outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
+
+
+@query("op10_mix_sources")
+def op10(spark, sf_dir):
+    """What the mix of all documents takes of each."""
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    blocks = mixing.plan(docs, keep=[F.col("doc_id"), F.monotonically_increasing_id().alias("row")])
+    return blocks.groupBy("row", "doc_id").agg(
+        F.sum("_words").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+        F.sum(F.col("_words") * F.size(F.coalesce("draws", F.array()))).alias("taken")).drop("row")
