@@ -11,7 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, fingerprint, langid, linededup, mixing, tokencount, urlfilter
+from quarry.llm import ann, bpe, chat, fingerprint, langid, linededup, mixing, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -119,6 +119,13 @@ def op3(spark, sf_dir):
     return urlfilter.judge(tables(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op5_nearest_vectors")
+def op5(spark, sf_dir):
+    """The 20 nearest vectors found for every twentieth one, among all."""
+    vectors = tables(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query("op6_token_counts")
 def op6(spark, sf_dir):
     """Tokens of every whole document under a sentencepiece model."""
