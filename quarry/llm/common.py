@@ -133,3 +133,17 @@ class Shingler:
         for j in range(k):
             acc += w[j:j + m] * self.coef[j]
         return np.unique(mix64(acc))
+
+
+def groups(batches, keys: int):
+    """(key, rows) of consecutive rows with equal first ``keys`` columns; rows as tuples, nothing but one group is held."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:keys], []
+            rows.append(row)
+    if rows:
+        yield key, rows

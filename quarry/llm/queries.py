@@ -11,7 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, chat, fingerprint, langid, linededup, mixing, tokencount, urlfilter
+from quarry.llm import ann, bpe, chat, fingerprint, langid, linededup, mixing, ngramjoin, tokencount, urlfilter
 from quarry.llm.common import tables
 
 QUERIES: dict = {}
@@ -119,6 +119,31 @@ def op3(spark, sf_dir):
     return urlfilter.judge(tables(spark, sf_dir, "pages"), URL_RULES)
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE c::DOUBLE / (na.n + nb.n - c) >= 0.8::DOUBLE
+),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, least(d.doc_id, coalesce(r.low, d.doc_id)) AS class_id, coalesce(l.n_links, 0) AS n_links
+FROM documents d LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = d.doc_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) l ON l.a = d.doc_id
+"""
+
+
+@query("op4_ngram_jaccard", JACCARD_SQL)
+def op4(spark, sf_dir):
+    """Classes of near documents, and how many documents each is linked to."""
+    return ngramjoin.join(tables(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 @query("op5_nearest_vectors")
 def op5(spark, sf_dir):
     """The 20 nearest vectors found for every twentieth one, among all."""
