@@ -4,6 +4,7 @@ Every language has a raw-content zstandard dictionary of labelled text, lower-ca
 block is compressed with every dictionary, and the language with the smallest total wins.  The blocks keep a long text from
 becoming its own dictionary; all of them count, so whole texts decide.  The score is the share by which the smallest
 total is below the second smallest; a text whose score is under ``min_margin`` is rejected, as is one without letters.
+Texts of fewer than ``MIN_BYTES`` bytes, too short to show a margin, are not rejected for a narrow one.
 
 The dictionaries are fitted on a bounded sample of the labelled rows: of each language the ``docs_per_language`` rows
 with the smallest hashes of their text, thinned by hash, among those of at most ``max_doc_chars`` code points, up to
@@ -31,6 +32,7 @@ MAX_LANGUAGES = 64
 BLOCK_BYTES = 4_096
 LEVEL = 6
 MIN_MARGIN = 0.005
+MIN_BYTES = 64          # shorter texts show no margin
 UNKNOWN = "und"
 
 
@@ -78,15 +80,16 @@ class Judge:
             words.precompute_compress(compression_params=params)
             self.by.append(z.ZstdCompressor(dict_data=words, compression_params=params).compress)
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
+    def __call__(self, text: str | None) -> tuple[str, float, int]:
+        """(language, score, bytes)."""
         if not self.by or not text or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         data = text.lower().encode("utf-8", "surrogatepass")
         blocks = [data[i:i + self.block] for i in range(0, len(data), self.block)]
         size = [sum(len(compress(b)) for b in blocks) for compress in self.by]
         best = min(size)
         rest = sorted(size)[1:]
-        return self.names[size.index(best)], (1.0 - best / rest[0]) if rest else 1.0
+        return self.names[size.index(best)], (1.0 - best / rest[0]) if rest else 1.0, len(data)
 
 
 def identify(df: DataFrame, contents: dict[str, bytes], text_col: str = "text", keep=None, min_margin: float = MIN_MARGIN,
@@ -107,6 +110,6 @@ def identify(df: DataFrame, contents: dict[str, bytes], text_col: str = "text",
             names, scores = [x[0] for x in got], [x[1] for x in got]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array([n != UNKNOWN and s >= min_margin for n, s in got], pa.bool_())], names=[f.name for f in schema])
+                 pa.array([n != UNKNOWN and (s >= min_margin or b < MIN_BYTES) for n, s, b in got], pa.bool_())], names=[f.name for f in schema])
 
     return df.select(*[df[c] for c in keep], df[text_col].alias("_judged")).mapInArrow(run, schema)
