@@ -30,11 +30,14 @@ RAW_CASE_SCHEMA = (f"fact string, meta {META_TYPE}, accusation array<string>, la
 
 
 def normalise_cases(raw: DataFrame, min_fact: int = params.MIN_CASE_FACT_CHARS) -> DataFrame:
-    """Two raw shapes -> one.  A flat record (accusation present, no meta) becomes
+    """Two raw shapes -> one.  A flat record (accusation present, no or empty meta) becomes
     meta with a term struct (prison_term, no death, no life).  Facts shorter than
     ``min_fact`` (raw text) are dropped, the rest cleaned.  Output: case_index (if present),
     fact, accusation, articles (array<string>), term (struct or null), fine."""
-    flat = F.col("meta").isNull() & F.col("accusation").isNotNull()
+    meta = F.col("meta")
+    empty = meta.isNull() | (meta["accusation"].isNull() & meta["relevant_articles"].isNull()
+                             & meta["term_of_imprisonment"].isNull() & meta["punish_of_money"].isNull())
+    flat = empty & F.col("accusation").isNotNull()
     term_flat = F.struct(F.coalesce(F.col("prison_term"), F.lit(0)).alias("imprisonment"),
                          F.lit(False).alias("death_penalty"), F.lit(False).alias("life_imprisonment"))
     keep = [c for c in raw.columns if c == "case_index"]
@@ -49,9 +52,10 @@ def normalise_cases(raw: DataFrame, min_fact: int = params.MIN_CASE_FACT_CHARS)
 
 
 def verdict(term) -> F.Column:
-    """Death -> life -> months > 0 -> other; null when the term struct is absent."""
+    """Death -> life -> months > 0 -> other; null when the term struct is absent or empty."""
     t = F.col(term) if isinstance(term, str) else term
-    return (F.when(t.isNull(), F.lit(None).cast("string"))
+    empty = t["death_penalty"].isNull() & t["life_imprisonment"].isNull() & t["imprisonment"].isNull()
+    return (F.when(t.isNull() | empty, F.lit(None).cast("string"))
             .when(F.coalesce(t["death_penalty"], F.lit(False)), F.lit(DEATH))
             .when(F.coalesce(t["life_imprisonment"], F.lit(False)), F.lit(LIFE))
             .when(F.coalesce(t["imprisonment"], F.lit(0)) > 0,

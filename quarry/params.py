@@ -11,7 +11,7 @@ CHUNK_OVERLAP = 150              # overlap of fixed-size chunks
 MIN_ARTICLE_CHARS = 20           # article bodies of <= this length are dropped
 MIN_PREAMBLE_CHARS = 100         # preamble kept when longer than this
 MIN_CASE_FACT_CHARS = 50         # raw case facts shorter than this are dropped
-CASE_LIMIT = 100_000             # default number of case records read
+CASE_LIMIT = 100_000             # the reference's number of case records read; opt-in here
 RETRIEVAL_TOP_K = 8              # documents in an answer
 SIMILARITY_THRESHOLD = 0.3       # similarity floor (declared, unused by default)
 STATUTE_BOOST = 1.5              # statute weight (declared, unused by default)

@@ -37,19 +37,33 @@ def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared (distributed) folder and is used
-    as is.  Only when it is unset (local tests) do we create a scratch folder.
+    On a cluster this setting names a shared (distributed) folder and is used as is.  A local master, as in tests, may
+    leave it unset: then a scratch folder is made.  Elsewhere an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop API: local paths, URIs and object stores alike."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, or a glob matches something."""
+    fs, p = hadoop_path(spark, path)
+    return bool(fs.globStatus(p))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)

@@ -3,14 +3,12 @@ evaluation samples — always with declared schemas, never inferred."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry import params
 from quarry.operators.cases import RAW_CASE_SCHEMA
 from quarry.operators.models import global_index
+from quarry.session import path_exists
 
 EVAL_SCHEMA = "question string, answer string, sources array<string>, category string"
 QA_SCHEMA = "question string, answer string"
@@ -18,9 +16,9 @@ QA_SCHEMA = "question string, answer string"
 
 def statute_texts(spark: SparkSession, domains: DataFrame, root: str) -> DataFrame:
     """One row per existing domain file (whole text); a missing file yields no row, not
-    an error.  Output: domain, domain_name, priority, file, text."""
+    an error.  ``root`` is any folder that Spark can read.  Output: domain, domain_name, priority, file, text."""
     files = [r["file"] for r in domains.select("file").collect()]  # registry: a handful of rows
-    present = [os.path.join(root, f) for f in files if os.path.exists(os.path.join(root, f))]
+    present = [f for f in (f"{root.rstrip('/')}/{name}" for name in files) if path_exists(spark, f)]
     if not present:
         return domains.select("domain", F.col("name").alias("domain_name"), "priority", "file",
                               F.lit(None).cast("string").alias("text")).where(F.lit(False))
@@ -30,21 +28,21 @@ def statute_texts(spark: SparkSession, domains: DataFrame, root: str) -> DataFra
                   "file")
 
 
-def case_records(spark: SparkSession, path: str, limit: int | None = params.CASE_LIMIT) -> DataFrame:
-    """Case records from a JSON array file (first character '[') or JSONL; bad
-    records are skipped.  ``case_index`` is the record position; the first ``limit`` records
-    are taken *before* filtering (limit 0/None -> the default)."""
-    limit = limit or params.CASE_LIMIT
-    with open(path, "rb") as fh:
-        head = fh.read(64).lstrip()
-    is_array = head.startswith(b"[")
+def case_records(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Case records from JSON arrays or JSONL (a file, folder or glob of one format); bad
+    records are skipped.  The format is that of the first non-blank line, after a byte-order mark: an array starts
+    with '['.  ``case_index`` is the record position; with ``limit``, the first so many records are taken *before*
+    filtering; without, all are."""
+    first = spark.read.text(path).select(F.regexp_replace("value", "^\ufeff", "").alias("v")).where(F.trim("v") != "").first()
+    is_array = first is not None and first["v"].lstrip().startswith("[")
     reader = spark.read.schema(RAW_CASE_SCHEMA + ", _corrupt_record string").option("mode", "PERMISSIVE")
     df = reader.option("multiLine", True).json(path) if is_array else reader.json(path)
     # record position in file order: monotonically increasing ids follow file order; the global
     # index turns them into consecutive positions without a single-task window
     df = global_index(df.withColumn("_mid", F.monotonically_increasing_id()), "_mid") \
         .withColumnRenamed("idx", "case_index").drop("_mid")
-    df = df.where(F.col("case_index") < limit)
+    if limit is not None:
+        df = df.where(F.col("case_index") < limit)
     return df.where(_valid("fact")).drop("_corrupt_record")
 
 
@@ -64,7 +62,7 @@ def qa_pairs(spark: SparkSession, path: str) -> DataFrame:
 def eval_samples(spark: SparkSession, path: str | None, fallback: DataFrame | None = None) -> DataFrame:
     """Evaluation samples with defaults ('' , '', [], 'general'); a missing file falls
     back to the supplied built-in sample table."""
-    if not path or not os.path.exists(path):
+    if not path or not path_exists(spark, path):
         if fallback is None:
             raise FileNotFoundError(f"evaluation set {path!r} not found and no fallback given")
         return fallback

@@ -8,6 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import hadoop_path, path_exists
+
 INDEX_PARTITIONS = ["domain", "type"]
 
 
@@ -16,34 +18,37 @@ def write_index(chunks: DataFrame, root: str, id_col: str = "doc_id") -> None:
     filters prune partitions at read time, rows ordered by id inside each file so that
     row-group statistics serve id lookups."""
     order = [*INDEX_PARTITIONS, id_col] if id_col in chunks.columns else INDEX_PARTITIONS
-    chunks.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*INDEX_PARTITIONS).parquet(root)
+    # each (domain, type, id range) goes to one task, so a task writes one file, not one for every directory
+    chunks.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*INDEX_PARTITIONS).parquet(root)
 
 
 def open_index(spark: SparkSession, root: str) -> DataFrame:
     """Every domain partition present; an absent root is an error asking for a build."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    if not path_exists(spark, root):
         raise FileNotFoundError(f"index {root} does not exist; build it first (write_index)")
     return spark.read.parquet(root)
 
 
 def rebuild_domain(spark: SparkSession, chunks: DataFrame, root: str, domain: str, backup_root: str) -> None:
-    """Back up one domain's partitions, then overwrite only that domain (dynamic partition
-    overwrite); other domains stay untouched."""
+    """Back up one domain's partitions, then replace that domain: its new partitions are overwritten,
+    and those that the new chunks don't have are removed.  Other domains stay untouched."""
     current = open_index(spark, root).where(F.col("domain") == domain)
     current.write.mode("overwrite").partitionBy(*INDEX_PARTITIONS).parquet(backup_root)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        chunks.where(F.col("domain") == domain).write.mode("overwrite").partitionBy(*INDEX_PARTITIONS).parquet(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    new = chunks.where(F.col("domain") == domain)
+    kept = {r["type"] for r in new.select("type").distinct().collect()}     # a handful of chunk types
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*INDEX_PARTITIONS).parquet(root)
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = f"{root.rstrip('/')}/domain={utils.escapePathName(domain)}"
+    fs, path = hadoop_path(spark, folder)
+    for entry in fs.listStatus(path) if fs.exists(path) else []:
+        name = utils.unescapePathName(entry.getPath().getName())
+        if name.startswith("type=") and name.removeprefix("type=") not in kept:
+            fs.delete(entry.getPath(), True)
 
 
 def upsert_index(spark: SparkSession, chunks: DataFrame, root: str, key: str = "chunk_id") -> DataFrame:
     """Resume a build: only chunks whose id is not in the index yet (to be appended)."""
-    if not os.path.exists(root):
+    if not path_exists(spark, root):
         return chunks
     return chunks.join(open_index(spark, root).select(key), key, "left_anti")
 

@@ -93,3 +93,41 @@ def test_binary_text_file_quality(spark):
     assert rows["small.txt"].reason == "too_small"
     s = Q.quality_summary(Q.text_file_quality(files, bytes_col="size_bytes", valid_col="utf8")).collect()[0]
     assert (s.passed, s.total, s.all_passed) == (1, 3, False)
+
+
+def test_case_records_bom_folder_and_no_default_limit(spark):
+    d = _tmp()
+    rec = {"fact": "甲" * 60, "accusation": ["盗窃"], "law_articles": [1], "prison_term": 2}
+    for name, lead in (("a", b"\xef\xbb\xbf\n "), ("b", b"\n" * 100)):
+        with open(os.path.join(d, f"{name}.json"), "wb") as fh:
+            fh.write(lead + json.dumps([rec, rec]).encode())
+        assert readers.case_records(spark, "file://" + os.path.join(d, f"{name}.json")).count() == 2
+    folder = os.path.join(d, "many")
+    os.makedirs(folder)
+    for k in range(2):
+        with open(os.path.join(folder, f"{k}.jsonl"), "w") as fh:
+            fh.write((json.dumps(rec) + "\n") * 3)
+    assert sorted(r.case_index for r in readers.case_records(spark, folder).collect()) == list(range(6))
+    assert readers.case_records(spark, folder, limit=0).count() == 0
+
+
+def test_rebuild_removes_partitions_that_are_gone_and_upsert_reads_uris(spark):
+    d = _tmp()
+    root, schema = "file://" + os.path.join(d, "idx"), "chunk_id long, content string, type string, domain string"
+    old = spark.createDataFrame([(1, "x", "statute", "a=b"), (2, "y", "case", "a=b"), (3, "z", "case", "c")], schema)
+    assert sinks.upsert_index(spark, old, root).count() == 3
+    sinks.write_index(old, root, "chunk_id")
+    assert sinks.upsert_index(spark, old, root).count() == 0
+    sinks.rebuild_domain(spark, spark.createDataFrame([(4, "n", "statute", "a=b")], schema), root, "a=b", os.path.join(d, "bak"))
+    assert {(r.chunk_id, r.domain) for r in sinks.open_index(spark, root).collect()} == {(4, "a=b"), (3, "c")}
+
+
+def test_empty_meta_is_flat_and_empty_term_has_no_verdict(spark):
+    d = _tmp()
+    recs = [{"fact": "甲" * 60, "meta": {}, "accusation": ["盗窃"], "law_articles": [264], "prison_term": 7},
+            {"fact": "乙" * 60, "meta": {"accusation": ["诈骗"], "term_of_imprisonment": {}}}]
+    with open(os.path.join(d, "a.jsonl"), "w", encoding="utf-8") as fh:
+        fh.writelines(json.dumps(r) + "\n" for r in recs)
+    out = C.compose_cases(C.normalise_cases(readers.case_records(spark, os.path.join(d, "a.jsonl")))).orderBy("case_index").collect()
+    assert out[0].accusation_csv == "盗窃" and out[0].content.endswith("有期徒刑7个月")
+    assert out[1].accusation_csv == "诈骗" and "判决结果" not in out[1].content
