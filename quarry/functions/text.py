@@ -44,11 +44,5 @@ def cut(c, n: int, suffix: str = "...") -> Column:
     return F.when(F.length(x) > n, F.concat(F.substring(x, 1, n), F.lit(suffix))).otherwise(x)
 
 
-def count_in(array_col, text) -> Column:
-    """Number of elements of ``array_col`` that occur as substrings of ``text``."""
-    t = col_(text)
-    return F.size(F.filter(col_(array_col), lambda w: F.instr(t, w) > 0))
-
-
 def lit_array(values) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")

@@ -8,35 +8,25 @@ own.  ``LATIN_*`` lists are the ones the driver-data queries use.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Scope groups: (label, keywords) in declared order — first group hit wins.
+# Examples about a public library's help desk.
+# Scope groups: (label, keywords) in declared order; the first group hit wins.
 EXAMPLE_SCOPE_GROUPS = [
-    ("civil/contract", ["民法典", "合同法", "离婚", "遗产继承"]),
-    ("commercial/company", ["公司法", "证券法", "股东", "专利"]),
-    ("administrative", ["行政处罚", "行政复议", "拆迁"]),
-    ("labor", ["劳动合同", "工伤", "加班费"]),
-    ("other", ["税法", "海关", "医疗纠纷"]),
+    ("opening hours", ["opening hours", "closed on", "holiday"]),
+    ("parking", ["parking", "bicycle stand"]),
+    ("catering", ["cafe", "vending machine"]),
 ]
 
 # Expansion lists: (keyword, [expanded queries]) in declared order.
 EXAMPLE_EXPANSIONS = [
-    ("故意杀人", ["第二百三十二条 故意杀人", "侵犯公民人身权利 故意杀人"]),
-    ("盗窃", ["第二百六十四条 盗窃 数额较大"]),
-    ("自首", ["第六十七条 自首 从轻 减轻"]),
+    ("overdue", ["overdue items and fees", "late return rules"]),
+    ("renew", ["renewal of a loan"]),
+    ("card", ["library card application"]),
 ]
 
 # The two generic templates used when no expansion keyword hits.
 EXPANSION_TEMPLATES = ["刑法 {q} 处罚", "{q} 有期徒刑 罚金"]
 
-EXAMPLE_RERANK_WORDS = ["故意杀人", "盗窃", "自首", "正当防卫", "缓刑"]
-
-# Tag patterns: (label, [patterns]) — a label is tagged when any pattern occurs.
-EXAMPLE_TAGS = [
-    ("theft", ["盗窃", "扒窃"]),
-    ("robbery", ["抢劫"]),
-    ("fraud", ["诈骗", "骗取"]),
-]
+EXAMPLE_RERANK_WORDS = ["loan", "overdue", "renew", "card", "fee"]
 
 # --- Latin-script lists used by the driver-data queries --------------------
 LATIN_SCOPE_GROUPS = [
@@ -61,14 +51,3 @@ LATIN_TAGS = [
     ("spanish", ["ción"]),
     ("none", ["xyzzy"]),
 ]
-
-
-def groups_frame(spark: SparkSession, groups, label_col: str = "label") -> DataFrame:
-    """(ord, label, keyword) rows from ``[(label, [keywords])]``."""
-    rows = [(i, lab, kw) for i, (lab, kws) in enumerate(groups) for kw in kws]
-    return spark.createDataFrame(rows, f"ord int, {label_col} string, keyword string")
-
-
-def expansions_frame(spark: SparkSession, expansions) -> DataFrame:
-    rows = [(i, kw, list(ex)) for i, (kw, ex) in enumerate(expansions)]
-    return spark.createDataFrame(rows, "ord int, keyword string, expansions array<string>")

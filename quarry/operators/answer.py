@@ -17,7 +17,6 @@ from quarry.functions.text import col_, cut
 UNKNOWN_SOURCE = "未知来源"
 STATUTE_TAG = "【法条】"
 CASE_TAG = "【案例】"
-SOURCE_MARK = "[来源{i}] "
 CASE_NO_PREFIX = "(案号:"
 
 # Our own wording of the answer templates (parameters of the pipeline).
@@ -132,6 +131,7 @@ def history_after_reset(messages: DataFrame, conv: str = "conv_id", order: str =
         F.col("_r").isNull() | (F.col(order) > F.col("_r"))).drop("_r")
 
 
+# The labels and icons of the two markdown formats below.
 def citation_markdown(cites: DataFrame, preview: int = params.CITATION_PREVIEW_CHARS) -> DataFrame:
     """Citations as markdown; fields only when present; 150-char preview + '...'.
     Input rows: qid, pos, source(label), doc_type, accusation, articles, article, content."""

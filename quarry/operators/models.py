@@ -9,15 +9,17 @@ built-in column functions) keeps every result reproducible without a model.
 
 from __future__ import annotations
 
+import re
 import time
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import params
 
+_RATE_LIMITED = re.compile(r"\b429\b|\brate[ _-]?limit|\btoo many requests\b|\b(requests|tokens|queries) per (second|minute|day)\b",
+                           re.IGNORECASE)
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
 
 
@@ -59,8 +61,7 @@ def backoff_schedule(max_retries: int = params.EMBED_MAX_RETRIES, base: float =
 
 
 def is_rate_limited(err: BaseException) -> bool:
-    s = str(err).lower()
-    return "429" in s or "rate" in s or "limit" in s
+    return bool(_RATE_LIMITED.search(str(err)))
 
 
 def hashed_embedding(text, dim: int = 64, token_pattern: str = TOKEN_PATTERN) -> F.Column:
@@ -125,6 +126,8 @@ def embed(df: DataFrame, text_col: str, embed_fn=None, out_col: str = "embedding
                 for attempt in range(max_retries + 1):
                     try:
                         out = embed_fn(chunk)
+                        if len(out) != len(chunk):
+                            raise ValueError(f"{len(out)} vectors for {len(chunk)} texts")
                         for j, v in enumerate(out):
                             vecs[s + j] = [float(x) for x in v]
                         break
@@ -133,7 +136,7 @@ def embed(df: DataFrame, text_col: str, embed_fn=None, out_col: str = "embedding
                             time.sleep(waits[attempt])
                             continue
                         for j in range(len(chunk)):
-                            errs[s + j] = f"{type(e).__name__}: {e}"[:500]
+                            errs[s + j] = f"{type(e).__name__}: {e}"
                         break
             yield pdf.assign(**{out_col: vecs, "embed_error": errs})
 

@@ -20,7 +20,6 @@ HEADING = rf"第[{CHINESE_DIGITS}]+(?:编|章|节)[^\n]*"
 TOC_MARKERS = ["目录", "第一编", "第二编"]
 PREAMBLE_ARTICLE = "前言"
 PREAMBLE_SOURCE_SUFFIX = "前言"
-PART_LABEL = "(第{n}部分)"
 
 
 def strip_ws(c) -> F.Column:

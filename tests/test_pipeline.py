@@ -22,12 +22,12 @@ def test_pipeline_statuses_and_warning(spark):
         (1, "第1条 如果行为人盗窃他人财物，数额较大的，处三年以下有期徒刑。" * 2, "statute", "criminal", "刑法",
          "刑法", "第1条", "", [1.0, 0.0]),
     ])
-    qs = spark.createDataFrame([(10, "盗窃怎么处罚", [1.0, 0.0]), (11, "离婚财产如何分割", [1.0, 0.0]),
+    qs = spark.createDataFrame([(10, "盗窃怎么处罚", [1.0, 0.0]), (11, "is there parking", [1.0, 0.0]),
                                 (12, "问题", [-1.0, 0.0])], "qid long, question string, qvec array<float>")
     out = {r.qid: r for r in answer_pipeline(qs, corpus, None, scope_groups=L.EXAMPLE_SCOPE_GROUPS,
                                              rerank_words=L.EXAMPLE_RERANK_WORDS).collect()}
     assert out[11].status == "out_of_scope" and out[11].confidence == pytest.approx(0.1)
-    assert out[11].detected_domain == "civil/contract"
+    assert out[11].detected_domain == "parking"
     assert out[12].status == "low_relevance" and out[12].confidence == pytest.approx(0.2)   # distance 4 -> 0
     a = out[10]
     assert a.status == "answered" and a.n_docs == 1 and a.citations == "刑法(第1条)"
@@ -75,3 +75,11 @@ def test_save_report(spark):
     sinks.save_report(m, s, d)
     assert spark.read.json(os.path.join(d, "samples")).collect()[0].question == "问题"
     assert spark.read.json(os.path.join(d, "metrics")).collect()[0].accuracy == 0.5
+
+
+def test_rate_limits_and_short_replies(spark):
+    assert M.is_rate_limited(Exception("429 Too Many Requests")) and M.is_rate_limited(Exception("Rate limit exceeded"))
+    assert not M.is_rate_limited(Exception("failed to generate")) and not M.is_rate_limited(Exception("context length limit"))
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, text string").coalesce(1)
+    out = M.embed(df, "text", lambda texts: [[1.0]], batch_size=2).collect()
+    assert all(r.embedding is None and "1 vectors for 2 texts" in r.embed_error for r in out)
