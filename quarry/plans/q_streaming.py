@@ -20,14 +20,21 @@ GAP_S = 3600.0          # driver limiter: one call per hour per user
 
 def _events(spark, sf):
     e = ad.table(spark, sf, "events")
-    return e.withColumn("history_key", F.floor(F.col("value") / 10).cast("string"))
+    return _submits(e)
+
+
+def _submits(e):
+    """Every seventh event is a blank message."""
+    return e.withColumn("history_key", F.floor(F.col("value") / 10).cast("string")).withColumn(
+        "message", F.when(F.col("event_id") % 7 == 0, F.lit(" ")).otherwise(F.col("event_type")))
 
 
 DUP_SQL = """
 SELECT event_id, user_id,
-  coalesce(trim(event_type) <> '' AND event_type = lag(event_type) OVER w AND hk = lag(hk) OVER w, false) AS is_duplicate
-FROM (SELECT *, CAST(floor(value / 10) AS BIGINT)::VARCHAR AS hk FROM events)
-WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+  coalesce(s = last_value(s IGNORE NULLS) OVER w, false) AS is_duplicate
+FROM (SELECT *, CASE WHEN event_id % 7 <> 0 AND trim(event_type) <> ''
+                     THEN event_type || '|' || CAST(floor(value / 10) AS BIGINT)::VARCHAR END AS s FROM events)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 
 def _ttl_sql(key: str) -> str:
@@ -47,15 +54,14 @@ SELECT e.event_id, ch.hit, round(ch.c, 6) AS computed_at FROM ev e JOIN chain ch
 @register("dup_submit", DUP_SQL)
 def q_dup_submit(spark, sf):
     """Same message (event type) with the same history key as the user's previous submit."""
-    d = W.duplicate_submits_split(_events(spark, sf), "user_id", ["ts", "event_id"], "event_type", "history_key")
+    d = W.duplicate_submits_split(_events(spark, sf), "user_id", ["ts", "event_id"], "message", "history_key")
     return d.select("event_id", "user_id", "is_duplicate")
 
 
 @register("dup_submit_stream", DUP_SQL)
 def q_dup_submit_stream(spark, sf):
-    s = SA.file_stream(spark, sf, ad.table(spark, sf, "events").schema, "events.parquet") \
-        .withColumn("history_key", F.floor(F.col("value") / 10).cast("string"))
-    r = SA.run_available(W.duplicate_submits_stream(s, "user_id", "ts", "event_type", "history_key", "event_id"),
+    s = _submits(SA.file_stream(spark, sf, ad.table(spark, sf, "events").schema, "events.parquet"))
+    r = SA.run_available(W.duplicate_submits_stream(s, "user_id", "ts", "message", "history_key", "event_id"),
                          "dup-submit")
     return r.select("event_id", "user_id", "is_duplicate")
 

@@ -31,13 +31,17 @@ def epoch_seconds(df: DataFrame, ts: str) -> F.Column:
 
 # ---- W1: duplicate-submit guard -------------------------------------------------------------
 def duplicate_submits(df: DataFrame, key: str, order, message: str, history: str) -> DataFrame:
-    """W1 batch: a submit equal to the session's previous submit (same message, same history
-    key) is a duplicate; blank messages never are."""
-    w = Window.partitionBy(key).orderBy(*order)
-    m = F.col(message)
-    dup = (F.trim(F.coalesce(m, F.lit(""))) != "") & (m == F.lag(message).over(w)) & (
-        F.col(history) == F.lag(history).over(w))
-    return df.withColumn("is_duplicate", F.coalesce(dup, F.lit(False)))
+    """W1 batch: a submit equal to the session's previous one (same message, same history
+    key) is a duplicate; blank messages never are, and leave the guard as it is.  Null histories are equal."""
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.last(_submit(message, history), ignorenulls=True).over(w)
+    return df.withColumn("is_duplicate", F.coalesce(_submit(message, history) == prev, F.lit(False)))
+
+
+def _submit(message: str, history: str) -> F.Column:
+    """What the guard remembers of a submit; null for a blank message."""
+    return F.when(F.trim(F.coalesce(F.col(message), F.lit(""))) != "", F.struct(
+        F.col(message).alias("m"), F.col(history).isNull().alias("none"), F.coalesce(F.col(history).cast("string"), F.lit("")).alias("h")))
 
 
 def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str, history: str,
@@ -54,7 +58,8 @@ def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str,
         for pdf in batches:
             pdf = pdf.sort_values([ts, id_col])
             flags = []
-            for m, h in zip(pdf[message].tolist(), pdf[history].astype(str).tolist()):
+            for m, h in zip(pdf[message].tolist(), pdf[history].tolist()):
+                h = "null" if h is None or h != h else f"={h}"
                 if m is None or not str(m).strip():
                     flags.append(False)
                     continue
@@ -244,22 +249,19 @@ def rate_schedule_split(df: DataFrame, key: str, ts: str, id_col: str, gap_s: fl
 def duplicate_submits_split(df: DataFrame, key: str, order, message: str, history: str,
                             n_parts: int | None = None) -> DataFrame:
     """W1 for skewed sessions; same result as ``duplicate_submits``.  The previous submit of a
-    chunk's first row is the last row of the key's previous non-empty chunk."""
+    chunk's first rows is the last one of the key's earlier chunks."""
     order = list(order)
     d = _range_chunks(df, key, order, n_parts)
-    wl = Window.partitionBy(key, "_pid").orderBy(*order)
-    d = d.withColumn("_pm", F.lag(message).over(wl)).withColumn("_ph", F.lag(history).over(wl)) \
-        .withColumn("_first", F.row_number().over(wl) == 1)
-    last = d.groupBy(key, "_pid").agg(F.max_by(F.struct(F.col(message).alias("m"), F.col(history).alias("h")),
-                                               F.struct(*order)).alias("_last"))
-    prev = last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(key).orderBy("_pid"))) \
-        .select(key, "_pid", "_prev")
+    d = d.withColumn("_s", _submit(message, history))
+    before = Window.partitionBy(key, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_in", F.last("_s", ignorenulls=True).over(before))
+    last = d.where(F.col("_s").isNotNull()).groupBy(key, "_pid").agg(F.max_by("_s", F.struct(*order)).alias("_last"))
+    chunks = d.select(key, "_pid").distinct().join(last, [key, "_pid"], "left")
+    earlier = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    prev = chunks.withColumn("_prev", F.last("_last", ignorenulls=True).over(earlier)).select(key, "_pid", "_prev")
     d = d.join(prev, [key, "_pid"], "left")
-    pm = F.when(F.col("_first"), F.col("_prev.m")).otherwise(F.col("_pm"))
-    ph = F.when(F.col("_first"), F.col("_prev.h")).otherwise(F.col("_ph"))
-    m = F.col(message)
-    dup = (F.trim(F.coalesce(m, F.lit(""))) != "") & (m == pm) & (F.col(history) == ph)
-    return d.withColumn("is_duplicate", F.coalesce(dup, F.lit(False))).drop("_pm", "_ph", "_first", "_prev", "_pid")
+    dup = F.col("_s") == F.coalesce("_in", "_prev")
+    return d.withColumn("is_duplicate", F.coalesce(dup, F.lit(False))).drop("_s", "_in", "_prev", "_pid")
 
 
 def dedup_within_delay(stream: DataFrame, keys, ts: str, delay: str = "10 minutes") -> DataFrame:

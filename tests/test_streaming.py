@@ -88,3 +88,12 @@ def test_ttl_split_equals_fold_on_a_hot_key(spark):
     b = {r.event_id: (r.hit, r.computed_at) for r in W.ttl_reuse_split(df, ["user_id", "event_type"], "ts", "event_id",
                                                                         120, n_parts=7).collect()}
     assert a == b and any(h for h, _ in a.values()) and not all(h for h, _ in a.values())
+
+
+def test_blank_messages_leave_the_guard_as_it_is(spark):
+    from quarry.streaming import operators as W
+    rows = [(1, 1, "a", "h"), (1, 2, " ", "h"), (1, 3, "a", "h"), (1, 4, None, "h"), (1, 5, "a", None), (1, 6, "a", None), (1, 7, "b", "h")]
+    df = spark.createDataFrame(rows, "k long, n long, m string, h string")
+    for f in (W.duplicate_submits, W.duplicate_submits_split):
+        got = {r.n: r.is_duplicate for r in f(df, "k", ["n"], "m", "h").collect()}
+        assert got == {1: False, 2: False, 3: True, 4: False, 5: False, 6: True, 7: False}
