@@ -10,7 +10,7 @@ CORPUS = """corpus AS (
          CASE WHEN e.label % 2 = 0 THEN '' ELSE d.lang END AS accusation,
          d.lang,
          CAST(e.embedding AS DOUBLE[]) AS embedding
-  FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id)"""
+  FROM documents d JOIN embeddings e ON d.doc_id % (SELECT count(*) FROM embeddings) = e.vec_id)"""
 
 QUESTIONS = """questions AS (
   SELECT b.item_id AS qid, b.text AS question, CAST(e.embedding AS DOUBLE[]) AS qvec
