@@ -1,23 +1,19 @@
-"""Exact k-nearest-neighbour search of a query table against a corpus table.
-
-Plan shape (no cross join, no all-pairs rows):
-
-1. The query side is size-checked before it is broadcast: a bounded ``limit``
-   collection (at most 8192 rows, within ``max_broadcast_bytes`` even at 4096
-   dimensions) serves the common case in one job; a larger query table is counted
-   and cut into blocks of ``max_broadcast_bytes`` (hash of the query key), each
-   block shipped as a broadcast variable and searched in its own pass.
-2. The corpus stays distributed.  ``mapInPandas`` streams Arrow batches of
-   ``(id, group columns, vector)`` through numpy: one matrix product per
-   (query chunk x batch), then a per-(query, group) partial top-k that is kept
-   across all batches of the task.  Each task emits at most
-   ``queries x groups x k`` rows — never the distance matrix.
-3. A window ``row_number() <= k`` over ``(query, group)`` ordered by
-   ``(distance, id)`` finishes the top-k; Catalyst plans it as a partial
-   ``WindowGroupLimit`` before the shuffle and a final one after it.
-
-Distance is the squared Euclidean distance of the vectors as doubles; ties are
-broken by the corpus id so results do not depend on partitioning.
+"""k-nearest-neighbour search of a query table against a corpus table, exact and by probed cells.
+
+Both run on one engine (``_search``): every row of either side has a part, and queries meet the corpus rows of their
+part.  Exact search deals the corpus to parts by hash and sends every query to all parts; cell search gives a corpus row
+the part of its nearest centroid and sends a query to the parts of its nearest few.  So the cell search is an equi-join
+on cells, and neither passes a query through the driver.
+
+1. Queries are cut into blocks by hash, so that a block's vectors fit ``block_bytes``.
+2. The two sides meet under (part, block).  A task streams them through numpy: first the block's vectors, then the
+   corpus rows, one matrix product per (query chunk x batch), and keeps a top-k per (query, group).  It emits at
+   most ``queries x groups x k`` rows for each part of ``part_rows`` corpus rows, never the distance matrix.
+3. A window ``row_number() <= k`` over ``(query, group)`` ordered by ``(distance, id)`` finishes the top-k; Catalyst plans
+   it as a partial ``WindowGroupLimit`` before the shuffle and a final one after it.
+
+Distance is the squared Euclidean distance of the vectors as doubles; ties are broken by the corpus id so results do not
+depend on partitioning.
 """
 
 from __future__ import annotations
@@ -25,6 +21,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,131 +72,185 @@ def _candidates(dist: np.ndarray, key: np.ndarray, q_offset: int, codes: np.ndar
     return tuple(np.concatenate(x) for x in (out_q, out_g, out_i, out_d, out_k))
 
 
-def _query_cols(qid_cols, qvec_col, exclude):
-    q_excl_col = exclude[0] if exclude else None
-    return list(qid_cols) + ([q_excl_col] if q_excl_col and q_excl_col not in qid_cols else []) + [qvec_col]
+def _matrix(column) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-# Query tables up to this many rows are collected in one job without a count first: even at
-# 4096 dimensions they stay within the broadcast bound.
-_FAST_ROWS = 8192
+class _TopK:
+    """The best k corpus rows per (query, group) of one block of queries and one part of the corpus."""
 
+    def __init__(self, k: int, n_by: int, excluding: bool):
+        self.k, self.n_by, self.excluding = k, n_by, excluding
+        self.keys, self.vectors, self.Q = [], [], None
+        self.groups: dict = {}
+        self.buf, self.rows = [], 0
 
-def _search_block(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_col, id_col, vec_col, by,
-                  exclude, qpdf=None) -> DataFrame:
-    spark = corpus.sparkSession
-    q_excl_col, c_excl_col = exclude if exclude else (None, None)
-    if qpdf is None:
-        qpdf = queries.select(*_query_cols(qid_cols, qvec_col, exclude)).toPandas()
-    if len(qpdf) == 0:
-        return None
-    qmat = np.stack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec_col]])
-    payload = {
-        "Q": qmat,
-        "keys": qpdf[list(qid_cols)].reset_index(drop=True),
-        "excl": qpdf[q_excl_col].to_numpy() if q_excl_col else None,
-    }
-    bc = spark.sparkContext.broadcast(payload)
-
-    cschema = corpus.schema
-    qschema = queries.schema
-    out_fields = [qschema[c] for c in qid_cols] + [cschema[c] for c in by] + [
-        cschema[id_col], T.StructField("distance", T.DoubleType(), False), T.StructField("_key", T.DoubleType())]
-    out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out_fields])
-    c_cols = [id_col] + list(by) + ([c_excl_col] if c_excl_col and c_excl_col not in [id_col, *by] else []) + [vec_col]
-    by_list = list(by)
-    qid_list = list(qid_cols)
+    def add_queries(self, pdf: pd.DataFrame) -> None:
+        self.keys.append(pdf)
+        self.vectors.append(_matrix(pdf["_vec"]))
+
+    def add_corpus(self, pdf: pd.DataFrame) -> None:
+        if not self.vectors:
+            return
+        if self.Q is None:
+            self.Q, self.keys = np.concatenate(self.vectors), pd.concat(self.keys, ignore_index=True)
+            self.qn = np.einsum("ij,ij->i", self.Q, self.Q)
+        D, ids = _matrix(pdf["_vec"]), pdf["_c"].to_numpy()
+        dn = np.einsum("ij,ij->i", D, D)
+        if self.n_by:
+            tuples = list(zip(*[pdf[f"_b{i}"].tolist() for i in range(self.n_by)]))
+            codes = np.fromiter((self.groups.setdefault(t, len(self.groups)) for t in tuples), dtype=np.int64, count=len(tuples))
+        else:
+            codes = np.zeros(len(pdf), dtype=np.int64)
+        step = max(1, _TILE_BYTES // (8 * max(1, len(pdf))))
+        for s in range(0, len(self.Q), step):
+            dist = self.qn[s:s + step, None] + dn[None, :] - 2.0 * (self.Q[s:s + step] @ D.T)
+            np.maximum(dist, 0.0, out=dist)
+            # ordering key on a 1e-9 grid: identical vectors tie exactly (a matrix product may differ in the last
+            # bits), so the id tie-break decides; the distance itself is emitted unrounded
+            key = np.round(dist, 9)
+            if self.excluding:
+                key[self.keys["_x"].to_numpy()[s:s + step, None] == pdf["_x"].to_numpy()[None, :]] = np.inf
+            cand = _candidates(dist, key, s, codes, ids, self.k)
+            if cand is not None:
+                self.buf.append(cand)
+                self.rows += len(cand[0])
+        if self.rows > 8 * len(self.Q) * self.k * max(1, len(self.groups)) + 100_000:
+            self.buf = [_topk_sorted(*[np.concatenate(p) for p in zip(*self.buf)], self.k)]
+            self.rows = len(self.buf[0][0])
+
+    def result(self, q_cols: list) -> pd.DataFrame | None:
+        if not self.buf:
+            return None
+        qi, g, ids, d, key = _topk_sorted(*[np.concatenate(p) for p in zip(*self.buf)], self.k)
+        out = self.keys.loc[qi, q_cols].reset_index(drop=True)
+        names = {code: t for t, code in self.groups.items()}
+        for i in range(self.n_by):
+            out[f"_b{i}"] = [names[x][i] for x in g.tolist()]
+        out["_c"], out["distance"], out["_key"] = ids, d, key
+        return out
+
+
+def _search(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_col, id_col, vec_col, by, exclude,
+            n_parts: int, n_blocks: int) -> DataFrame:
+    """Top-k of the pairs that share a part.  Both sides bring ``_part`` (a query once for each of its parts)."""
+    q_excl, c_excl = exclude if exclude else (None, None)
+    q_cols, b_cols = [f"_q{i}" for i in range(len(qid_cols))], [f"_b{i}" for i in range(len(by))]
+    blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
+    q = queries.select(
+        "_part", F.pmod(F.xxhash64(*qid_cols), F.lit(n_blocks)).cast("int").alias("_block"), F.lit(0).alias("_kind"),
+        *[F.col(c).alias(n) for c, n in zip(qid_cols, q_cols)],
+        *[F.lit(None).cast(corpus.schema[c].dataType).alias(n) for c, n in zip(by, b_cols)],
+        F.lit(None).cast(corpus.schema[id_col].dataType).alias("_c"),
+        (F.col(q_excl) if q_excl else F.lit(None)).cast("string").alias("_x"), F.col(qvec_col).cast("array<double>").alias("_vec"))
+    c = corpus.select(
+        "_part", F.explode(blocks).alias("_block"), F.lit(1).alias("_kind"),
+        *[F.lit(None).cast(queries.schema[c].dataType).alias(n) for c, n in zip(qid_cols, q_cols)],
+        *[F.col(c).alias(n) for c, n in zip(by, b_cols)], F.col(id_col).alias("_c"),
+        (F.col(c_excl) if c_excl else F.lit(None)).cast("string").alias("_x"), F.col(vec_col).cast("array<double>").alias("_vec"))
+    out = T.StructType([T.StructField(n, queries.schema[c].dataType) for c, n in zip(qid_cols, q_cols)]
+                       + [T.StructField(n, corpus.schema[c].dataType) for c, n in zip(by, b_cols)]
+                       + [T.StructField("_c", corpus.schema[id_col].dataType), T.StructField("distance", T.DoubleType()),
+                          T.StructField("_key", T.DoubleType())])
+    n_by, excluding = len(by), exclude is not None
 
     def search(batches):
-        data = bc.value
-        Q = data["Q"]
-        qn = np.einsum("ij,ij->i", Q, Q)
-        q_excl = data["excl"]
-        nq = Q.shape[0]
-        group_index: dict = {}
-        buf = []
-        buf_rows = 0
+        at, top = None, None
         for pdf in batches:
-            if len(pdf) == 0:
+            if not len(pdf):
                 continue
-            D = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            ids = pdf[id_col].to_numpy()
-            dn = np.einsum("ij,ij->i", D, D)
-            if by_list:
-                tuples = list(zip(*[pdf[c].tolist() for c in by_list]))
-                codes = np.fromiter((group_index.setdefault(t, len(group_index)) for t in tuples),
-                                    dtype=np.int64, count=len(tuples))
-            else:
-                codes = np.zeros(len(pdf), dtype=np.int64)
-            c_excl = pdf[c_excl_col].to_numpy() if c_excl_col else None
-            step = max(1, _TILE_BYTES // (8 * max(1, len(pdf))))
-            for s in range(0, nq, step):
-                Qc = Q[s : s + step]
-                dist = qn[s : s + step, None] + dn[None, :] - 2.0 * (Qc @ D.T)
-                np.maximum(dist, 0.0, out=dist)
-                # ordering key on a 1e-9 grid: identical vectors tie exactly (a matrix product
-                # may differ in the last bits), so the id tie-break decides; the distance
-                # itself is emitted unrounded
-                key = np.round(dist, 9)
-                if c_excl is not None:
-                    key[q_excl[s : s + step, None] == c_excl[None, :]] = np.inf
-                cand = _candidates(dist, key, s, codes, ids, k)
-                if cand is not None:
-                    buf.append(cand)
-                    buf_rows += len(cand[0])
-            if buf_rows > 8 * nq * k * max(1, len(group_index)) + 100_000:
-                merged = _topk_sorted(*[np.concatenate(p) for p in zip(*buf)], k)
-                buf, buf_rows = [merged], len(merged[0])
-        if not buf:
-            return
-        qi, g, ids, d, key = _topk_sorted(*[np.concatenate(p) for p in zip(*buf)], k)
-        out = data["keys"].iloc[qi].reset_index(drop=True)
-        if by_list:
-            inv = {v: t for t, v in group_index.items()}
-            gt = [inv[x] for x in g.tolist()]
-            for j, c in enumerate(by_list):
-                out[c] = [t[j] for t in gt]
-        out[id_col] = ids
-        out["distance"] = d
-        out["_key"] = key
-        yield out[qid_list + by_list + [id_col, "distance", "_key"]]
+            run = pdf[["_part", "_block", "_kind"]].to_numpy()
+            cut = np.flatnonzero((run[1:] != run[:-1]).any(1)) + 1
+            for low, high in zip([0, *cut], [*cut, len(pdf)]):
+                part, block, kind = run[low]
+                if (part, block) != at:
+                    if top is not None and (done := top.result(q_cols)) is not None:
+                        yield done
+                    at, top = (part, block), _TopK(k, n_by, excluding)
+                (top.add_corpus if kind else top.add_queries)(pdf.iloc[low:high])
+        if top is not None and (done := top.result(q_cols)) is not None:
+            yield done
+
+    both = q.unionByName(c).repartition(n_parts * n_blocks, "_part", "_block").sortWithinPartitions("_part", "_block", "_kind")
+    found = both.mapInPandas(search, out)
+    w = Window.partitionBy(*q_cols, *b_cols).orderBy(F.col("_key").asc(), F.col("_c").asc())
+    return (found.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
+            .select(*[F.col(n).alias(c) for c, n in zip(qid_cols, q_cols)], *[F.col(n).alias(c) for c, n in zip(by, b_cols)],
+                    F.col("_c").alias(id_col), "distance", F.col("rk").cast("bigint").alias("rk")))
+
+
+def _query_blocks(queries: DataFrame, qvec_col: str, block_bytes: int) -> int:
+    size = queries.agg(F.sum(F.size(qvec_col) * F.lit(8))).first()[0] or 0
+    return max(1, math.ceil(size / block_bytes))
+
 
-    return corpus.select(*c_cols).mapInPandas(search, out_schema)
+def _part_count(n_rows: int, part_rows: int, spark) -> int:
+    """Parts of ``part_rows`` rows, but one for each core as long as they have some rows to share."""
+    return max(1, math.ceil(n_rows / part_rows), min(spark.sparkContext.defaultParallelism, n_rows // 1024))
 
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int, *, qid_cols=("qid",), qvec_col: str = "qvec",
         id_col: str = "doc_id", vec_col: str = "embedding", by=(), exclude: tuple[str, str] | None = None,
-        max_broadcast_bytes: int = params.KNN_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Top-k corpus rows per query row (and per ``by`` group of the corpus).
+        block_bytes: int = params.KNN_BLOCK_BYTES, part_rows: int = params.KNN_PART_ROWS) -> DataFrame:
+    """Exact top-k corpus rows per query row (and per ``by`` group of the corpus).
 
     Returns ``qid_cols + by + [id_col, distance, rk]`` with ``rk`` 1..k (bigint).
     ``exclude=(query_col, corpus_col)`` drops pairs whose two values are equal
     (e.g. a question must not retrieve its own vector).
     """
     qid_cols, by = tuple(qid_cols), tuple(by)
-    cap = max(1, min(_FAST_ROWS, max_broadcast_bytes // (8 * 4096)))
-    head = queries.select(*_query_cols(qid_cols, qvec_col, exclude)).limit(cap + 1).toPandas()
-    if len(head) <= cap:                      # common case: one bounded collection, one pass
-        found = [_search_block(corpus, queries, k, qid_cols, qvec_col, id_col, vec_col, by, exclude, qpdf=head)]
-    else:
-        n_q = queries.count()
-        dim = max(len(v) for v in head[qvec_col])
-        n_blocks = max(1, math.ceil(n_q * dim * 8 / max_broadcast_bytes))
-        if n_blocks == 1:
-            parts = [queries]
-        else:
-            blk = queries.withColumn("__blk", F.pmod(F.xxhash64(*qid_cols), F.lit(n_blocks)))
-            parts = [blk.where(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
-        found = [_search_block(corpus, p, k, qid_cols, qvec_col, id_col, vec_col, by, exclude) for p in parts]
-    found = [f for f in found if f is not None]
-    if not found:
-        schema = T.StructType([queries.schema[c] for c in qid_cols] + [corpus.schema[c] for c in by] + [
-            corpus.schema[id_col], T.StructField("distance", T.DoubleType()), T.StructField("rk", T.LongType())])
-        return corpus.sparkSession.createDataFrame([], schema)
-    cand = found[0]
-    for f in found[1:]:
-        cand = cand.unionByName(f)
-    w = Window.partitionBy(*qid_cols, *by).orderBy(F.col("_key").asc(), F.col(id_col).asc())
-    return (cand.withColumn("rk", F.row_number().over(w))
-            .where(F.col("rk") <= k)
-            .withColumn("rk", F.col("rk").cast("bigint")).drop("_key"))
+    n = _part_count(corpus.count(), part_rows, corpus.sparkSession)
+    parts = corpus.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(n)).cast("long"))
+    asked = queries.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    return _search(parts, asked, k, qid_cols, qvec_col, id_col, vec_col, by, exclude, n, _query_blocks(queries, qvec_col, block_bytes))
+
+
+# --- R3: approximate search by cells --------------------------------------------------------------------------------------
+def assign_cells(df: DataFrame, vec_col: str, centroids: np.ndarray, n: int, out: str = "cells") -> DataFrame:
+    """Adds the numbers of the n centroids nearest to each vector, nearest first (ties: the smaller number)."""
+    norm = (centroids * centroids).sum(1)
+
+    def nearest(vectors: pd.Series) -> pd.Series:
+        x = _matrix(vectors)
+        d = np.round((x * x).sum(1)[:, None] + norm[None, :] - 2.0 * (x @ centroids.T), 9)
+        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :n].astype(np.int64)))
+
+    nearest.__annotations__ = {"vectors": pd.Series, "return": pd.Series}
+    return df.withColumn(out, F.pandas_udf(nearest, "array<long>")(F.col(vec_col).cast("array<double>")))
+
+
+def knn_cells(corpus: DataFrame, queries: DataFrame, k: int, centroids: np.ndarray, probes: int, *, qid_cols=("qid",),
+              qvec_col: str = "qvec", id_col: str = "doc_id", vec_col: str = "embedding", by=(),
+              exclude: tuple[str, str] | None = None, block_bytes: int = params.KNN_BLOCK_BYTES,
+              part_rows: int = params.KNN_PART_ROWS) -> DataFrame:
+    """Top-k among the corpus rows of the ``probes`` cells nearest to each query; columns as ``knn``.
+
+    ``centroids`` is a bounded sample (a few thousand vectors).  A large cell is dealt to several parts.
+    """
+    qid_cols, by = tuple(qid_cols), tuple(by)
+    parts = assign_cells(corpus.select(*{id_col, *by, *(exclude or ())[1:], vec_col}), vec_col, centroids, 1)
+    split = max(1, math.ceil(corpus.count() / len(centroids) / part_rows))
+    parts = parts.withColumn("_part", F.col("cells")[0] * split + F.pmod(F.xxhash64(id_col), F.lit(split)))
+    asked = assign_cells(queries, qvec_col, centroids, probes)
+    asked = asked.withColumn("_part", F.explode(F.flatten(F.transform("cells", lambda c: F.sequence(c * split, c * split + (split - 1))))))
+    n = min(len(centroids) * split, corpus.sparkSession.sparkContext.defaultParallelism * 4)
+    return _search(parts, asked.drop("cells"), k, qid_cols, qvec_col, id_col, vec_col, by, exclude, n,
+                   _query_blocks(queries, qvec_col, block_bytes))
+
+
+def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
+    """Share of exact top-k (qid, doc_id) pairs found by the approximate search."""
+    e = exact.select("qid", "doc_id").withColumn("_e", F.lit(1))
+    a = approx.select("qid", "doc_id").withColumn("_a", F.lit(1))
+    j = e.join(a, ["qid", "doc_id"], "left")
+    return j.agg(F.count("*").cast("bigint").alias("n_exact"), F.count("_a").cast("bigint").alias("n_found"),
+                 (F.count("_a") / F.count("*")).alias("recall"))
+
+
+def compared_share(corpus: DataFrame, queries: DataFrame, centroids: np.ndarray, probes: int, qvec_col: str = "qvec",
+                   vec_col: str = "embedding") -> DataFrame:
+    """(n_compared, n_pairs): pairs that the cell search compares, of all pairs of a query and a corpus row."""
+    sizes = assign_cells(corpus.select(vec_col), vec_col, centroids, 1).groupBy(F.col("cells")[0].alias("cell")).agg(F.count("*").alias("n"))
+    asked = assign_cells(queries.select(qvec_col), qvec_col, centroids, probes).select(F.explode("cells").alias("cell"))
+    met = asked.join(sizes, "cell", "left").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_compared"))
+    return met.withColumn("n_pairs", F.lit(corpus.count() * queries.count()))

@@ -9,9 +9,13 @@ built-in column functions) keeps every result reproducible without a model.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
 
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +24,7 @@ from quarry import params
 
 _RATE_LIMITED = re.compile(r"\b429\b|\brate[ _-]?limit|\btoo many requests\b|\b(requests|tokens|queries) per (second|minute|day)\b",
                            re.IGNORECASE)
+_KNOWN_TOKENS = 500_000     # tokens whose bucket a task remembers
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
 
 
@@ -81,26 +86,33 @@ def hashed_embeddings(df: DataFrame, id_col: str, text_col: str, dim: int = 64,
                       token_pattern: str = TOKEN_PATTERN) -> DataFrame:
     """M1 default for a table of texts: (id, n_tokens, embedding).
 
-    Tokens are exploded and counted per (id, bucket) with map-side partial aggregation, so
-    at most ``dim`` rows per text cross the shuffle; the vector is assembled from that map.
-    Same values as ``hashed_embedding`` (the per-row column form, for short texts)."""
-    toks = df.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), token_pattern)).alias("t")) \
-        .where(F.length("t") > 0)
-    b = toks.select(id_col, (F.conv(F.substring(F.md5("t"), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
-                    .alias("b"))
-    counts = b.groupBy(id_col, "b").agg(F.count("*").alias("n"))
-    per = counts.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("m"),
-                                     F.sum("n").cast("bigint").alias("n_tokens"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.coalesce(F.element_at(F.col("m"), i), F.lit(0)).cast("double"))
-    per = per.select(id_col, "n_tokens", vec.alias("_c"))
-    norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, x: a + x * x))
-    per = per.select(id_col, "n_tokens", F.when(norm > 0, F.transform("_c", lambda x: x / norm))
-                     .otherwise(F.col("_c")).alias("embedding"))
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return df.select(id_col).join(per, id_col, "left").select(
-        id_col, F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
-        F.coalesce("embedding", zero).alias("embedding"))
+    Texts are lowered in the JVM and counted in Arrow batches, one text at a time: no shuffle, and rows with equal ids stay
+    rows of their own.  Same values as ``hashed_embedding`` (the per-row column form, for short texts)."""
+    schema = T.StructType([df.schema[id_col], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        split, known = regex.compile(token_pattern).split, {}
+        for pdf in batches:
+            sizes, vectors = [], []
+            for text in pdf["_text"]:
+                tokens = [t for t in split(text or "") if t]
+                for t in set(tokens).difference(known):
+                    if len(known) >= _KNOWN_TOKENS:
+                        known.clear()
+                        known.update((u, _bucket(u, dim)) for u in tokens)
+                    known[t] = _bucket(t, dim)
+                counts = np.bincount([known[t] for t in tokens], minlength=dim).astype(float) if tokens else np.zeros(dim)
+                norm = np.sqrt(float((counts * counts).sum()))
+                sizes.append(len(tokens))
+                vectors.append(counts / norm if norm else counts)
+            yield pd.DataFrame({id_col: pdf[id_col], "n_tokens": sizes, "embedding": vectors})
+
+    return df.select(id_col, F.lower(F.col(text_col)).alias("_text")).mapInPandas(run, schema)
+
+
+def _bucket(token: str, dim: int) -> int:
+    return int(hashlib.md5(token.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) % dim
 
 
 def embed(df: DataFrame, text_col: str, embed_fn=None, out_col: str = "embedding", dim: int = 64,

@@ -52,6 +52,6 @@ CONTEXT_CHARS_LOCAL = 300        # ... 300 chars each
 EVAL_REFUSAL_MIN_CHARS = 100     # evaluation hallucination: long answer without docs
 
 # --- engine sizing (ours) -----------------------------------------------------
-# Largest query-side matrix (bytes) broadcast to the kNN tasks in one pass;
-# larger query sets are processed in blocks of this size.
-KNN_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# kNN: bytes of the query vectors that a task holds, and corpus rows it compares them with.
+KNN_BLOCK_BYTES = 64 * 1024 * 1024
+KNN_PART_ROWS = 131_072

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.knn import knn
+from quarry.operators.knn import compared_share, knn, knn_cells, recall_at_k
 
 
 def _data(spark, n=300, q=17, dim=8, seed=3):
@@ -48,7 +48,7 @@ def test_knn_groups_and_partitions(spark):
 def test_knn_query_blocks_equal_single_pass(spark):
     c, qs, cdf, qdf = _data(spark)
     one = {(r.qid, r.doc_id, r.rk) for r in knn(cdf, qdf, 3).collect()}
-    blocks = {(r.qid, r.doc_id, r.rk) for r in knn(cdf, qdf, 3, max_broadcast_bytes=200).collect()}
+    blocks = {(r.qid, r.doc_id, r.rk) for r in knn(cdf, qdf, 3, block_bytes=200, part_rows=40).collect()}
     assert one == blocks
 
 
@@ -59,3 +59,21 @@ def test_knn_self_distance_zero_and_exclusion(spark):
     assert all(r.doc_id == r.qid and r.distance == pytest.approx(0.0, abs=1e-9) for r in res)
     res = knn(cdf, self_q, 1, exclude=("qid", "doc_id")).collect()
     assert all(r.doc_id != r.qid for r in res)
+
+
+def test_cells_equal_brute_force_in_the_probed_cells(spark):
+    c, qs, cdf, qdf = _data(spark)
+    centroids = c[:12]
+    cell = ((c[:, None] - centroids[None]) ** 2).sum(2).argmin(1)
+    near = np.argsort(((qs[:, None] - centroids[None]) ** 2).sum(2), axis=1)[:, :3]
+    want = set()
+    for q in range(len(qs)):
+        d = ((c - qs[q]) ** 2).sum(1)
+        want |= {(q, i) for i in sorted(np.flatnonzero(np.isin(cell, near[q])), key=lambda i: (d[i], i))[:5]}
+    for rows in (10, 1000):
+        got = knn_cells(cdf, qdf, 5, centroids, 3, part_rows=rows)
+        assert {(r.qid, r.doc_id) for r in got.collect()} == want
+    share = compared_share(cdf, qdf, centroids, 3).first()
+    assert share.n_compared == sum(int(np.isin(cell, near[q]).sum()) for q in range(len(qs))) and share.n_pairs == 300 * 17
+    full = knn_cells(cdf, qdf, 5, centroids, 12)
+    assert recall_at_k(full, knn(cdf, qdf, 5)).first().recall == 1.0
