@@ -53,7 +53,9 @@ def final_docs(pool_df: DataFrame, bonus: DataFrame, judge: DataFrame | None, *,
     p = pool_df.join(bonus, ["qid", "doc_id"], "left")
     if judge is not None:
         j = judge.select("doc_id", "score", "relevant")
-        p = j.join(F.broadcast(p), "doc_id", "right") if small else p.join(j, "doc_id", "left")
+        if small:       # only the candidates' verdicts move
+            j = F.broadcast(j.join(F.broadcast(pool_df.select("doc_id").distinct()), "doc_id", "left_semi"))
+        p = p.join(j, "doc_id", "left")
     else:
         p = p.withColumn("score", F.lit(None).cast("double")).withColumn("relevant", F.lit(None).cast("boolean"))
 

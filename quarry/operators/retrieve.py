@@ -59,8 +59,8 @@ def dedup(cands: DataFrame) -> DataFrame:
 
 
 def attach(small: DataFrame, corpus: DataFrame, cols, on: str = "doc_id", est_rows: int | None = None) -> DataFrame:
-    """Join corpus columns onto a candidate table.  The candidate side is broadcast only when
-    its estimated row count is within ``BROADCAST_ROWS``; otherwise the planner shuffles."""
+    """Join corpus columns onto a candidate table.  The candidate side is broadcast only when ``est_rows``, its row count or
+    a bound on it, is within ``BROADCAST_ROWS``; otherwise the planner shuffles."""
     right = corpus.select(on, *[c for c in cols if c != on])
     if est_rows is not None and est_rows <= BROADCAST_ROWS:
         return right.join(F.broadcast(small), on, "inner")
@@ -80,22 +80,11 @@ def question_features(questions: DataFrame, words, text_col: str = "question",
         F.filter(ws_words(lq), lambda w: F.length(w) >= 2).alias("qwords"))
 
 
-def keyword_bonus(lc) -> F.Column:
-    """R7 as a column expression: bonus (<= 0) added to a statute's distance, from question
-    features and the lowered content ``lc``: -0.5 per lexicon word in both, -0.5 more when
-    >= 2 such words; -2.0 per article reference occurrence found in the content; -0.3 per
-    question word found in it."""
-    n_words = F.size(F.filter("qlex", lambda w: F.instr(lc, w) > 0))
-    arts = F.size(F.filter("qarts", lambda a: F.instr(lc, a) > 0))
-    qwords = F.size(F.filter("qwords", lambda w: F.instr(lc, w) > 0))
-    return (-0.5 * n_words - F.when(n_words >= 2, F.lit(0.5)).otherwise(F.lit(0.0))
-            - 2.0 * arts - 0.3 * qwords)
-
-
 @F.pandas_udf(T.DoubleType())
 def _bonus_udf(qlex: pd.Series, qarts: pd.Series, qwords: pd.Series, lc: pd.Series) -> pd.Series:
-    """R7 over Arrow batches: the same counts as ``keyword_bonus`` with C-speed substring
-    search (``in``) instead of the JVM's naive per-word scan of long contents."""
+    """Bonus (<= 0) added to a statute's distance: -0.5 per lexicon word in both, -0.5 more when >= 2 such words;
+    -2.0 per article reference occurrence found in the content; -0.3 per question word found in it.  Over Arrow
+    batches, with substring search in C instead of the JVM's naive per-word scan of long contents."""
     out = []
     for lex, arts, words, text in zip(qlex, qarts, qwords, lc):
         n = sum(1 for w in lex if w in text)
@@ -112,7 +101,8 @@ def keyword_bonus_table(cands: DataFrame, questions: DataFrame, corpus: DataFram
     st = cands.where(F.col("type") == "statute").select("qid", "doc_id").distinct()
     withdoc = attach(st, corpus, ["content"], est_rows=est_rows).withColumn("lc", F.lower("content"))
     feats = question_features(questions, words)
-    j = withdoc.join(F.broadcast(feats) if est_rows is not None else feats, "qid")
+    small = est_rows is not None and est_rows <= BROADCAST_ROWS      # there are no more questions than candidates
+    j = withdoc.join(F.broadcast(feats) if small else feats, "qid")
     return j.select("qid", "doc_id", _bonus_udf("qlex", "qarts", "qwords", "lc").alias("bonus"))
 
 

@@ -27,9 +27,11 @@ ANSWER_CHARS = 300   # extractive answer length
 
 def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame | None, words,
                    qrows: DataFrame | None = None, final_k: int = params.RETRIEVAL_TOP_K,
-                   with_count: bool = False):
+                   with_count: bool = False, cached: list | None = None):
     """Hybrid retrieval + rerank policy for in-scope questions: (qid, doc_id, type, domain, distance, pos).
 
+    Persisted tables are appended to ``cached``, for the caller to release once the rows are written.
+
     One kNN pass builds the pool (persisted: the keyword bonuses and the final step both read
     it); everything after it is the fused per-question step (``operators.fused``), bounded by
     (questions x fetch x groups) rows."""
@@ -37,8 +39,10 @@ def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame
         qrows = questions_in.select("qid", F.lit(0).cast("bigint").alias("ord"), "qvec")
     n_rows = qrows.count()
     fetch = R.fetch_size(POOL_K)
-    est = n_rows * fetch * 10
     pool = R.pool(corpus, qrows, fetch).persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.append(pool)
+    est = pool.count()      # the size that decides about broadcasts below
     sk, _ = R.quotas(POOL_K)
     statutes = pool.where((F.col("type") == "statute") & (F.col("rk") <= 2 * sk))
     bonus = R.keyword_bonus_table(statutes, questions_in, corpus, words, est_rows=est)
@@ -51,7 +55,8 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
                     confidence_threshold: float = params.CONFIDENCE_THRESHOLD,
                     refusal_template: str = A.REFUSAL_TEMPLATE, low_relevance_answer: str = A.LOW_RELEVANCE_ANSWER,
                     uncertain_answer: str = A.UNCERTAIN_ANSWER, qrows: DataFrame | None = None,
-                    verdicts: DataFrame | None = None, check_lexicon: H.CheckLexicon = H.DEFAULT) -> DataFrame:
+                    verdicts: DataFrame | None = None, check_lexicon: H.CheckLexicon = H.DEFAULT,
+                    cached: list | None = None) -> DataFrame:
     """One row per question: qid, status, detected_domain, n_docs, doc_ids, confidence,
     is_uncertain, answer, citations.
 
@@ -61,9 +66,11 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     warning (H3)."""
     gated = scope_gate(questions, scope_groups)
     inq = gated.where(~F.col("out_of_scope"))
-    final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True)
+    final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True, cached=cached)
     final = final.persist(StorageLevel.MEMORY_AND_DISK)
-    # at most RETRIEVAL_TOP_K rows per question row; the question side was size-checked by the kNN
+    if cached is not None:
+        cached.append(final)
+    # at most RETRIEVAL_TOP_K rows per question row
     est = n_rows * params.RETRIEVAL_TOP_K
     docs = R.attach(final, corpus, ["content", "source", "article", "accusation"], est_rows=est)
     stats = K.doc_stats(final)

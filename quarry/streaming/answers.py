@@ -45,8 +45,13 @@ def answer_stream(questions: DataFrame, corpus: DataFrame, judge: DataFrame | No
     sink, ckpt = scratch_path(spark, f"{run}/data"), scratch_path(spark, f"{run}/checkpoint")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = answer_pipeline(batch, corpus, judge, **pipeline_kw).withColumn("batch_id", F.lit(batch_id))
-        out.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        cached: list = []
+        try:
+            out = answer_pipeline(batch, corpus, judge, cached=cached, **pipeline_kw).withColumn("batch_id", F.lit(batch_id))
+            out.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        finally:
+            for table in cached:
+                table.unpersist()
 
     q = (questions.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
