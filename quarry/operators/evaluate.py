@@ -90,15 +90,25 @@ def citation_prf(pred_sources, expected_sources, lex: EvalLexicon = DEFAULT) ->
             .otherwise(F.struct(prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))))
 
 
+HAN = r"[\p{IsHan}]+"
+
+
 def tokens(c, lex: EvalLexicon = DEFAULT) -> F.Column:
-    """E4 default tokenizer: distinct lower-cased word tokens minus stopwords."""
-    t = F.regexp_extract_all(F.lower(F.coalesce(col_(c), F.lit(""))), F.lit(lex.token_pattern), 0)
+    """E4 default tokenizer: distinct lower-cased word tokens and, of Chinese runs, the pairs of neighbouring characters;
+    minus stopwords."""
+    text = F.lower(F.coalesce(col_(c), F.lit("")))
+    runs = F.regexp_extract_all(text, F.lit(HAN), 0)
+    pairs = F.flatten(F.transform(runs, lambda r: F.when(F.length(r) == 1, F.array(r)).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(r) - 1, F.lit(1))), lambda i: F.substr(r, i, F.lit(2))))))
+    t = F.concat(F.regexp_extract_all(F.regexp_replace(text, HAN, " "), F.lit(lex.token_pattern), 0), pairs)
     return F.array_except(F.array_distinct(t), lit_array(list(lex.stopwords)))
 
 
-def relevance(answer, question, truth, lex: EvalLexicon = DEFAULT) -> F.Column:
-    """0.4 |q∩a|/max(|q|,1) + 0.6 (|g∩a|/max(|g|,1), or 0.5 without truth), capped at 1."""
-    a, q, g = tokens(answer, lex), tokens(question, lex), tokens(truth, lex)
+def relevance(answer, question, truth, lex: EvalLexicon = DEFAULT, tokenize_fn=None) -> F.Column:
+    """0.4 |q∩a|/max(|q|,1) + 0.6 (|g∩a|/max(|g|,1), or 0.5 without truth), capped at 1.
+
+    ``tokenize_fn`` maps a text column to an array of distinct tokens (``tokens`` if None)."""
+    a, q, g = (tokenize_fn(col_(c)) if tokenize_fn else tokens(c, lex) for c in (answer, question, truth))
     qo = F.size(F.array_intersect(q, a)) / F.greatest(F.size(q), F.lit(1))
     go = F.when(F.size(g) > 0, F.size(F.array_intersect(g, a)) / F.greatest(F.size(g), F.lit(1))).otherwise(F.lit(0.5))
     return F.least(0.4 * qo + 0.6 * go, F.lit(1.0))

@@ -77,10 +77,11 @@ def _matrix(column) -> np.ndarray:
 
 
 class _TopK:
-    """The best k corpus rows per (query, group) of one block of queries and one part of the corpus."""
+    """The best k corpus rows per (query, group) of one block of queries and one part of the corpus; or, with a radius, all
+    rows that are near enough."""
 
-    def __init__(self, k: int, n_by: int, excluding: bool):
-        self.k, self.n_by, self.excluding = k, n_by, excluding
+    def __init__(self, k: int, n_by: int, excluding: bool, radius: float | None):
+        self.k, self.n_by, self.excluding, self.radius = k, n_by, excluding, radius
         self.keys, self.vectors, self.Q = [], [], None
         self.groups: dict = {}
         self.buf, self.rows = [], 0
@@ -111,18 +112,25 @@ class _TopK:
             key = np.round(dist, 9)
             if self.excluding:
                 key[self.keys["_x"].to_numpy()[s:s + step, None] == pdf["_x"].to_numpy()[None, :]] = np.inf
-            cand = _candidates(dist, key, s, codes, ids, self.k)
+            if self.radius is None:
+                cand = _candidates(dist, key, s, codes, ids, self.k)
+            else:
+                r, c = np.nonzero(key <= self.radius)
+                cand = (r + s, codes[c], ids[c], dist[r, c], key[r, c]) if len(r) else None
             if cand is not None:
                 self.buf.append(cand)
                 self.rows += len(cand[0])
-        if self.rows > 8 * len(self.Q) * self.k * max(1, len(self.groups)) + 100_000:
+        if self.radius is None and self.rows > 8 * len(self.Q) * self.k * max(1, len(self.groups)) + 100_000:
             self.buf = [_topk_sorted(*[np.concatenate(p) for p in zip(*self.buf)], self.k)]
             self.rows = len(self.buf[0][0])
 
     def result(self, q_cols: list) -> pd.DataFrame | None:
         if not self.buf:
             return None
-        qi, g, ids, d, key = _topk_sorted(*[np.concatenate(p) for p in zip(*self.buf)], self.k)
+        qi, g, ids, d, key = (np.concatenate(p) for p in zip(*self.buf))
+        if self.radius is None:
+            qi, g, ids, d, key = _topk_sorted(qi, g, ids, d, key, self.k)
+        self.buf, self.rows = [], 0
         out = self.keys.loc[qi, q_cols].reset_index(drop=True)
         names = {code: t for t, code in self.groups.items()}
         for i in range(self.n_by):
@@ -132,8 +140,8 @@ class _TopK:
 
 
 def _search(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_col, id_col, vec_col, by, exclude,
-            n_parts: int, n_blocks: int) -> DataFrame:
-    """Top-k of the pairs that share a part.  Both sides bring ``_part`` (a query once for each of its parts)."""
+            n_parts: int, n_blocks: int, radius: float | None = None) -> DataFrame:
+    """Top-k of the pairs that share a part, or all within a radius.  Both sides bring ``_part`` (a query once for each of its parts)."""
     q_excl, c_excl = exclude if exclude else (None, None)
     q_cols, b_cols = [f"_q{i}" for i in range(len(qid_cols))], [f"_b{i}" for i in range(len(by))]
     blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
@@ -166,17 +174,21 @@ def _search(corpus: DataFrame, queries: DataFrame, k: int, qid_cols, qvec_col, i
                 if (part, block) != at:
                     if top is not None and (done := top.result(q_cols)) is not None:
                         yield done
-                    at, top = (part, block), _TopK(k, n_by, excluding)
+                    at, top = (part, block), _TopK(k, n_by, excluding, radius)
                 (top.add_corpus if kind else top.add_queries)(pdf.iloc[low:high])
+                if radius is not None and kind and (done := top.result(q_cols)) is not None:
+                    yield done
         if top is not None and (done := top.result(q_cols)) is not None:
             yield done
 
     both = q.unionByName(c).repartition(n_parts * n_blocks, "_part", "_block").sortWithinPartitions("_part", "_block", "_kind")
     found = both.mapInPandas(search, out)
+    names = [F.col(n).alias(c) for c, n in zip((*qid_cols, *by), q_cols + b_cols)]
+    if radius is not None:
+        return found.select(*names, F.col("_c").alias(id_col), "distance")
     w = Window.partitionBy(*q_cols, *b_cols).orderBy(F.col("_key").asc(), F.col("_c").asc())
     return (found.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
-            .select(*[F.col(n).alias(c) for c, n in zip(qid_cols, q_cols)], *[F.col(n).alias(c) for c, n in zip(by, b_cols)],
-                    F.col("_c").alias(id_col), "distance", F.col("rk").cast("bigint").alias("rk")))
+            .select(*names, F.col("_c").alias(id_col), "distance", F.col("rk").cast("bigint").alias("rk")))
 
 
 def _query_blocks(queries: DataFrame, qvec_col: str, block_bytes: int) -> int:
@@ -205,6 +217,18 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int, *, qid_cols=("qid",), qve
     return _search(parts, asked, k, qid_cols, qvec_col, id_col, vec_col, by, exclude, n, _query_blocks(queries, qvec_col, block_bytes))
 
 
+def within(corpus: DataFrame, queries: DataFrame, radius: float, *, qid_cols=("qid",), qvec_col: str = "qvec",
+           id_col: str = "doc_id", vec_col: str = "embedding", by=(), exclude: tuple[str, str] | None = None,
+           block_bytes: int = params.KNN_BLOCK_BYTES, part_rows: int = params.KNN_PART_ROWS) -> DataFrame:
+    """All corpus rows within a squared distance of ``radius`` of each query: ``qid_cols + by + [id_col, distance]``."""
+    qid_cols, by = tuple(qid_cols), tuple(by)
+    n = _part_count(corpus.count(), part_rows, corpus.sparkSession)
+    parts = corpus.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(n)).cast("long"))
+    asked = queries.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    return _search(parts, asked, 0, qid_cols, qvec_col, id_col, vec_col, by, exclude, n,
+                   _query_blocks(queries, qvec_col, block_bytes), radius)
+
+
 # --- R3: approximate search by cells --------------------------------------------------------------------------------------
 def assign_cells(df: DataFrame, vec_col: str, centroids: np.ndarray, n: int, out: str = "cells") -> DataFrame:
     """Adds the numbers of the n centroids nearest to each vector, nearest first (ties: the smaller number)."""

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from quarry import params
 from quarry.functions.text import ARTICLE_REF, lit_array, ws_words
-from quarry.operators.knn import knn
+from quarry.operators.knn import knn, within
 
 # Rows of a candidate table small enough to broadcast into a join with the corpus.
 BROADCAST_ROWS = 2_000_000
@@ -202,7 +202,8 @@ def boosted_topk(pool_df: DataFrame, domains: DataFrame, k: int, statute_boost:
     return s.withColumn("pos", F.row_number().over(w).cast("bigint")).where(F.col("pos") <= k)
 
 
-def similarity_threshold(pool_df: DataFrame, threshold: float = params.SIMILARITY_THRESHOLD) -> DataFrame:
-    """Candidates whose similarity 1 - d/2 reaches the threshold (range-limited join)."""
-    p = dedup(pool_df.where(F.col("ord") == 0))
-    return p.withColumn("similarity", 1 - F.col("distance") / 2).where(F.col("similarity") >= threshold)
+def similarity_threshold(corpus: DataFrame, questions: DataFrame, threshold: float = params.SIMILARITY_THRESHOLD,
+                         exclude=("qid", "doc_id")) -> DataFrame:
+    """Every corpus row whose similarity 1 - d/2 reaches the threshold, by a range search over the whole corpus."""
+    found = within(corpus.select("doc_id", "embedding"), questions, 2 * (1 - threshold), exclude=exclude)
+    return found.withColumn("similarity", 1 - F.col("distance") / 2)

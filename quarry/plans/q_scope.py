@@ -174,10 +174,9 @@ def q_boosted_topk(spark, sf):
     return b.select("qid", "doc_id", "pos", F.round("weighted", 6).alias("weighted"))
 
 
-@register("similarity_threshold", S.with_(*QA._PREFIX) + f"""
-SELECT qid, doc_id, round(1 - distance / 2, 6) AS similarity FROM (
-  SELECT qid, doc_id, min(distance) AS distance FROM pool WHERE ord = 0 GROUP BY qid, doc_id)
-WHERE 1 - distance / 2 >= {params.SIMILARITY_THRESHOLD}""")
+@register("similarity_threshold", S.with_(S.CORPUS, S.QUESTIONS, S.PAIRS) + f"""
+SELECT qid, doc_id, round(1 - distance / 2, 6) AS similarity FROM pairs
+WHERE round(distance, 9) <= {2 * (1 - params.SIMILARITY_THRESHOLD)}""")
 def q_similarity_threshold(spark, sf):
-    s = R.similarity_threshold(_pool(spark, sf))
+    s = R.similarity_threshold(ad.corpus(spark, sf), ad.questions(spark, sf))
     return s.select("qid", "doc_id", F.round("similarity", 6).alias("similarity"))

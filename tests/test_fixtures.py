@@ -138,3 +138,11 @@ def test_citation_prf_bounds(spark, pred, exp):
         assert 0.0 <= x <= 1.0
     if r.precision + r.recall > 0:
         assert r.f1 == pytest.approx(2 * r.precision * r.recall / (r.precision + r.recall))
+
+
+def test_relevance_of_chinese_answers_and_own_tokenizer(spark):
+    from quarry.operators import evaluate as E
+    df = spark.createDataFrame([("盗窃罪判几年", "盗窃罪判三年以下", "盗窃罪判三年")], "q string, a string, t string")
+    got, own = df.select(E.relevance("a", "q", "t"), E.relevance("a", "q", "t", tokenize_fn=lambda c: F.split(c, ""))).first()
+    # pairs: q 5 (3 shared), t 5 (all shared); characters: q 6 (5 shared), t 6 (all shared)
+    assert got == pytest.approx(0.4 * 3 / 5 + 0.6) and own == pytest.approx(0.4 * 5 / 6 + 0.6)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.knn import compared_share, knn, knn_cells, recall_at_k
+from quarry.operators.knn import compared_share, knn, knn_cells, recall_at_k, within
 
 
 def _data(spark, n=300, q=17, dim=8, seed=3):
@@ -77,3 +77,11 @@ def test_cells_equal_brute_force_in_the_probed_cells(spark):
     assert share.n_compared == sum(int(np.isin(cell, near[q]).sum()) for q in range(len(qs))) and share.n_pairs == 300 * 17
     full = knn_cells(cdf, qdf, 5, centroids, 12)
     assert recall_at_k(full, knn(cdf, qdf, 5)).first().recall == 1.0
+
+
+def test_range_search_is_complete(spark):
+    c, qs, cdf, qdf = _data(spark)
+    want = {(q, i) for q in range(len(qs)) for i in np.flatnonzero(((c - qs[q]) ** 2).sum(1) <= 9.0)}
+    for rows in (20, 10_000):
+        got = within(cdf, qdf, 9.0, part_rows=rows, block_bytes=300)
+        assert {(r.qid, r.doc_id) for r in got.collect()} == want and got.count() == len(want)
