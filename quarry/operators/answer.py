@@ -25,6 +25,7 @@ REFUSAL_TEMPLATE = ("Sorry, your question concerns the {domain} domain, which th
 LOW_RELEVANCE_ANSWER = ("Sorry, no sufficiently relevant provisions were found for this question. "
                         "Please describe it with more specific legal terms.")
 UNCERTAIN_ANSWER = "Sorry, this question cannot be answered reliably from the available sources."
+PROMPT_TEMPLATE = "Sources:\n{context}\n\nConversation so far:\n{history}\n\nAnswer from the sources: {question}"
 NO_HISTORY = "(no history)"
 USER_LABEL = "User: "
 ASSISTANT_LABEL = "Assistant: "

@@ -17,9 +17,10 @@ from quarry.functions.text import cut
 from quarry.operators import answer as A
 from quarry.operators import checks as H
 from quarry.operators import fused
+from quarry.operators import models as M
 from quarry.operators import rank as K
 from quarry.operators import retrieve as R
-from quarry.operators.scope import refusal, scope_gate
+from quarry.operators.scope import combine_scope, expand_queries, refusal, scope_gate, scope_verdict
 
 POOL_K = 16          # the reference retrieves 2 x RETRIEVAL_TOP_K before reranking
 ANSWER_CHARS = 300   # extractive answer length
@@ -56,16 +57,33 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
                     refusal_template: str = A.REFUSAL_TEMPLATE, low_relevance_answer: str = A.LOW_RELEVANCE_ANSWER,
                     uncertain_answer: str = A.UNCERTAIN_ANSWER, qrows: DataFrame | None = None,
                     verdicts: DataFrame | None = None, check_lexicon: H.CheckLexicon = H.DEFAULT,
-                    cached: list | None = None) -> DataFrame:
+                    cached: list | None = None, scope_replies: DataFrame | None = None, expansions=None, templates=(),
+                    embed_fn=None, generate_fn=None, prompt_template: str = A.PROMPT_TEMPLATE,
+                    history: DataFrame | None = None, structured: bool = False) -> DataFrame:
     """One row per question: qid, status, detected_domain, n_docs, doc_ids, confidence,
-    is_uncertain, answer, citations.
+    is_uncertain, answer, citations; with ``structured`` also citation_list, an array of
+    (pos, source, doc_type, content, relevance_score).
+
+    ``scope_replies`` (qid, reply) are a model's scope verdicts: a question without a keyword hit is out of scope if its
+    verdict says so with enough confidence (G2/G3).  With ``expansions`` and ``embed_fn``, questions are searched with
+    their first expanded queries too, embedded by that callable (G4/G5).  With ``generate_fn``, in-scope questions with
+    documents are answered by it, from a prompt of context, question and ``history`` (qid, history_text) (A2-A4, M4); else the
+    answer is the first excerpt.
 
     Answered questions that the check policy (K9) marks as risky get a hallucination check:
     the model verdict from ``verdicts`` (qid, reply) when given, else the local heuristic
     check (what the reference falls back to without a model); medium/high risk appends the
     warning (H3)."""
     gated = scope_gate(questions, scope_groups)
+    if scope_replies is not None:
+        verdict = scope_verdict(scope_replies.select("qid", "reply")).select("qid", "is_in_scope", "verdict_confidence", "verdict_domain")
+        gated = gated.join(verdict, "qid", "left").fillna({"is_in_scope": True, "verdict_confidence": 0.5})
+        gated = combine_scope(gated).drop("is_in_scope", "verdict_confidence", "verdict_domain")
     inq = gated.where(~F.col("out_of_scope"))
+    if qrows is None and expansions is not None and embed_fn is not None:
+        asked = expand_queries(inq.select("qid", "question"), expansions, templates, max_expansions=params.MAX_EXPANSIONS)
+        asked = M.embed(asked.select("qid", "ord", "query_text"), "query_text", embed_fn, out_col="qvec")
+        qrows = asked.where(F.col("qvec").isNotNull()).select("qid", "ord", "qvec")
     final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True, cached=cached)
     final = final.persist(StorageLevel.MEMORY_AND_DISK)
     if cached is not None:
@@ -74,8 +92,9 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     est = n_rows * params.RETRIEVAL_TOP_K
     docs = R.attach(final, corpus, ["content", "source", "article", "accusation"], est_rows=est)
     stats = K.doc_stats(final)
+    cited = [F.array_sort(F.collect_list(A.citation_struct())).alias("citation_list")] if structured else []
     lists = docs.groupBy("qid").agg(
-        F.array_sort(F.collect_list(F.struct(
+        *cited, F.array_sort(F.collect_list(F.struct(
             "pos", F.col("doc_id").cast("string").alias("id"),
             A.source_label("source", "type", "article", "accusation").alias("label"),
             cut("content", ANSWER_CHARS).alias("excerpt"),
@@ -89,6 +108,15 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     ids = F.coalesce(F.array_join(F.transform("_l", lambda s: s["id"]), ","), F.lit(""))
     # K9 -> H1/H2 -> H3 on answered questions
     excerpt = F.col("_l")[0]["excerpt"]
+    if generate_fn is not None:
+        ask = out.where(answered & (n > 0)).select("qid").join(gated.select("qid", "question"), "qid").join(A.context_block(docs), "qid")
+        past = F.lit(A.NO_HISTORY)
+        if history is not None:
+            ask = ask.join(history.select("qid", "history_text"), "qid", "left")
+            past = F.coalesce("history_text", past)
+        ask = ask.select("qid", A.prompt("context", "question", past, prompt_template).alias("_prompt"))
+        out = out.join(M.generate(ask, "_prompt", generate_fn, out_col="_generated").select("qid", "_generated"), "qid", "left")
+        excerpt = F.col("_generated")
     context = F.array_join(F.transform(F.slice("_l", 1, params.CONTEXT_DOCS_LOCAL), lambda s: s["ctx"]), " ")
     policy = K.check_policy(oos, n, low)
     if verdicts is not None:
@@ -111,4 +139,5 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
         .when(n == 0, F.lit(uncertain_answer)).otherwise(checked).alias("answer"),
         F.when(answered, F.array_join(F.transform("_l", lambda s: s["label"]), " | ")).otherwise(F.lit(""))
         .alias("citations"),
+        *([F.when(answered, F.col("citation_list")).alias("citation_list")] if structured else []),
     )

@@ -83,3 +83,26 @@ def test_rate_limits_and_short_replies(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, text string").coalesce(1)
     out = M.embed(df, "text", lambda texts: [[1.0]], batch_size=2).collect()
     assert all(r.embedding is None and "1 vectors for 2 texts" in r.embed_error for r in out)
+
+
+def test_pipeline_with_model_callables(spark):
+    corpus = _index(spark, [(100 + i, f"text {i} " * 20, "statute" if i % 2 else "case", "criminal", "d", f"src{i}", "", "", v)
+                            for i, v in enumerate([[1.0, 0.0], [0.0, 1.0], [0.9, 0.1], [0.1, 0.9]])])
+    qs = spark.createDataFrame([(1, "renew my loan", [1.0, 0.0]), (2, "is there parking", [1.0, 0.0]), (3, "what is a tort", [1.0, 0.0]),
+                                (4, "overdue", [1.0, 0.0])], "qid long, question string, qvec array<float>")
+    replies = spark.createDataFrame([(3, '{"domain": "other", "confidence": 0.9}'), (4, '{"domain": "other", "confidence": 0.6}')],
+                                    "qid long, reply string")
+    history = spark.createDataFrame([(1, "User: hello")], "qid long, history_text string")
+    cached = []
+    out = {r.qid: r for r in answer_pipeline(
+        qs, corpus, None, scope_groups=L.EXAMPLE_SCOPE_GROUPS, rerank_words=L.EXAMPLE_RERANK_WORDS, min_relevance=0.0, cached=cached,
+        scope_replies=replies, expansions=L.EXAMPLE_EXPANSIONS, templates=["{q} rules"], history=history, structured=True,
+        embed_fn=lambda texts: [[0.0, 1.0] if "renewal" in t else [1.0, 0.0] for t in texts],
+        generate_fn=lambda prompts: [p.upper() for p in prompts]).collect()}
+    assert {q: r.status for q, r in out.items()} == {1: "answered", 2: "out_of_scope", 3: "out_of_scope", 4: "answered"}
+    assert out[3].detected_domain == "other" and out[2].citation_list is None
+    assert "USER: HELLO" in out[1].answer and "RENEW MY LOAN" in out[1].answer and "(NO HISTORY)" in out[4].answer
+    assert {c.source for c in out[1].citation_list} == {"src0", "src1", "src2", "src3"}
+    assert [c.pos for c in out[1].citation_list] == [1, 2, 3, 4] and out[1].citation_list[0].doc_type == "statute"
+    for table in cached:
+        table.unpersist()
