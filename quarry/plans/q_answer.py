@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry import lexicon as L
+from quarry import params
 from quarry.functions.text import cut
 from quarry.operators import answer as A
 from quarry.operators import rank as K
@@ -112,6 +113,13 @@ SELECT qid,
 FROM res"""
 
 
+# the texts of an answer's citations, for queries that start with ``ans AS (_ANSWER_SQL)``
+_FINAL_TEXTS = f"""texts AS (
+  SELECT qid, list({_cut('d.text', params.CITATION_CHARS)} ORDER BY pos) AS doc_texts
+  FROM (SELECT qid, unnest(string_split(doc_ids, ',')) AS id, generate_subscripts(string_split(doc_ids, ','), 1) AS pos
+        FROM ans WHERE doc_ids <> '') a JOIN documents d ON CAST(d.doc_id AS VARCHAR) = a.id GROUP BY qid)"""
+
+
 @register("answer_pipeline", _ANSWER_SQL)
 def answer_pipeline(spark, sf):
     return P.answer_pipeline(ad.questions(spark, sf), ad.corpus(spark, sf), ad.judge_scores(spark, sf),

@@ -8,7 +8,9 @@ from quarry.operators import checks as H
 from quarry.operators import evaluate as E
 from quarry.plans import adapters as ad
 from quarry.plans import sql_fragments as S
+from quarry.plans import q_answer as QA
 from quarry.plans.catalog import register, round6
+from quarry.plans.evaluation import evaluate_system, score
 
 METRIC_COLS = ["accuracy", "avg_confidence", "citation_precision", "citation_recall", "citation_f1", "hallucination_rate", "avg_relevance", "avg_latency"]
 
@@ -242,15 +244,9 @@ def q_halluc_warning(spark, sf):
 
 # ---- E7: the scored results, and the roll-ups over them --------------------------------------------
 def scored(spark, sf, run="next"):
-    j = _joined(spark, sf, run).withColumn("v", E.citation_prf("citations", "expected_sources", ELEX))
-    return j.select(
-        "conv_id", "pair_no", "category",
-        E.correctness("predicted_answer", "ground_truth", "category", ELEX).alias("is_correct"),
-        F.col("v.precision").alias("citation_precision"), F.col("v.recall").alias("citation_recall"),
-        F.col("v.f1").alias("citation_f1"),
-        H.eval_hallucination("predicted_answer", "doc_texts", "ground_truth", CLEX).alias("has_hallucination"),
-        E.relevance("predicted_answer", "question", "ground_truth", ELEX).alias("relevance_score"),
-        "confidence", "latency")
+    return score(_joined(spark, sf, run), ELEX, CLEX).select(
+        "conv_id", "pair_no", "category", "is_correct", "citation_precision", "citation_recall", "citation_f1",
+        "has_hallucination", "relevance_score", "confidence", "latency")
 
 
 def scored_sql(name: str = "scored", src: str = "j") -> str:
@@ -331,3 +327,34 @@ SELECT CASE WHEN is_total = 1 THEN 'TOTAL' ELSE category END AS label, n,
 FROM (SELECT category, {_AGG}, grouping(category) AS is_total FROM scored GROUP BY ROLLUP (category))""")
 def q_eval_report(spark, sf):
     return E.report_lines(E.metrics_by_category(scored(spark, sf)))
+
+
+# ---- E7 on the answer pipeline itself -----------------------------------------------------------------
+_SYSTEM = S.with_(f"ans AS ({QA._ANSWER_SQL})", QA._FINAL_TEXTS, f"""samples AS (
+  SELECT b.item_id AS conv_id, b.item_id AS pair_no, b.text AS question,
+         CASE WHEN b.item_id % 4 = 3 THEN '' ELSE b.text END AS ground_truth,
+         ['criminal_law', 'special_case', 'case_related', 'out_of_scope'][b.item_id % 4 + 1] AS category,
+         CASE WHEN b.item_id % 4 = 3 THEN []::VARCHAR[] ELSE ['src' || CAST(b.item_id % 20 AS VARCHAR)] END AS expected_sources
+  FROM benchmark b)""", """j AS (
+  SELECT s.*, a.status, a.answer AS predicted_answer, a.confidence, 0.0::DOUBLE AS latency,
+         CASE WHEN a.citations = '' THEN []::VARCHAR[] ELSE string_split(a.citations, ' | ') END AS citations,
+         CASE WHEN a.status = 'answered' THEN coalesce(t.doc_texts, []::VARCHAR[]) ELSE []::VARCHAR[] END AS doc_texts
+  FROM samples s JOIN ans a ON a.qid = s.conv_id LEFT JOIN texts t ON t.qid = a.qid)""", scored_sql())
+
+
+@register("eval_system", _SYSTEM + """
+SELECT conv_id AS qid, category, is_correct, has_hallucination, round(citation_precision, 6) AS citation_precision,
+       round(citation_recall, 6) AS citation_recall, round(citation_f1, 6) AS citation_f1,
+       round(relevance_score, 6) AS relevance_score, round(confidence, 6) AS confidence FROM scored""")
+def q_eval_system(spark, sf):
+    """Every benchmark question answered by the pipeline, and the answers scored."""
+    out = F.col("qid") % 4 == 3
+    samples = ad.questions(spark, sf).select(
+        "qid", "question", "qvec", F.when(out, F.lit("")).otherwise(F.col("question")).alias("ground_truth"),
+        F.element_at(F.array(*map(F.lit, ad.CATEGORIES)), (F.col("qid") % 4 + 1).cast("int")).alias("category"),
+        F.when(out, F.array().cast("array<string>")).otherwise(
+            F.array(F.concat(F.lit("src"), (F.col("qid") % 20).cast("string")))).alias("expected_sources"))
+    s = evaluate_system(samples, ad.corpus(spark, sf), ad.judge_scores(spark, sf), lex=ELEX, check_lex=CLEX,
+                        scope_groups=QA.GROUPS, rerank_words=QA.WORDS, min_relevance=QA.MIN_REL)
+    return s.select("qid", "category", "is_correct", "has_hallucination", *[F.round(c, 6).alias(c) for c in (
+        "citation_precision", "citation_recall", "citation_f1", "relevance_score", "confidence")])
