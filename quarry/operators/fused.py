@@ -43,10 +43,11 @@ def _hybrid(rows, k: int):
 def final_docs(pool_df: DataFrame, bonus: DataFrame, judge: DataFrame | None, *, est_rows: int | None = None,
                pool_k: int = 16, final_k: int = params.RETRIEVAL_TOP_K, pool_size: int = params.RERANK_POOL,
                min_docs: int = params.RERANK_MIN_DOCS, top_k: int = params.RERANK_TOP_K,
-               threshold: float = params.RERANK_THRESHOLD) -> DataFrame:
+               threshold: float = params.RERANK_THRESHOLD, redo: bool = True) -> DataFrame:
     """(qid, doc_id, type, domain, distance, pos): hybrid retrieval + rerank policy per question.
 
-    ``judge`` = (doc_id, score, relevant) or None (no rerank: the first ``final_k`` of k=16).
+    ``judge`` = (doc_id, score, relevant) or None (no rerank: the first ``final_k`` of k=16).  Without ``redo`` the relevant
+    ones of the judge's ``top_k`` are final, however few (the stream's policy).
     Candidates are first de-duplicated per (question, doc) with the smallest distance within
     each over-fetch (k=16, k=8, unfiltered) in one aggregation, then grouped per question."""
     small = est_rows is not None and est_rows <= BROADCAST_ROWS
@@ -82,7 +83,8 @@ def final_docs(pool_df: DataFrame, bonus: DataFrame, judge: DataFrame | None, *,
             (F.coalesce(d["relevant"], F.lit(True)) & (F.coalesce(d["score"], F.lit(5.0)) / 10.0 >= threshold))
             .alias("rel"), d.alias("d")))
         surv = F.transform(F.filter(F.slice(F.array_sort(judged), 1, top_k), lambda x: x["rel"]), lambda x: x["d"])
-        g = g.withColumn("_surv", surv).withColumn(
+        g = g.withColumn("_surv", surv)
+        g = g.withColumn("_final", F.col("_surv")) if not redo else g.withColumn(
             "_final", F.when(F.size("_d16") <= min_docs, F.slice("_d16", 1, final_k))
             .when(F.size("_surv") >= top_k, F.col("_surv")).otherwise(F.col("_d8")))
     out = g.select("qid", F.posexplode("_final").alias("_p", "d"))

@@ -28,7 +28,7 @@ ANSWER_CHARS = 300   # extractive answer length
 
 def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame | None, words,
                    qrows: DataFrame | None = None, final_k: int = params.RETRIEVAL_TOP_K,
-                   with_count: bool = False, cached: list | None = None):
+                   with_count: bool = False, cached: list | None = None, stream_policy: bool = False):
     """Hybrid retrieval + rerank policy for in-scope questions: (qid, doc_id, type, domain, distance, pos).
 
     Persisted tables are appended to ``cached``, for the caller to release once the rows are written.
@@ -47,7 +47,8 @@ def retrieve_final(questions_in: DataFrame, corpus: DataFrame, judge: DataFrame
     sk, _ = R.quotas(POOL_K)
     statutes = pool.where((F.col("type") == "statute") & (F.col("rk") <= 2 * sk))
     bonus = R.keyword_bonus_table(statutes, questions_in, corpus, words, est_rows=est)
-    final = fused.final_docs(pool, bonus, judge, est_rows=est, pool_k=POOL_K, final_k=final_k)
+    policy = dict(redo=False, pool_size=params.RERANK_MAX_DOCS, top_k=final_k) if stream_policy else {}
+    final = fused.final_docs(pool, bonus, judge, est_rows=est, pool_k=POOL_K, final_k=final_k, **policy)
     return (final, n_rows) if with_count else final
 
 
@@ -59,7 +60,7 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
                     verdicts: DataFrame | None = None, check_lexicon: H.CheckLexicon = H.DEFAULT,
                     cached: list | None = None, scope_replies: DataFrame | None = None, expansions=None, templates=(),
                     embed_fn=None, generate_fn=None, prompt_template: str = A.PROMPT_TEMPLATE,
-                    history: DataFrame | None = None, structured: bool = False) -> DataFrame:
+                    history: DataFrame | None = None, structured: bool = False, stream_policy: bool = False) -> DataFrame:
     """One row per question: qid, status, detected_domain, n_docs, doc_ids, confidence,
     is_uncertain, answer, citations; with ``structured`` also citation_list, an array of
     (pos, source, doc_type, content, relevance_score).
@@ -68,7 +69,8 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     verdict says so with enough confidence (G2/G3).  With ``expansions`` and ``embed_fn``, questions are searched with
     their first expanded queries too, embedded by that callable (G4/G5).  With ``generate_fn``, in-scope questions with
     documents are answered by it, from a prompt of context, question and ``history`` (qid, history_text) (A2-A4, M4); else the
-    answer is the first excerpt.
+    answer is the first excerpt.  ``stream_policy``: the judge sees all candidates up to its limit, the relevant ones of its
+    best eight are kept, and retrieval is not redone when they are few (K3, stream variant).
 
     Answered questions that the check policy (K9) marks as risky get a hallucination check:
     the model verdict from ``verdicts`` (qid, reply) when given, else the local heuristic
@@ -84,7 +86,8 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
         asked = expand_queries(inq.select("qid", "question"), expansions, templates, max_expansions=params.MAX_EXPANSIONS)
         asked = M.embed(asked.select("qid", "ord", "query_text"), "query_text", embed_fn, out_col="qvec")
         qrows = asked.where(F.col("qvec").isNotNull()).select("qid", "ord", "qvec")
-    final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True, cached=cached)
+    final, n_rows = retrieve_final(inq, corpus, judge, rerank_words, qrows=qrows, with_count=True, cached=cached,
+                                   stream_policy=stream_policy)
     final = final.persist(StorageLevel.MEMORY_AND_DISK)
     if cached is not None:
         cached.append(final)

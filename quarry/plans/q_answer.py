@@ -87,7 +87,19 @@ def _cut(expr: str, n: int) -> str:
     return f"(CASE WHEN length({expr}) > {n} THEN substr({expr}, 1, {n}) || '...' ELSE {expr} END)"
 
 
-_ANSWER_SQL = S.with_(*_PREFIX, *_M16, *_M8, *_POLICY, _STATS, f"""lists AS (
+_STREAM_POLICY = [
+    """rr AS (
+  SELECT m.qid, m.doc_id, m.type, m.domain, m.distance, coalesce(j.relevant, true) AND coalesce(j.score, 5.0) / 10.0 >= 0.4 AS is_rel,
+         row_number() OVER (PARTITION BY m.qid ORDER BY coalesce(j.score, 5.0) / 10.0 DESC, m.pos) AS rpos
+  FROM m16 m LEFT JOIN judge j ON m.doc_id = j.doc_id WHERE m.pos <= 10)""",
+    """final AS (
+  SELECT qid, doc_id, type, domain, distance, row_number() OVER (PARTITION BY qid ORDER BY rpos) AS pos
+  FROM rr WHERE rpos <= 8 AND is_rel)""",
+]
+
+
+def _answer_sql(policy) -> str:
+    return S.with_(*_PREFIX, *_M16, *_M8, *policy, _STATS, f"""lists AS (
   SELECT f.qid, string_agg(CAST(f.doc_id AS VARCHAR), ',' ORDER BY f.pos) AS ids,
          string_agg({_label('d')}, ' | ' ORDER BY f.pos) AS labels,
          min_by({_cut('d.content', P.ANSWER_CHARS)}, f.pos) AS excerpt
@@ -113,6 +125,9 @@ SELECT qid,
 FROM res"""
 
 
+_ANSWER_SQL, _STREAM_SQL = _answer_sql(_POLICY), _answer_sql(_STREAM_POLICY)
+
+
 # the texts of an answer's citations, for queries that start with ``ans AS (_ANSWER_SQL)``
 _FINAL_TEXTS = f"""texts AS (
   SELECT qid, list({_cut('d.text', params.CITATION_CHARS)} ORDER BY pos) AS doc_texts

@@ -90,7 +90,7 @@ def q_stream_history(spark, sf):
     return h.select("conv_id", "pair_no", "n_history", "history_text")
 
 
-@register("stream_answers", QA._ANSWER_SQL)
+@register("stream_answers", QA._STREAM_SQL)
 def q_stream_answers(spark, sf):
     """Benchmark questions arriving as a stream, answered per micro-batch."""
     b = SA.file_stream(spark, sf, ad.table(spark, sf, "benchmark").schema, "benchmark.parquet")

@@ -47,7 +47,7 @@ def answer_stream(questions: DataFrame, corpus: DataFrame, judge: DataFrame | No
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         cached: list = []
         try:
-            out = answer_pipeline(batch, corpus, judge, cached=cached, **pipeline_kw).withColumn("batch_id", F.lit(batch_id))
+            out = answer_pipeline(batch, corpus, judge, cached=cached, stream_policy=True, **pipeline_kw).withColumn("batch_id", F.lit(batch_id))
             out.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
         finally:
             for table in cached:
