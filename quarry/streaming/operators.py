@@ -29,6 +29,13 @@ def epoch_seconds(df: DataFrame, ts: str) -> F.Column:
     return F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
 
 
+def in_order(batches: Iterator[pd.DataFrame], by: list) -> Iterator[pd.DataFrame]:
+    """A key's rows of one micro-batch, sorted as a whole: they may come in several Arrow batches."""
+    parts = [pdf for pdf in batches if len(pdf)]
+    if parts:
+        yield pd.concat(parts, ignore_index=True).sort_values(by, kind="stable")
+
+
 # ---- W1: duplicate-submit guard -------------------------------------------------------------
 def duplicate_submits(df: DataFrame, key: str, order, message: str, history: str) -> DataFrame:
     """W1 batch: a submit equal to the session's previous one (same message, same history
@@ -55,8 +62,7 @@ def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str,
 
     def step(k, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         last_m, last_h = state.get if state.exists else (None, None)
-        for pdf in batches:
-            pdf = pdf.sort_values([ts, id_col])
+        for pdf in in_order(batches, [ts, id_col]):
             flags = []
             for m, h in zip(pdf[message].tolist(), pdf[history].tolist()):
                 h = "null" if h is None or h != h else f"={h}"
@@ -129,8 +135,7 @@ def ttl_reuse_stream(stream: DataFrame, key: str, ts: str, id_col: str,
 
     def step(k, batches, state):
         c = state.get[0] if state.exists else None
-        for pdf in batches:
-            pdf = pdf.sort_values(["_t", id_col])
+        for pdf in in_order(batches, ["_t", id_col]):
             hits, cs = [], []
             for t in pdf["_t"].tolist():
                 if c is not None and t - c <= ttl_s:
@@ -178,8 +183,7 @@ def history_stream(messages: DataFrame, key: str = "conv_id", order: str = "turn
             users, answers, n = list(users), list(answers), int(n)
         else:
             pending, n, users, answers = None, 0, [], []
-        for pdf in batches:
-            pdf = pdf.sort_values(order)
+        for pdf in in_order(batches, [order]):
             rows = []
             for t, role, text in zip(pdf[order].tolist(), pdf["role"].tolist(), pdf["text"].tolist()):
                 if role == "user":

@@ -97,3 +97,11 @@ def test_blank_messages_leave_the_guard_as_it_is(spark):
     for f in (W.duplicate_submits, W.duplicate_submits_split):
         got = {r.n: r.is_duplicate for r in f(df, "k", ["n"], "m", "h").collect()}
         assert got == {1: False, 2: False, 3: True, 4: False, 5: False, 6: True, 7: False}
+
+
+def test_rows_of_a_key_are_sorted_across_arrow_batches():
+    import pandas as pd
+    from quarry.streaming.operators import in_order
+    parts = [pd.DataFrame({"t": t, "id": t}) for t in ([5, 4], [], [3, 1], [2])]
+    assert [p["t"].tolist() for p in in_order(iter(parts), ["t", "id"])] == [[1, 2, 3, 4, 5]]
+    assert list(in_order(iter([]), ["t"])) == []
