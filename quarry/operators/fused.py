@@ -87,7 +87,9 @@ def final_docs(pool_df: DataFrame, bonus: DataFrame, judge: DataFrame | None, *,
         g = g.withColumn("_final", F.col("_surv")) if not redo else g.withColumn(
             "_final", F.when(F.size("_d16") <= min_docs, F.slice("_d16", 1, final_k))
             .when(F.size("_surv") >= top_k, F.col("_surv")).otherwise(F.col("_d8")))
-    out = g.select("qid", F.posexplode("_final").alias("_p", "d"))
+    # the outer form: for the inner one the optimizer adds a filter on the list's size below the projections, which
+    # evaluates the whole nested expression again
+    out = g.select("qid", F.posexplode_outer("_final").alias("_p", "d")).where(F.col("_p").isNotNull())
     return out.select("qid", F.col("d.doc_id").alias("doc_id"), F.col("d.type").alias("type"),
                       F.col("d.domain").alias("domain"), F.col("d.distance").alias("distance"),
                       (F.col("_p") + 1).cast("bigint").alias("pos"))
