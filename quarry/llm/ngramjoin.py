@@ -305,6 +305,37 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
             return label.withColumnRenamed("l", "root")
 
 
+def places(meet: DataFrame, lists: DataFrame) -> DataFrame:
+    """(key, places): the block pairs (bucket, a, b, half) of a bucket that each of its nodes goes to.
+
+    A bucket that is small enough is one block.  In another one, a node's home matters, the smallest of its buckets: nodes of
+    one home have been compared there, so elsewhere only nodes of different homes meet.  The nodes of a common home
+    get blocks of their own, the others share blocks, and two blocks of one home meet at home alone.  So a group of near
+    copies, which meets in every run, is compared once, and apart from that only with its few strays.
+    """
+    fits = (F.col("size") <= BLOCK_NODES) & (F.col("weight") <= BLOCK_SHINGLES)
+    zero = F.lit(0).cast("long")
+    place = "array<struct<bucket:bigint,a:bigint,b:bigint,half:int>>"
+    one = meet.filter(fits).select("key", F.array(F.struct("bucket", zero.alias("a"), zero.alias("b"), F.lit(0).alias("half"))).cast(place).alias("places"))
+    many = meet.filter(~fits).join(lists.select("key", F.col("buckets")[0].alias("home")), "key")
+    homes = many.groupBy("bucket", "home").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    common_home = (F.col("m") * 2 >= BLOCK_NODES) | (F.col("home") == F.col("bucket"))
+    homes = homes.withColumn("common", common_home).withColumn("kind", F.when(common_home, F.col("home")).otherwise(F.lit(-1)))
+    kinds = homes.groupBy("bucket", "kind").agg(F.greatest(F.ceil(F.sum("m") / BLOCK_NODES), F.ceil(F.sum("w") / BLOCK_SHINGLES)).alias("c"))
+    blocks = kinds.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("kind", "c"))).alias("kinds"))
+    blocks = blocks.withColumn("blocks", F.flatten(F.transform("kinds", lambda k: F.transform(
+        F.sequence(zero, k["c"] - 1), lambda j: F.struct(k["kind"].alias("kind"), j.alias("j"))))))
+    many = many.join(homes.select("bucket", "home", "kind", "common"), ["bucket", "home"]).join(blocks, "bucket")
+    own = F.struct(F.col("kind"), F.pmod(F.xxhash64("key", "bucket"), F.filter("kinds", lambda k: k["kind"] == F.col("kind"))[0]["c"]).alias("j"))
+    many = many.withColumn("x", F.array_position("blocks", own) - 1)
+    met = F.col("common") & (F.col("home") != F.col("bucket"))
+    where = F.transform("blocks", lambda block, y: F.struct(
+        F.col("bucket"), F.least("x", y.cast("long")).alias("a"), F.greatest("x", y.cast("long")).alias("b"),
+        (F.col("x") > y).cast("int").alias("half"), (met & (block["kind"] == F.col("kind"))).alias("met")))
+    where = F.transform(F.filter(where, lambda p: ~p["met"]), lambda p: F.struct(p["bucket"], p["a"], p["b"], p["half"]))
+    return one.unionByName(many.select("key", where.cast(place).alias("places")))
+
+
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY, recall: float = RECALL,
          width: int = SHINGLE_WORDS) -> DataFrame:
     """One row per document: id, class_id (smallest id of its class), n_links (documents linked to it), th (hash of the text), first.
@@ -318,13 +349,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     small = _prune(leaves.filter(F.col("size") <= BLOCK_NODES), nodes, lists, threshold)
     meet = leaves.join(small, ["bucket", "key"], "left_semi").unionByName(leaves.filter(F.col("size") > BLOCK_NODES))
 
-    # a node of block x of a bucket of c blocks goes to the block pairs (0, x) ... (x, x) ... (x, c - 1)
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("weight") / BLOCK_SHINGLES))
-    own = F.pmod(F.xxhash64("key", "bucket"), F.col("c"))
-    place = F.transform(F.sequence(F.lit(0).cast("long"), F.col("c") - 1), lambda y: F.struct(
-        F.col("bucket"), F.least("x", y).alias("a"), F.greatest("x", y).alias("b"), (F.col("x") > y).cast("int").alias("half")))
-    meet = meet.withColumn("c", blocks.cast("long")).withColumn("x", own).select("key", F.explode(place).alias("place"))
-    meet = meet.groupBy("key").agg(F.collect_list("place").alias("places")).join(lists, "key")
+    meet = places(meet, lists).groupBy("key").agg(F.flatten(F.collect_list("places")).alias("places")).join(lists, "key")
     meet = stage.keep(meet.join(nodes.select("key", "copies", F.col("id").alias("one_id"), F.col("th").alias("one_th")), "key"), "meet")
     texts = df.select(df[id_col].alias("_i"), F.xxhash64(df[text_col]).alias("_t"), df[text_col].alias("text"))
     texts = texts.join(meet, texts["_t"].eqNullSafe(meet["one_th"]) & texts["_i"].eqNullSafe(meet["one_id"]))
