@@ -18,6 +18,7 @@ Other columns, whatever their names, are not used.  A conversation is one row, s
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,21 +81,24 @@ def format_trees(nodes: DataFrame, tree="tree", node="node", parent="parent", ro
     link = stage.keep(body.join(known.withColumn("there", F.lit(True)), ["t", "p"], "left")
                       .select("t", "n", F.when(F.col("there"), F.col("p")).alias("up"), F.col("score").alias("total"),
                               F.lit(1).cast("long").alias("depth")), "link0")
-    links, open_ = [], link.filter("up IS NOT NULL").count()
-    while open_:
-        links.append(link.filter("up IS NOT NULL").select("t", "n", "up"))
-        further = link.select("t", F.col("n").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"),
-                              F.col("depth").alias("depth2"))
-        link = stage.keep(link.join(further, ["t", "up"], "left").select(
+    links, closed, open_ = [], [link.filter("up IS NULL")], link.filter("up IS NOT NULL")
+    left = open_.count()
+    while left:
+        links.append(open_.select("t", "n", "up"))
+        every = reduce(DataFrame.unionByName, [*closed, open_])      # whoever has reached the root stays as it is
+        further = every.select("t", F.col("n").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"),
+                               F.col("depth").alias("depth2"))
+        link = stage.keep(open_.join(further, ["t", "up"], "left").select(
             "t", "n", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
             (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), f"link{len(links)}")
-        left = link.filter("up IS NOT NULL").count()
-        if left == open_:
+        closed.append(link.filter("up IS NULL"))
+        open_, before = link.filter("up IS NOT NULL"), left
+        left = open_.count()
+        if left == before:
             break       # only nodes on and below cycles are left
-        open_ = left
 
     # leaves, ranked
-    rooted = link.filter("up IS NULL")
+    rooted = reduce(DataFrame.unionByName, closed)
     leaves = rooted.join(body.select("t", F.col("p").alias("n")).filter("n IS NOT NULL"), ["t", "n"], "left_anti")
     order = Window.partitionBy("t").orderBy(F.desc("total"), F.desc("depth"), "n")
     path = (leaves.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= top_k)
