@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import SHINGLE_WORDS, SIMILARITY, Shingler, Stage, groups
 
 TOKENS = 64             # sampled tokens of a node
-BLOCK_NODES = 96        # nodes of a bucket that is brute-forced as a whole
+BLOCK_NODES = 256        # nodes of a bucket that is brute-forced as a whole
 BLOCK_SHINGLES = 150_000
 DENSE = 0.5
 MAX_LEVELS = 12

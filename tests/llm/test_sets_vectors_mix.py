@@ -108,7 +108,7 @@ def classes(rows):
     return sorted(((d, least[find(i)], links[i]) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("block", [4, 96])
+@pytest.mark.parametrize("block", [4, 256])
 def test_join_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(ngramjoin, "BLOCK_NODES", block)      # small blocks: long paths, dense buckets, pairs of blocks
     rows = list(enumerate(near_texts(350, 3)))
