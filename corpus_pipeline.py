@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from quarry.llm import bpe, langid, linededup, mixing, ngramjoin
 from quarry.llm.common import Stage, tables
 
-COPIES = 0.5        # documents of which more than this share is boilerplate are left whole for the join to judge
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language ID accepts; it learns from the labelled ones."""
@@ -23,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines."""
-    cut = linededup.drop_frequent_lines(docs, leave_share=COPIES)
+    """Documents without their source's boilerplate lines; copies of whole documents stay whole for the join to judge."""
+    cut = linededup.drop_frequent_lines(docs, leave_copies=True)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

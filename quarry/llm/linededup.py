@@ -5,9 +5,10 @@ A line's frequency on a site is the share of the site's pages that contain it, h
 that site.  Lines are compared without the spaces around them; blank lines are neither counted nor dropped.
 
 Null sites are one site.  A null text stays null, an empty one empty; a page of nothing but boilerplate becomes empty,
-unless ``leave_share`` is given: pages of which a larger share of the code points is boilerplate are copies rather than
-pages with boilerplate, and are left whole for a document-level dedup.  Repeated rows are pages of their own.  An empty
-table gives an empty result.  All other columns pass through; n_dropped replaces a clashing column.
+unless it is left whole.  ``leave_copies`` leaves pages whole whose whole text is on at least ``min_pages`` pages of
+their site: they are copies, for a document-level dedup to judge, which could keep none of them otherwise.  ``leave_share``
+leaves pages whole of which a larger share of the code points is boilerplate, copies or not.  Repeated rows are pages of
+their own.  An empty table gives an empty result.  All other columns pass through; n_dropped replaces a clashing column.
 """
 
 from __future__ import annotations
@@ -51,12 +52,19 @@ def frequent_lines(df: DataFrame, site_col: str, text_col: str, max_ratio: float
     return often.groupBy("__site").agg(F.collect_list("__line").alias("__lines"))
 
 
+def repeated_texts(df: DataFrame, site_col: str, text_col: str, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(__site, __th, __copy): hashes of the whole texts that are on at least ``min_pages`` pages of a site."""
+    texts = df.filter(df[text_col].isNotNull()).select(_key(df[site_col]).alias("__site"), F.xxhash64(df[text_col]).alias("__th"))
+    often = texts.groupBy("__site", "__th").agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_pages)
+    return often.select("__site", "__th", F.lit(True).alias("__copy"))
+
+
 def drop_frequent_lines(df: DataFrame, site_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO,
-                        min_pages: int = MIN_PAGES, leave_share: float | None = None) -> DataFrame:
+                        min_pages: int = MIN_PAGES, leave_share: float | None = None, leave_copies: bool = False) -> DataFrame:
     """The table with boilerplate lines taken out of ``text_col``, and n_dropped, the number of lines dropped.
 
-    The sites' lists are written first; where they are small the pages needn't move, otherwise pages and lists meet
-    under salted keys, so a large site is dealt to many tasks.
+    The sites' lists (and the hashes of repeated texts) are written first; where they are small the pages needn't move,
+    otherwise pages and lists meet under salted keys, so a large site is dealt to many tasks.
     """
     stage = Stage(df.sparkSession, "linededup")
     lists = frequent_lines(df, site_col, text_col, max_ratio, min_pages)
@@ -73,6 +81,10 @@ def drop_frequent_lines(df: DataFrame, site_col: str = "source", text_col: str =
     if leave_share is not None:
         size = F.length(F.array_join("__kept", ""))
         pages = pages.withColumn("__kept", F.when(size >= (1.0 - leave_share) * F.length(F.replace(text, F.lit("\n"))), F.col("__kept")))
+    if leave_copies:
+        copies = stage.keep(repeated_texts(df, site_col, text_col, min_pages), "copies")
+        pages = pages.withColumn("__th", F.xxhash64(text)).join(copies, ["__site", "__th"], "left")
+        pages = pages.withColumn("__kept", F.when(F.col("__copy").isNull(), F.col("__kept")))
     dropped = F.coalesce(F.size(lines) - F.size("__kept"), F.lit(0))
     return pages.select(*[F.coalesce(F.array_join("__kept", "\n"), text).alias(c) if c == text_col else F.col(c) for c in out],
                         F.when(F.col("__kept").isNull(), 0).otherwise(dropped).cast("long").alias("n_dropped"))

@@ -61,6 +61,16 @@ def test_stages(spark, table):
     assert coded.count() == len(parts) and coded.filter("size(ids) <> n_tokens").count() == 0
 
 
+def test_mostly_boilerplate_pages_are_cleaned_and_copies_stay(spark):
+    menu, article = "Home | News | Contact | Imprint | All rights reserved", "\n".join(f"line {k} of an article on ten pages" for k in range(6))
+    rows = [(i, f"{menu}\nshort {i}", "en", "s", 0) for i in range(30)] + [(i, f"own text {i}", "en", "s", 0) for i in range(30, 60)]
+    rows += [(i, article, "en", "s", 0) for i in range(60, 70)] + [(70, f"{menu}\n{menu}", "en", "s", 0)]
+    got = {r.doc_id: r.text for r in pipeline.drop_lines(spark, frame(spark, rows), "").collect()}
+    assert got == {i: article if 60 <= i < 70 else "" if i == 70 else t.split("\n")[-1] for i, t, *_ in rows}
+    kept = pipeline.join_near(spark, frame(spark, [(i, t, "en", "s", 0) for i, t in got.items()]), "").collect()
+    assert [r.doc_id for r in kept if r.text == article] == [60]
+
+
 def test_run_and_empty_table(spark, table):
     d = tempfile.mkdtemp(prefix="quarry-pipeline-")
     frame(spark, table).write.parquet(f"{d}/documents.parquet")
