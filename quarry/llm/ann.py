@@ -1,13 +1,14 @@
 """Approximate nearest neighbours on robust-pruned directed graphs (operator 5).
 
-Distinct vectors are dealt to shards by hash.  Each shard has a graph: it starts random; then, in two passes, a greedy
+Distinct vectors are dealt to shards by range of norm (``NORM_RANGE``), within a range by hash.  Each shard has a graph: it starts random; then, in two passes, a greedy
 beam search for every vector proposes neighbours, and relaxed distance pruning keeps the diverse ones: a candidate goes
 if a kept neighbour, ``alpha`` times its distance, is no farther from it than the vector is.  Edges are added both ways
 and pruned to ``degree`` again.  The graphs are written to the shared folder.  A query is answered by a beam search in
 every shard, exact scores of the beam, and a merge of the shards' best.
 
-Nearness is the largest inner product.  Divided by the largest norm and given one more coordinate, all vectors get
-length 1, so the order by inner product is the order by Euclidean distance that the graphs are built for.
+Nearness is the largest inner product.  Divided by the shard's largest norm and given one more coordinate, all vectors of
+a shard get length 1, so the order by inner product is the order by Euclidean distance that the graphs are built for.
+Distances are doubles and come from differences, so neither a few long vectors nor a narrow cluster round them away.
 
 Copies of a vector are one node, with the smallest k + 1 of its ids, which are all that k results can need.  Vectors
 that are null, empty, zero or hold null or non-finite components, and rows without id, take no part, neither as queries
@@ -17,6 +18,7 @@ gives an empty result.  Equal scores rank by id.  Columns other than id and vect
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +31,16 @@ from quarry.llm.common import Stage
 SHARD_VECTORS = 4096
 DEGREE, BUILD_BEAM, ALPHA = 28, 64, 1.2
 SEARCH_BEAM = 96
+NORM_RANGE = 16         # largest norm over smallest, within a shard
 EXPAND = 4              # nodes expanded at a time
 BATCH = 256             # searches that go step by step together
 
 
 class Graph:
-    """One shard: unit vectors, float32, and out-edges as an (n, degree) table padded with -1."""
+    """One shard: unit vectors, float64, and out-edges as an (n, degree) table padded with -1."""
 
     def __init__(self, points: np.ndarray, edges: np.ndarray | None = None):
-        self.x = points.astype(np.float32)
+        self.x = points
         self.edges = edges
         self.entry = int((self.x @ self.x.mean(0)).argmax()) if len(points) else 0
 
@@ -46,11 +49,11 @@ class Graph:
         b, n = len(q), len(self.x)
         rows = np.arange(b)[:, None]
         ids = np.full((b, beam), -1)
-        dist = np.full((b, beam), np.inf, np.float32)
+        dist = np.full((b, beam), np.inf)
         fresh = np.zeros((b, beam), bool)
         seen = np.zeros((b, n + 1), bool)
         seen[:, [self.entry, n]] = True
-        ids[:, 0], dist[:, 0], fresh[:, 0] = self.entry, 2 - 2 * (q @ self.x[self.entry]), True
+        ids[:, 0], dist[:, 0], fresh[:, 0] = self.entry, ((q - self.x[self.entry]) ** 2).sum(1), True
         live = np.arange(b)
         while len(live):
             order = np.where(fresh[live], dist[live], np.inf)
@@ -73,8 +76,9 @@ class Graph:
             if new.shape[1] > width:
                 keep = np.argsort(~new, axis=1, kind="stable")[:, :width]
                 near, new = np.take_along_axis(near, keep, 1), np.take_along_axis(new, keep, 1)
-            d = 2 - 2 * np.einsum("bnd,bd->bn", self.x[np.where(new, near, 0)], q[live])
-            d = np.where(new, d, np.inf)
+            off = self.x[np.where(new, near, 0)]
+            off -= q[live][:, None]
+            d = np.where(new, np.einsum("bnd,bnd->bn", off, off), np.inf)
             all_ids = np.concatenate([ids[live], np.where(new, near, -1)], 1)
             all_d = np.concatenate([dist[live], d], 1)
             all_f = np.concatenate([fresh[live], new], 1)
@@ -88,12 +92,14 @@ class Graph:
         b = len(nodes)
         cand = np.sort(np.where(cand == nodes[:, None], -1, cand), axis=1)
         cand[:, 1:][cand[:, 1:] == cand[:, :-1]] = -1
-        vec = self.x[np.maximum(cand, 0)]
-        d = np.where(cand >= 0, 2 - 2 * np.einsum("bnd,bd->bn", vec, self.x[nodes]), np.inf)
+        off = self.x[np.maximum(cand, 0)]
+        off -= self.x[nodes][:, None]
+        d = np.where(cand >= 0, np.einsum("bnd,bnd->bn", off, off), np.inf)
         order = np.argsort(d, axis=1, kind="stable")[:, :int((cand >= 0).sum(1).max()) or 1]
         cand, d = np.take_along_axis(cand, order, 1), np.take_along_axis(d, order, 1)
-        vec = np.take_along_axis(vec, order[:, :, None], 1)
-        between = 2 - 2 * (vec @ vec.transpose(0, 2, 1))
+        off = np.take_along_axis(off, order[:, :, None], 1)
+        near = np.einsum("bnd,bnd->bn", off, off)       # seen from the node, so that rounding is small beside d
+        between = near[:, :, None] + near[:, None, :] - 2 * (off @ off.transpose(0, 2, 1))
         alive = np.isfinite(d)
         out, rows = np.full((b, degree), -1), np.arange(b)
         for i in range(degree):
@@ -152,8 +158,10 @@ def _rows(x: pa.Array, kind=np.float64) -> np.ndarray:
     return x.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(len(x), -1)
 
 
-def _unit(vectors: np.ndarray, norm: float) -> np.ndarray:
-    x = vectors / norm
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """A shard's vectors at length 1: scaled by the largest norm, with one more coordinate."""
+    x = vectors / np.abs(vectors).max()
+    x /= np.sqrt((x * x).sum(1).max())
     return np.concatenate([x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1)))[:, None]], 1)
 
 
@@ -166,34 +174,39 @@ def prepare(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def build_index(rows: DataFrame, stage: Stage, k: int, shard_vectors: int = SHARD_VECTORS, degree: int = DEGREE,
-                beam: int = BUILD_BEAM, alpha: float = ALPHA) -> tuple[DataFrame, dict[int, tuple[int, float]]]:
-    """Writes the graphs of all distinct vectors; gives them and, by dimension, (shards, largest norm).
+                beam: int = BUILD_BEAM, alpha: float = ALPHA) -> tuple[DataFrame, dict[int, int]]:
+    """Writes the graphs of all distinct vectors; gives them and the number of shards by dimension.
 
-    A shard has about ``shard_vectors`` nodes, so one task holds it; the driver gets a row for each dimension.
+    A shard has about ``shard_vectors`` nodes, or fewer if its range of norms has fewer, so one task holds it; the driver
+    gets a row for each dimension and range, of which doubles have some 500.
     """
     first = rows.distinct().withColumn("r", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).filter(F.col("r") <= k + 1)
     nodes = first.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("dim", F.size("vec"))
-    nodes = stage.keep(nodes, "nodes")
     top = F.array_max(F.transform("vec", F.abs))
-    norm = top * F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + (x / top) * (x / top)))
-    sizes = {r["dim"]: (-(-r["n"] // shard_vectors), r["norm"]) for r in
-             nodes.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("norm")).collect()}
+    norm = F.log2(top) + F.log2(F.aggregate("vec", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))) / 2
+    nodes = stage.keep(nodes.withColumn("range", F.floor(norm / math.log2(NORM_RANGE)).cast("int")), "nodes")
+    shards, start, sizes = [], [], {}
+    for r in nodes.groupBy("dim", "range").agg(F.count("*").alias("n")).orderBy("dim", "range").collect():
+        key, n = F.lit(f"{r['dim']} {r['range']}"), -(-r["n"] // shard_vectors)
+        shards += [key, F.lit(n)]
+        start += [key, F.lit(sizes.get(r["dim"], 0))]
+        sizes[r["dim"]] = sizes.get(r["dim"], 0) + n
     if not sizes:
         return nodes.select(F.lit(0).cast("long").alias("shard"), F.lit(0).alias("pos"), "vec", "ids", F.array().cast("array<int>").alias("edges")), {}
-    shards = F.create_map(*[F.lit(x) for dim, (n, _) in sizes.items() for x in (dim, n)])
-    number = F.pmod(F.xxhash64("vec"), shards[F.col("dim")].cast("long"))
+    key = F.concat_ws(" ", "dim", "range")
+    number = F.create_map(*start)[key] + F.pmod(F.xxhash64("vec"), F.create_map(*shards)[key].cast("long"))
     nodes = nodes.withColumn("shard", F.col("dim").cast("long") * (1 << 32) + number)
 
     def build(batches: Iterator[pa.Table] | pa.Table) -> pa.Table:
         table = batches
         shard = table.column("shard")[0].as_py()
         vectors = _rows(table.column("vec").combine_chunks())
-        graph = Graph(_unit(vectors, sizes[vectors.shape[1]][1])).build(degree, beam, alpha, seed=shard)
+        graph = Graph(_unit(vectors)).build(degree, beam, alpha, seed=shard)
         edges = [row[row >= 0] for row in graph.edges.astype(np.int32)]
         return pa.table({"shard": table.column("shard"), "pos": pa.array(np.arange(len(edges), dtype=np.int32)), "vec": table.column("vec"),
                          "ids": table.column("ids"), "edges": pa.array(edges, pa.list_(pa.int32()))})
 
-    parts = 4 * sum(n for n, _ in sizes.values())
+    parts = 4 * sum(sizes.values())
     index = nodes.repartition(parts, "shard").groupBy("shard").applyInArrow(
         build, "shard long, pos int, vec array<double>, ids array<long>, edges array<int>")
     index = stage.keep(index, "index")
@@ -214,8 +227,8 @@ def search(index: DataFrame, sizes: dict, queries: DataFrame, k: int, beam: int
     empty = "query_id long, rank int, vec_id long, score double"
     if not sizes:
         return queries.sparkSession.createDataFrame([], empty)
-    parts = 4 * sum(n for n, _ in sizes.values())
-    shards = F.create_map(*[F.lit(x) for dim, (n, _) in sizes.items() for x in (dim, n)])
+    parts = 4 * sum(sizes.values())
+    shards = F.create_map(*[F.lit(x) for size in sizes.items() for x in size])
     dim = F.size("vec")
     asked = (queries.distinct().filter(dim.isin(list(sizes)))
              .withColumn("number", F.explode(F.sequence(F.lit(0), shards[dim] - 1)))
@@ -230,7 +243,7 @@ def search(index: DataFrame, sizes: dict, queries: DataFrame, k: int, beam: int
         length = np.abs(q).max(1, keepdims=True)
         unit = q / length
         unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
-        found, _ = graph.search(np.concatenate([unit, np.zeros((len(q), 1))], 1).astype(np.float32), min(beam, len(vectors)))
+        found, _ = graph.search(np.concatenate([unit, np.zeros((len(q), 1))], 1), min(beam, len(vectors)))
         names, scores = [], []
         for (own, _, _), vec, near in zip(rows, q, found):
             near = near[near >= 0]
@@ -260,7 +273,7 @@ def search(index: DataFrame, sizes: dict, queries: DataFrame, k: int, beam: int
                     edges = np.full((len(nodes), degree), -1)
                     for i, (_, _, e) in enumerate(nodes):
                         edges[i, :len(e)] = e
-                    graph, nodes = Graph(_unit(vectors, sizes[vectors.shape[1]][1]), edges), []
+                    graph, nodes = Graph(_unit(vectors), edges), []
                 wait.append((row[2], row[3], row[4]))
                 if len(wait) == BATCH:
                     yield answer(graph, vectors, ids, wait)

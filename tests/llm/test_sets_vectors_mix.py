@@ -155,6 +155,23 @@ def test_nearest_against_brute_force(spark):
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4] and ann.nearest(df.limit(0), df, k=3).count() == 0
 
 
+def test_long_vectors_do_not_hide_the_others(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 12)).astype(np.float32)
+    x[0] *= 1e6
+    x[300:] = x[300] + rng.normal(size=(300, 12)).astype(np.float32) * 1e-3     # a narrow cluster
+    graph = ann.Graph(ann._unit(x.astype(float))).build()
+    assert np.median((graph.edges >= 0).sum(1)) > 3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 10"), k=20, beam=32).collect():
+        got[r.query_id].add(r.vec_id)
+    x, hit = x.astype(float), 0
+    for q in range(10, 600, 20):
+        hit += len(got[q] & set([i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20]))
+    assert hit / (20 * 30) >= 0.95
+
+
 # --- mixing ------------------------------------------------------------------------------------------------------------------------
 def fill(sizes, weights, cap=3.0):
     full, total = set(), sum(sizes.values())
