@@ -7,8 +7,8 @@ total is below the second smallest; a text whose score is under ``min_margin`` i
 Texts of fewer than ``MIN_BYTES`` bytes, too short to show a margin, are not rejected for a narrow one.
 
 The dictionaries are fitted on a bounded sample of the labelled rows: of each language the ``docs_per_language`` rows
-with the smallest hashes of their text, thinned by hash, among those of at most ``max_doc_chars`` code points, up to
-``dict_bytes`` bytes; and of the languages the ``max_languages`` with the most labelled rows.
+with the smallest hashes of their text, thinned by hash to a share of the distinct texts, up to ``dict_bytes`` bytes; of
+a text of more than ``max_doc_chars`` code points as many from its first letter on; and of the languages the ``max_languages`` with the most labelled rows.
 
 Null text, empty text, text without a letter: 'und', score 0, rejected.  One learned language: score 1.  No learned
 language: 'und' for all.  Ties go to the language with the most labelled rows, then to the first in
@@ -47,12 +47,15 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
     """
     rows = df if where is None else df.filter(where)
     rows = rows.select(rows[lang_col].alias("lang"), rows[text_col].alias("text")).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_doc_chars))
-    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    piece = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, max_doc_chars)
+    rows = rows.withColumn("text", F.when(F.length("text") <= max_doc_chars, F.col("text")).otherwise(piece)).withColumn("h", F.xxhash64("text"))
+    most = (rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts"))
+            .orderBy(F.desc("count"), "lang").limit(max_languages).collect())
     if not most:
         return {}
-    share = F.create_map(*[F.lit(x) for lang, n in most for x in (lang, min(1.0, 4.0 * docs_per_language / n))])
-    drawn = (rows.filter(F.col("lang").isin([lang for lang, _ in most])).withColumn("h", F.xxhash64("text"))
+    share = F.create_map(*[F.lit(x) for lang, _, n in most for x in (lang, min(1.0, 4.0 * docs_per_language / max(1, n)))])
+    drawn = (rows.filter(F.col("lang").isin([lang for lang, *_ in most]))
              .filter(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
              .groupBy("lang", "h").agg(F.min("text").alias("text")))
     order = Window.partitionBy("lang").orderBy("h")
@@ -60,7 +63,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
               .withColumn("before", F.sum(F.octet_length("text") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)))
               .filter((F.col("rank") <= docs_per_language) & (F.coalesce("before", F.lit(0)) < dict_bytes))
               .orderBy("lang", "rank").select("lang", "text").collect())
-    out = {lang: b"" for lang, _ in most}
+    out = {lang: b"" for lang, *_ in most}
     for lang, text in sample:
         out[lang] += (text.lower() + "\n").encode("utf-8", "surrogatepass")
     return {lang: content[:dict_bytes] for lang, content in out.items() if content}

@@ -83,6 +83,15 @@ def test_language_id_held_out(spark):
     assert out.filter("score < 0 OR score > 1").count() == 0
 
 
+def test_languages_of_copies_or_of_long_texts_are_learned(spark):
+    rows = [(f"der hund und die katze {i}", "de") for i in range(30)] + [("the cat and the dog", "en")] * 400
+    rows += [("1. " * 3000 + "le chat et le chien " * 500, "fr")] * 3
+    df = spark.createDataFrame(rows, "text string, lang string")
+    # a share by rows keeps a fiftieth of the hashes here; the one English text is not among them
+    got = langid.train(df, docs_per_language=2)
+    assert list(got) == ["en", "de", "fr"] and got["en"] == b"the cat and the dog\n" and got["fr"].startswith(b"le chat")
+
+
 def test_language_id_cases(spark):
     rows = [(i, w * 30, lang, 0) for i, (w, lang) in enumerate([("the cat and ", "en"), ("der hund und ", "de")] * 20)]
     odd = [(90, None, "en", 1), (91, "", "en", 1), (92, "123 !!", "de", 1), (93, "the cat and the cat", None, 1), (93, "the cat and the cat", None, 1)]
