@@ -19,7 +19,7 @@ Two documents are linked if the Jaccard similarity of their sets of five-word sh
 5. Classes are the connected components of the links.
 
 Null and empty texts and texts without words have no shingles: they are linked to nothing and are classes of their own.
-A text of fewer than five words has one shingle.  Equal rows are copies of each other.  The class id is the smallest id of
+A text of fewer than five words has one shingle.  Equal rows are copies of each other; a task takes the text of one of them.  The class id is the smallest id of
 the class (null only if all are).  An empty table gives an empty result; columns other than id and text are not used.
 """
 
@@ -227,6 +227,41 @@ def _forest(linked: np.ndarray, keys: list) -> dict:
     return {keys[i]: keys[find(i)] for i in range(len(keys))}
 
 
+def once(rows: DataFrame, by: int, text: int) -> DataFrame:
+    """Drops the rows whose columns ``by`` and ``text`` a task has had before, so repeats aren't shuffled with their text.
+
+    A task holds a node's key and a hash for each text that meets another.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            new = []
+            for row in zip(batch.column(by).to_pylist(), map(hash, batch.column(text).to_pylist())):
+                new.append(row not in seen)
+                seen.add(row)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def nodes_once(batches: Iterator[pa.RecordBatch], signer: Signer) -> Iterator[tuple]:
+    """(bucket, nodes as (key, copies, buckets, shingles, half)) of each block pair; a node is held once, however often its row is repeated."""
+    at, seen, kept = None, set(), []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:3] != at:
+                if kept:
+                    yield at[0], at[1] == at[2], kept
+                at, seen, kept = row[:3], set(), []
+            if row[4] not in seen:      # a hash of texts that clash may have given a node more than one text
+                shingles = signer.shingler.shingles(row[7])
+                if signer.key(shingles) == row[4]:
+                    seen.add(row[4])
+                    kept.append((row[4], row[5], row[6], shingles, row[3]))
+    if kept:
+        yield at[0], at[1] == at[2], kept
+
+
 def compare(texts: DataFrame, threshold: float, width: int) -> DataFrame:
     """(key, root, links, near): for each node and block pair, links to documents, and a forest of the links.
 
@@ -240,22 +275,15 @@ def compare(texts: DataFrame, threshold: float, width: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.int64()))],
                                               names=["key", "root", "links"])
 
-        for (bucket, a, b), rows in groups(batches, 3):
-            seen, kept = set(), []
-            for r in rows:          # equal rows of the table have given a node more than one text
-                if r[4] not in seen:
-                    shingles = signer.shingler.shingles(r[7])
-                    if signer.key(shingles) == r[4]:
-                        seen.add(r[4])
-                        kept.append((r[4], r[5], r[6], shingles, r[3]))
+        for bucket, same, kept in nodes_once(batches, signer):
             left = [k for k in kept if k[4] == 0]
-            right = left if a == b else [k for k in kept if k[4] == 1]
+            right = left if same else [k for k in kept if k[4] == 1]
             if not left or not right or len(kept) < 2:
                 continue
             both = common([k[3] for k in left], [k[3] for k in right])
             n, m = (np.array([len(k[3]) for k in side], float) for side in (left, right))
             linked = both / (n[:, None] + m[None, :] - both) >= threshold
-            if a == b:
+            if same:
                 np.fill_diagonal(linked, False)
             if linked.any():
                 linked &= owned(bucket, [k[2] for k in left], [k[2] for k in right])
@@ -263,7 +291,7 @@ def compare(texts: DataFrame, threshold: float, width: int) -> DataFrame:
                 continue
             copies = [np.array([k[1] for k in side]) for side in (left, right)]
             count = dict(zip((k[0] for k in left), (linked * copies[1]).sum(1).tolist()))
-            if a == b:
+            if same:
                 keys, square = [k[0] for k in left], linked
             else:
                 count |= dict(zip((k[0] for k in right), (linked * copies[0][:, None]).sum(0).tolist()))
@@ -353,6 +381,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     meet = stage.keep(meet.join(nodes.select("key", "copies", F.col("id").alias("one_id"), F.col("th").alias("one_th")), "key"), "meet")
     texts = df.select(df[id_col].alias("_i"), F.xxhash64(df[text_col]).alias("_t"), df[text_col].alias("text"))
     texts = texts.join(meet, texts["_t"].eqNullSafe(meet["one_th"]) & texts["_i"].eqNullSafe(meet["one_id"]))
+    texts = once(texts.select("key", "copies", "buckets", "text", "places"), 0, 3)
     texts = texts.select("key", "copies", "buckets", "text", F.explode("places").alias("place"))
     texts = texts.select("place.bucket", "place.a", "place.b", "place.half", "key", "copies", "buckets", "text")
     found = stage.keep(compare(texts, threshold, width), "found")

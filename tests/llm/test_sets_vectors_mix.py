@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +124,21 @@ def test_join_against_brute_force(spark, monkeypatch, block):
     assert len(kept) == len(groups) + 1 and ngramjoin.join(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_of_a_node_come_in_once(spark, monkeypatch):
+    text = "one text of some rows that are equal in id and text"
+    rows = [(1, text)] * 400 + [(None, text + " and more")] * 400 + [(2, text + " and"), (3, "another text that has nothing to do with it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    came, compare = [], ngramjoin.compare
+    monkeypatch.setattr(ngramjoin, "compare", lambda texts, *a: came.append(texts.groupBy("bucket", "a", "b", "key").count().agg(F.max("count")).first()[0]) or compare(texts, *a))
+    out = ngramjoin.join(df, threshold=0.7)
+    assert out.count() == len(rows) and came[0] <= 2
+    got = {(r.doc_id, r.class_id, r.n_links) for r in out.collect()}
+    assert got == {(1, 1, 800), (None, 1, 800), (2, 1, 800), (3, 3, 0)}
+    batch = pa.RecordBatch.from_pylist([{"bucket": 1, "a": 0, "b": 0, "half": 0, "key": ngramjoin.Signer().key(Shingler().shingles(text)), "copies": 9,
+                                         "buckets": [1], "text": text}] * 9)
+    assert [len(kept) for _, _, kept in ngramjoin.nodes_once(iter([batch, batch]), ngramjoin.Signer())] == [1]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(bytes([i]), bytes([i + 1])) for i in range(60)] + [(b"\xf0", b"\xf1"), (b"\xf0", b"\xf0")]
     df = spark.createDataFrame(edges, "key binary, root binary")
