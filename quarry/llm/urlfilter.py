@@ -7,7 +7,8 @@ All of it is DataFrame expressions and pyspark.ml, inside the JVM.
 * A rule (verdict, 'host/path') fits its host and all subdomains if the url's path starts with the rule's path.
   The longest rule wins; of the same rule given twice, the blocking one.
 * The trees learn from labelled urls (by default those that a rule decides): distinct ones, thinned by hash to about
-  ``max_rows`` when there are more.  Suffix statistics (smoothed share blocked and log count of the host's last label
+  ``max_rows`` when there are more: each label by its own share, half of ``max_rows`` or what the other label leaves, and
+  weighted back, so a rare label stays.  Suffix statistics (smoothed share blocked and log count of the host's last label
   and of the path's file suffix) come from all labelled urls.
 * Without labelled urls of both kinds there is nothing to learn: then every verdict of the method is the one known
   kind, or 'allow' if there is none.
@@ -115,10 +116,12 @@ def train(labelled: DataFrame, stage: Stage, max_rows: int = MAX_ROWS):
         out = df.join(host, "_host_suffix", "left").join(file, "_file_suffix", "left")
         return out.fillna({"host_share": share, "host_count": size, "file_share": share, "file_count": size})
 
-    sample = rows.filter(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)) < int(min(1.0, max_rows / total) * (1 << 30)))
-    sample = stage.keep(with_statistics(_lexical(sample)).select("label", *FEATURES), "sample")
+    shares = {k: min(1.0, max(max_rows / 2, max_rows - (total - n)) / n) for k, n in counts.items()}
+    kept = F.when(F.col("label") == 0, shares[0]).otherwise(shares[1])
+    sample = rows.filter(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)) < kept * (1 << 30)).withColumn("weight", 1.0 / kept)
+    sample = stage.keep(with_statistics(_lexical(sample)).select("label", "weight", *FEATURES), "sample")
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    model = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
+    model = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
     stage.drop("sample", "labelled")
     return model, ALLOW, with_statistics
 

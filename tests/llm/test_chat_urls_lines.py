@@ -124,6 +124,13 @@ def test_trees_learn_from_labels(spark):
     assert out.filter("(verdict = 'allow') <> (label = 1)").count() <= 4
 
 
+def test_a_rare_label_stays_in_a_thinned_sample(spark):
+    rows = [(i, f"http://site{i % 7}.com/{i}", 1.0) for i in range(3000)] + [(5000 + i, f"http://spam-spam-{i}.com/?q=1&r=2&s=3", 0.0) for i in range(6)]
+    df = spark.createDataFrame(rows + [(9000 + i, f"http://spam-spam-{50 + i}.com/?q=1&r=2&s=3", None) for i in range(5)], "page_id long, url string, label double")
+    out = {r.page_id: r.verdict for r in urlfilter.judge(df, [], label=df["label"], max_rows=100).collect()}
+    assert all((out[i] == "block") == (i >= 5000) for i in out)
+
+
 # --- line dedup --------------------------------------------------------------------------------------------------------------
 def dedup(rows, ratio, least, leave=None):
     total, count = Counter(r[1] for r in rows), Counter()
