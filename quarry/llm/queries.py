@@ -11,8 +11,9 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, chat, fingerprint, langid, linededup, mixing, ngramjoin, tokencount, urlfilter
-from quarry.llm.common import tables
+from quarry.llm import (ann, bpe, chat, fingerprint, hardneg, langid, linededup, mixing, ngramjoin, prefixtrie, secrets, tokencount,
+                        urlfilter)
+from quarry.llm.common import Stage, tables
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -213,3 +214,172 @@ def op10(spark, sf_dir):
     return blocks.groupBy("row", "doc_id").agg(
         F.sum("_words").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.sum(F.col("_words") * F.size(F.coalesce("draws", F.array()))).alias("taken")).drop("row")
+
+
+HARD_SQL = """
+WITH r AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.id AS a, c.id AS c, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM r a JOIN r c ON a.id % 100 = 0 AND c.id <> a.id AND len(a.v) = len(c.v)
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5)
+SELECT p.a AS anchor_id, p.c AS positive_id, row_number() OVER (PARTITION BY p.a, p.c ORDER BY n.score DESC, n.c)::INT AS rank,
+       n.c AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_hard_negatives", HARD_SQL)
+def op11(spark, sf_dir):
+    """The hard negatives of every hundredth vector's positives, among all vectors."""
+    df = tables(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hardneg.prepare(df, "vec_id", label, "embedding", scale=256)
+    return hardneg.mine(rows, rows.filter(F.col("id") % 100 == 0), positives=5, negatives=5, low=80, high=100)
+
+
+TRIE_SQL = """
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+),
+ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+h AS (
+  SELECT c, c - c % 5 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                         lambda a, b: xor(a // 256, tab.t[xor(a, b) % 256 + 1])), 4294967295) % 9 AS h
+  FROM ids, tab
+),
+n AS (
+  SELECT conv_id AS c, md5(coalesce(role, '') || chr(0) || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || chr(0) || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+rebuilt AS (
+  SELECT h.c, 0 AS own, n.pos, k, bytes FROM h JOIN n ON n.c = h.base AND n.pos <= h.h
+  UNION ALL SELECT h.c, 1, n.pos, k, bytes FROM h JOIN n ON n.c = h.c AND n.pos > h.h
+),
+placed AS (SELECT c, k, bytes, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d FROM rebuilt),
+member AS (
+  SELECT c, d, bytes, md5(array_to_string(list(k) OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING), ',')) AS node,
+         d = max(d) OVER (PARTITION BY c) AS ends
+  FROM placed
+  UNION ALL SELECT c, 0, 0, 'root', c NOT IN (SELECT c FROM placed) FROM ids
+),
+node AS (
+  SELECT node, d, min(c) AS c, count(*) AS n, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM member GROUP BY node, d
+),
+edge AS (SELECT v.node, v.c, v.d, v.n, v.bytes, v.ends_sha256, u.node AS up FROM node v LEFT JOIN member u ON u.c = v.c AND u.d = v.d - 1),
+kids AS (SELECT up AS node, count(*) AS kids FROM edge WHERE up IS NOT NULL GROUP BY up),
+sub AS (
+  SELECT a.node, count(*) FILTER (k.kids IS NULL) AS leaves, sum((v.n - 1) * v.bytes)::BIGINT AS saved
+  FROM edge v JOIN member a ON a.c = v.c AND a.d <= v.d LEFT JOIN kids k ON k.node = v.node GROUP BY a.node
+)
+SELECT v.c AS conv_id, v.d::BIGINT AS depth, p.c AS parent_conv_id, v.n AS n_convs, coalesce(k.kids, 0) AS n_children, s.leaves AS n_leaves,
+       s.saved AS saved_tokens, v.ends_sha256
+FROM edge v LEFT JOIN node p ON p.node = v.up LEFT JOIN kids k ON k.node = v.node JOIN sub s ON s.node = v.node
+"""
+
+
+def _rebuild(numbered, ids):
+    """Conversation c: the first h turns of conversation c - c % 5, then its own after the first h; h from a hash of c below 9."""
+    own = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    base = F.col("conv") - F.col("conv") % 5
+    heads = numbered.filter(F.col("pos") <= 8).withColumnRenamed("conv", "base")
+    have = heads.groupBy("base").agg(F.max("pos").alias("have"))
+    shared = (ids.select("conv", base.alias("base"), own.alias("h")).join(heads, "base").filter(F.col("pos") <= F.col("h"))
+              .select("conv", "pos", "h1", "h2", "bytes"))
+    salt = F.lit(prefixtrie.SALTS)
+    have = have.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(prefixtrie.SALTS - 1).cast("long"))))
+    rest = numbered.withColumn("h", own).filter(F.col("pos") > F.col("h")).withColumn("base", base).withColumn("salt", F.pmod("pos", salt).cast("long"))
+    rest = rest.join(have, ["base", "salt"], "left")
+    moved = F.col("pos") - F.col("h") + F.least("h", F.coalesce("have", F.lit(0)))
+    return shared.unionByName(rest.select("conv", moved.alias("pos"), "h1", "h2", "bytes"))
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12(spark, sf_dir):
+    """The prefix trie of all conversations, rebuilt so that they share beginnings."""
+    talk = tables(spark, sf_dir, "conversations")
+    numbered = prefixtrie.number(prefixtrie.turns(talk, "conv_id", "turn"), Stage(spark, "rebuild"), "turns")
+    ids = talk.select(F.col("conv_id").cast("long").alias("conv")).filter("conv IS NOT NULL").distinct()
+    return prefixtrie.trie(_rebuild(numbered, ids), ids.withColumnRenamed("conv", "id"))
+
+
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _secret_sql(kind: str, order: int, pattern: str, test: str) -> str:
+    """All matches m of a pattern with their start, from the pieces of text between them."""
+    return f"""
+  SELECT id, {order} AS o, '{kind}' AS kind, start, stop FROM (
+    SELECT id, t, m, start, start + length(m) AS stop, crc_table FROM (
+      SELECT id, t, crc_table, unnest(ms) AS m, unnest(list_transform(range(len(ms)), lambda i:
+        coalesce(list_sum(list_transform(gaps[1:i + 1], lambda x: length(x))), 0)
+        + coalesce(list_sum(list_transform(ms[1:i], lambda x: length(x))), 0)))::BIGINT AS start
+      FROM (SELECT id, t, crc_table, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gaps FROM d)))
+  WHERE {test}"""
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = f"""(?:{'|'.join(map(_any_case, secrets.KEYWORDS['assign'][:4]))}|{_any_case('api')}_?{_any_case('key')})""" \
+          r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_LAST = "NOT regexp_matches(substr(t, stop + 1, 1), '[A-Za-z0-9]')"
+_BYTES = "list_transform(string_split({}, ''), lambda c: ord(c)::BIGINT)"
+_CRC_TEST = f"""{_LAST} AND xor(list_reduce(list_prepend(4294967295, {_BYTES.format('substr(m, 5, 30)')}),
+    lambda a, b: xor(a // 256, crc_table[xor(a, b) % 256 + 1])), 4294967295)
+  = list_reduce(list_prepend(0::BIGINT, list_transform(string_split(right(m, 6), ''), lambda c: strpos('{secrets.BASE62}', c) - 1)), lambda a, b: a * 62 + b)"""
+_STEP = "xor((c % 33554432) * 32, x)"
+for _bit, _value in enumerate(secrets.BECH32_STEPS):
+    _STEP = f"xor({_STEP}, (c // {33554432 << _bit}) % 2 * {_value})"
+_BECH_TEST = f"""{_LAST} AND list_reduce(list_concat([1::BIGINT], list_transform({_BYTES.format('lower(left(m, length(m) - 59))')}, lambda c: c // 32), [0::BIGINT],
+    list_transform({_BYTES.format('lower(left(m, length(m) - 59))')}, lambda c: c % 32),
+    list_transform(string_split(lower(right(m, 58)), ''), lambda c: strpos('{secrets.BECH32}', c)::BIGINT - 1)), lambda c, x: {_STEP}) = 1"""
+SECRET_SQL = f"""
+WITH tab AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+),
+d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t, tab.t AS crc_table FROM documents, tab),
+found AS ({" UNION ALL ".join([
+    _secret_sql("assign", 0, _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 1)) >= 6"),
+    _secret_sql("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 20"), _secret_sql("hex", 2, "[0-9a-f]+", f"length(m) >= {secrets.HEX_RUN}"),
+    _secret_sql("crc", 3, "(?:gh[pousr]|npm)_[A-Za-z0-9]{36}", _CRC_TEST),
+    _secret_sql("bech32", 4, "AGE-SECRET-KEY-1[02-9AC-HJ-NP-Z]{58}|nsec1[02-9ac-hj-np-z]{58}", _BECH_TEST)])}
+),
+line AS (
+  SELECT id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans
+  FROM found GROUP BY id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN line USING (id)
+"""
+
+
+@query("op13_secret_scan", SECRET_SQL)
+def op13(spark, sf_dir):
+    """The secrets of every whole document."""
+    found = secrets.scan(tables(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    count = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE]
+    base = of(*secrets.BASE)
+    return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
