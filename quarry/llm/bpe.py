@@ -21,6 +21,8 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
+from sys import getsizeof
 
 import pyarrow as pa
 import regex
@@ -28,7 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SHORT = 128
-CACHE_WORDS = 400_000       # entries remembered by one task; beyond it the memory starts afresh
+CACHE_BYTES = 24 << 20      # what a task remembers of words, and of chunks; beyond it the memory starts afresh
+REMEMBERED = 64             # longer words and chunks are not remembered
+BATCH_TOKENS = 1 << 19      # a batch of results is passed on with as many tokens
 _ID, _NONE = (1 << 32) - 1, 1 << 63
 _CONTROL = regex.compile(r"[\x1c-\x1f]")      # white space to str.split() alone
 _SPACES = regex.compile(r"\s+")
@@ -47,16 +51,20 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Memory(dict):
-    """key -> ids; a key that isn't known yet is encoded and remembered."""
+    """key -> ids; a key that isn't known yet is encoded and, unless it is long, remembered."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.bytes = encode, 0
 
     def __missing__(self, word):
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = out = self.encode(word)
+        out = self.encode(word)
+        if len(word) <= REMEMBERED:
+            self.bytes += getsizeof(word) + getsizeof(out) + 100       # 100: the table's entry
+            if self.bytes > CACHE_BYTES:
+                self.clear()
+                self.bytes = 0
+            self[word] = out
         return out
 
 
@@ -144,6 +152,10 @@ class Codec:
         return text.lower()
 
     def encode(self, text: str | None) -> list[int]:
+        return array("I", self.encode_packed(text)).tolist()
+
+    def encode_packed(self, text: str | None) -> bytes:
+        """The text's ids, packed: 32 bits each."""
         out = []
         for part in self.cut(text or ""):
             if part in self.added:
@@ -152,9 +164,7 @@ class Codec:
                 part = self._normal(part)
                 chunks = _SPACES.split(part) if _CONTROL.search(part) else part.split()
                 out.extend(map(self.chunks.__getitem__, chunks))
-        ids = array("I")
-        ids.frombytes(b"".join(out))
-        return ids.tolist()
+        return b"".join(out)
 
     def decode(self, ids) -> str:
         """The file names no decoder: tokens joined by one space."""
@@ -170,31 +180,45 @@ def encode_decode(df: DataFrame, vocabulary: str, text_col: str = "text", output
     """Encode ``text_col`` of every row and decode the ids again.
 
     ``vocabulary`` is a path that exists on every executor.  ``keep`` lists the columns to pass through (all but the
-    text if None); ``outputs`` picks from ``OUTPUTS``.  One narrow pass without a shuffle; memory: one Arrow batch.
+    text if None); ``outputs`` picks from ``OUTPUTS``.  One narrow pass without a shuffle; memory: one Arrow batch of texts,
+    packed ids of ``BATCH_TOKENS`` tokens and one text, and the caches.
     """
     keep = [c for c in (keep if keep is not None else df.columns) if c not in outputs and c != text_col]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(c, OUTPUTS[c]) for c in outputs])
 
+    types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.string(),
+             "decoded_sha256": pa.string()}
+
+    def column(name: str, packed: list[bytes], made: dict) -> pa.Array:
+        if name == "n_tokens":
+            return pa.array([len(p) // 4 for p in packed], types[name])
+        if name != "ids":
+            return pa.array(made[name], types[name])
+        ends = array("i", accumulate((len(p) // 4 for p in packed), initial=0))
+        flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(packed))])
+        return pa.ListArray.from_arrays(pa.Array.from_buffers(pa.int32(), len(ends), [None, pa.py_buffer(ends)]), flat)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary)
-        types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(),
-                 "decoded": pa.string(), "decoded_sha256": pa.string()}
+        texts = [c for c in outputs if c not in ("n_tokens", "ids")]
         for batch in batches:
-            made = {c: [] for c in outputs}
-            for value in batch.column(batch.num_columns - 1):
-                ids = codec.encode(value.as_py())
+            start, tokens, packed, made = 0, 0, [], {c: [] for c in texts}
+            for i, value in enumerate(batch.column(len(keep))):
+                one = codec.encode_packed(value.as_py())
+                tokens += len(one) // 4
+                packed.append(one)
+                ids = array("I", one) if texts else None
                 for c, values in made.items():
-                    if c == "n_tokens":
-                        values.append(len(ids))
-                    elif c == "ids":
-                        values.append(ids)
-                    elif c == "ids_sha256":
+                    if c == "ids_sha256":
                         values.append(_sha(" ".join(map(codec.digits.__getitem__, ids))))
                     elif c == "decoded":
                         values.append(codec.decode(ids))
                     else:
                         values.append(_sha(codec.decode(ids)))
-            arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(made[c], types[c]) for c in outputs]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *outputs])
+                if tokens >= BATCH_TOKENS or i + 1 == batch.num_rows:
+                    rows = batch.slice(start, i + 1 - start)
+                    yield pa.RecordBatch.from_arrays(
+                        [*rows.columns[:len(keep)], *(column(c, packed, made) for c in outputs)], names=[*keep, *outputs])
+                    start, tokens, packed, made = i + 1, 0, [], {c: [] for c in texts}
 
     return df.select(*[df[c] for c in keep], df[text_col]).mapInArrow(run, schema)
