@@ -188,6 +188,23 @@ def test_long_vectors_do_not_hide_the_others(spark):
     assert hit / (20 * 30) >= 0.95
 
 
+@pytest.mark.parametrize("kind,n", [("lengths 0.1", 2000), ("lengths 0.3", 2000), ("gauss", 2500), ("gauss", 4096), ("clusters", 4096)])
+def test_recall_of_production_parameters(spark, kind, n):
+    """Vectors of 64 dimensions and uneven length, at least 20 beams of them."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    if kind.startswith("lengths"):
+        x *= np.exp(float(kind.split()[1]) * rng.normal(size=(n, 1))) / np.sqrt((x * x).sum(1, keepdims=True))
+    elif kind == "clusters":
+        x = 2 * rng.normal(size=(50, 64))[rng.integers(0, 50, n)] + x
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 0"), k=20).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = sum(len(got[q] & set([i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20])) for q in range(0, n, 20))
+    assert hit / (20 * len(got)) >= 0.95
+
+
 # --- mixing ------------------------------------------------------------------------------------------------------------------------
 def fill(sizes, weights, cap=3.0):
     full, total = set(), sum(sizes.values())
