@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, tokencount
+from quarry.llm import bpe, langid, queries, tokencount
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -83,6 +83,103 @@ def test_language_id_held_out(spark):
     assert out.filter("score < 0 OR score > 1").count() == 0
 
 
+def test_language_query_equals_brute_force(spark):
+    """Dictionaries and decisions of the query, recounted with plain zstandard for every document."""
+    import zlib
+
+    import xxhash
+    import zstandard
+
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()]
+    fold = {i: zlib.crc32(str(i).encode()) % 3 for i, *_ in rows}
+    learned, count = {}, {}
+    for i, text, lang in rows:
+        if lang is not None and fold[i] != 1 and text and any(map(str.isalpha, text)):
+            count[lang] = count.get(lang, 0) + 1
+            if len(text) > 8192:
+                text = text[next(k for k, c in enumerate(text) if c.isalpha()):][:8192]
+            h = xxhash.xxh64(text.encode(), seed=42).intdigest()
+            learned.setdefault(lang, {})[h - (1 << 64) if h >> 63 else h] = text
+    names = sorted(count, key=lambda x: (-count[x], x))
+    compress = []
+    for lang in names:
+        content, size = b"", 0
+        for _, text in sorted(learned[lang].items())[:400]:
+            if size >= 131072:
+                break
+            size += len(text.encode()) + 1
+            content += (text.lower() + "\n").encode()
+        words = zstandard.ZstdCompressionDict(content[:131072], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        params = zstandard.ZstdCompressionParameters.from_level(6, write_content_size=False, write_checksum=False, write_dict_id=False)
+        compress.append(zstandard.ZstdCompressor(dict_data=words, compression_params=params))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_language_id"](spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        want = ("und", 0.0)
+        if text and any(map(str.isalpha, text)):
+            data = text.lower().encode()
+            sizes = [sum(len(c.compress(data[k:k + 4096])) for k in range(0, len(data), 4096)) for c in compress]
+            low, high = sorted(sizes)[:2]
+            want = (names[sizes.index(low)], 1 - low / high)
+        assert (got[i]["held_out"], got[i]["lang_pred"]) == (fold[i] == 1, want[0]) and abs(got[i]["score"] - want[1]) < 1e-12, i
+
+
+def test_more_languages_than_a_group(spark):
+    words = [f"w{k}x{k * 7919 % 997} q{k * k}z " for k in range(70)]
+    rows = [(k, w * (5 + j), f"l{k:02}") for k, w in enumerate(words) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    contents = langid.train(df)
+    assert len(contents) == 70
+    out = langid.identify(df, contents).collect()
+    assert len(out) == 210 and sum(r.lang == r.lang_pred for r in out) >= 205 and {r.lang_pred for r in out} == {f"l{k:02}" for k in range(70)}
+
+
+def test_margin_grows_with_length_without_a_step():
+    need = [max(0.0, langid.MIN_MARGIN - langid.SLACK / n) for n in range(1, 5000)]
+    assert need == sorted(need) and max(b - a for a, b in zip(need, need[1:])) < 1e-4
+    assert langid.verdict(["a", "b"], [60, 60], 0.005, 0.32)[2] and not langid.verdict(["a", "b"], [600, 601], 0.005, 0.32)[2]
+
+
+def test_batches_of_ids_are_bounded_by_tokens(spark, monkeypatch):
+    """Long rows: results leave in batches of so many tokens, and the memory of words stays within its bytes."""
+    monkeypatch.setattr(bpe, "BATCH_TOKENS", 1000)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)
+    rows = [(i, " ".join(f"word{i}and{k}" for k in range(i % 90)) if i % 7 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    codec = bpe.Codec(WORDS)
+    got = bpe.encode_decode(df, WORDS, outputs=("ids", "n_tokens", "decoded")).collect()
+    assert [(r.doc_id, r.ids, r.n_tokens, r.decoded) for r in got] == [
+        (i, ids, len(ids), codec.decode(ids)) for i, ids in ((i, codec.encode(t)) for i, t in rows)]
+    assert codec.words.bytes <= 20_000 and codec.chunks.bytes <= 20_000
+
+
+def test_a_worker_stays_small_on_long_rows():
+    """10,000 rows of 2,478 characters: what is held beside the texts is far below a list of ids."""
+    import subprocess
+    import sys
+    code = f"""
+import random, resource, sys
+sys.path.insert(0, {str(bpe.__file__).rsplit('/quarry', 1)[0]!r})
+import pyarrow as pa
+from quarry.llm import bpe
+from pyspark.sql import types as T
+rnd = random.Random(1)
+words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 11))) for _ in range(60000)]
+batch = pa.RecordBatch.from_arrays([pa.array(range(10000)), pa.array([" ".join(rnd.choices(words, k=380))[:2478] for _ in range(10000)])], names=["doc_id", "text"])
+class Frame:
+    columns = ["doc_id", "text"]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    def __getitem__(self, c): return c
+    def select(self, *c): return self
+    def mapInArrow(self, run, schema): return run(iter([batch]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = sum(b.num_rows for b in bpe.encode_decode(Frame(), {WORDS!r}, outputs=("n_tokens", "ids", "decoded_sha256")))
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    n, grown = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert n == 10_000 and grown < 220, grown
+
+
 def test_languages_of_copies_or_of_long_texts_are_learned(spark):
     rows = [(f"der hund und die katze {i}", "de") for i in range(30)] + [("the cat and the dog", "en")] * 400
     rows += [("1. " * 3000 + "le chat et le chien " * 500, "fr")] * 3
