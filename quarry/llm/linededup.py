@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import Stage
 
 MAX_RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 2           # on a single page a line is no boilerplate
 SALTS = 32
 
 

@@ -167,7 +167,7 @@ often AS (
     SELECT source, line, count(*) AS n
     FROM (SELECT DISTINCT id, source, line FROM (SELECT id, source, trim(unnest(lines), ' ') AS line FROM pages) WHERE line <> '')
     GROUP BY source, line)
-  JOIN total t USING (source) WHERE n >= 5 AND n > 0.05::DOUBLE * t.pages
+  JOIN total t USING (source) WHERE n >= 2 AND n > 0.05::DOUBLE * t.pages
   ),
 marked AS (
   SELECT p.id, p.pos, p.line, o.line IS NOT NULL AS gone

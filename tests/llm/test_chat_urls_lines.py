@@ -160,3 +160,10 @@ def test_lines_against_brute_force(spark):
         got = [(r.doc_id, r.text, r.n_dropped) for r in linededup.drop_frequent_lines(df, "source", "text", ratio, least, leave).collect()]
         assert sorted(got, key=str) == dedup(rows, ratio, least, leave)
     assert linededup.drop_frequent_lines(df.limit(0)).count() == 0
+
+
+def test_small_hosts_lose_their_boilerplate(spark):
+    """50 hosts of 8 pages, a line on half of each host's pages, and a line of each page's own."""
+    rows = [(h * 8 + p, f"h{h}", f"own {h} {p}" + ("\nmenu of the host" if p % 2 else "")) for h in range(50) for p in range(8)]
+    out = linededup.drop_frequent_lines(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert {r.text for r in out} == {f"own {h} {p}" for h in range(50) for p in range(8)} and sum(r.n_dropped for r in out) == 200

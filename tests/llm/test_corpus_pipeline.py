@@ -94,5 +94,5 @@ def test_entry_without_the_subpackage():
     shutil.copytree(f"{REPO}/quarry", f"{d}/quarry", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'knn_exact' in q and not any(n.startswith('op') and n[2].isdigit() for n in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=d, check=True, env={**os.environ, "PYTHONPATH": d})
-    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and len([n for n in q if n[:2] == 'op' and n[2].isdigit()]) == 10"
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and len([n for n in q if n[:2] == 'op' and n[2].isdigit()]) == 13"
     subprocess.run([sys.executable, "-c", code], cwd=REPO, check=True, env={**os.environ, "PYTHONPATH": REPO})
