@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from quarry import params
 from quarry.functions.text import ARTICLE_REF, lit_array, ws_words
-from quarry.operators.knn import knn, within
+from quarry.operators.knn import knn
+from quarry.operators.vector_index import Quantiser, train, within_pivots
 
 # Rows of a candidate table small enough to broadcast into a join with the corpus.
 BROADCAST_ROWS = 2_000_000
@@ -203,7 +204,11 @@ def boosted_topk(pool_df: DataFrame, domains: DataFrame, k: int, statute_boost:
 
 
 def similarity_threshold(corpus: DataFrame, questions: DataFrame, threshold: float = params.SIMILARITY_THRESHOLD,
-                         exclude=("qid", "doc_id")) -> DataFrame:
-    """Every corpus row whose similarity 1 - d/2 reaches the threshold, by a range search over the whole corpus."""
-    found = within(corpus.select("doc_id", "embedding"), questions, 2 * (1 - threshold), exclude=exclude)
+                         exclude=("qid", "doc_id"), pivots: Quantiser | None = None, n_pivots: int = 64) -> DataFrame:
+    """Every corpus row whose similarity 1 - d/2 reaches the threshold, by an exact range search over the whole corpus that
+    skips what pivots rule out.  ``pivots`` are trained from a bounded sample where none are given; ``exclude`` (None: nothing) leaves
+    out a question's own row."""
+    rows = corpus.select("doc_id", "embedding")
+    model = pivots or train(rows, n_pivots, code_bytes=0)
+    found = within_pivots(rows, questions, 2 * (1 - threshold), model, exclude_own=exclude is not None)
     return found.withColumn("similarity", 1 - F.col("distance") / 2)

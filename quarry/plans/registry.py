@@ -17,6 +17,7 @@ _MODULES = [
     "quarry.plans.q_streaming",
     "quarry.plans.q_models",
     "quarry.plans.q_extra",
+    "quarry.plans.q_index",
 ]
 
 
