@@ -10,20 +10,23 @@ corpus is scanned once per answer batch.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import params
+from quarry.functions.keywords import automaton, contained, words_in
 from quarry.functions.text import ARTICLE_REF, lit_array, ws_words
 from quarry.operators.knn import knn
 from quarry.operators.vector_index import Quantiser, train, within_pivots
+from quarry.sources.sinks import open_index
 
-# Rows of a candidate table small enough to broadcast into a join with the corpus.
-BROADCAST_ROWS = 2_000_000
+# Rows of a candidate table small enough to broadcast into a join with the corpus, and bytes of a row of it: candidates are ids and
+# numbers, so both bound what is broadcast.
+BROADCAST_ROWS, CANDIDATE_BYTES = 500_000, 128
 
 
 def quotas(k: int) -> tuple[int, int]:
@@ -59,11 +62,18 @@ def dedup(cands: DataFrame) -> DataFrame:
         F.min("distance").alias("distance"), F.first("type").alias("type"), F.first("domain").alias("domain"))
 
 
+def _row_bytes(df: DataFrame) -> float:
+    """A bound on the bytes of a row of numbers and short keys; any other column makes it infinite."""
+    keys = {"type": 16, "domain": 32, "qid": 16, "doc_id": 16}
+    return sum(8 if isinstance(f.dataType, (T.NumericType, T.BooleanType)) else
+               keys.get(f.name, math.inf) if isinstance(f.dataType, T.StringType) else math.inf for f in df.schema)
+
+
 def attach(small: DataFrame, corpus: DataFrame, cols, on: str = "doc_id", est_rows: int | None = None) -> DataFrame:
     """Join corpus columns onto a candidate table.  The candidate side is broadcast only when ``est_rows``, its row count or
-    a bound on it, is within ``BROADCAST_ROWS``; otherwise the planner shuffles."""
+    a bound on it, is within ``BROADCAST_ROWS`` and its columns are few and of bounded width; otherwise the planner shuffles."""
     right = corpus.select(on, *[c for c in cols if c != on])
-    if est_rows is not None and est_rows <= BROADCAST_ROWS:
+    if est_rows is not None and est_rows <= BROADCAST_ROWS and _row_bytes(small) <= CANDIDATE_BYTES:
         return right.join(F.broadcast(small), on, "inner")
     return small.join(right, on, "inner")
 
@@ -76,7 +86,7 @@ def question_features(questions: DataFrame, words, text_col: str = "question",
     lq = F.lower(F.col(text_col))
     return questions.select(
         "qid",
-        F.filter(lit_array(words), lambda w: F.instr(lq, w) > 0).alias("qlex"),
+        F.transform(contained(lq, words), lambda i: F.get(lit_array(words), i)).alias("qlex"),
         F.regexp_extract_all(F.col(text_col), F.lit(article_ref), 0).alias("qarts"),
         F.filter(ws_words(lq), lambda w: F.length(w) >= 2).alias("qwords"))
 
@@ -85,13 +95,17 @@ def question_features(questions: DataFrame, words, text_col: str = "question",
 def _bonus_udf(qlex: pd.Series, qarts: pd.Series, qwords: pd.Series, lc: pd.Series) -> pd.Series:
     """Bonus (<= 0) added to a statute's distance: -0.5 per lexicon word in both, -0.5 more when >= 2 such words;
     -2.0 per article reference occurrence found in the content; -0.3 per question word found in it.  Over Arrow
-    batches, with substring search in C instead of the JVM's naive per-word scan of long contents."""
+    batches; a batch's words are looked for by one automaton, and a text is passed once, however many words and questions."""
+    lists = [[list(x) for x in column] for column in (qlex, qarts, qwords)]
+    words = automaton({w for column in lists for some in column for w in some})
+    seen: dict = {}
     out = []
-    for lex, arts, words, text in zip(qlex, qarts, qwords, lc):
-        n = sum(1 for w in lex if w in text)
-        a = sum(c for x, c in Counter(arts).items() if x in text)      # each distinct word searched once,
-        q = sum(c for w, c in Counter(words).items() if w in text)     # counted with its repeats
-        out.append(-0.5 * n - (0.5 if n >= 2 else 0.0) - 2.0 * a - 0.3 * q)
+    for lex, arts, asked, text in zip(*lists, lc):
+        if text not in seen:
+            seen[text] = words_in(text, words)
+        found = seen[text]
+        n = sum(1 for w in lex if w in found)
+        out.append(-0.5 * n - (0.5 if n >= 2 else 0.0) - 2.0 * sum(w in found for w in arts) - 0.3 * sum(w in found for w in asked))
     return pd.Series(out, dtype="float64")
 
 
@@ -102,8 +116,7 @@ def keyword_bonus_table(cands: DataFrame, questions: DataFrame, corpus: DataFram
     st = cands.where(F.col("type") == "statute").select("qid", "doc_id").distinct()
     withdoc = attach(st, corpus, ["content"], est_rows=est_rows).withColumn("lc", F.lower("content"))
     feats = question_features(questions, words)
-    small = est_rows is not None and est_rows <= BROADCAST_ROWS      # there are no more questions than candidates
-    j = withdoc.join(F.broadcast(feats) if small else feats, "qid")
+    j = withdoc.join(feats, "qid")      # arrays of words: the planner knows their bytes, a row count doesn't
     return j.select("qid", "doc_id", _bonus_udf("qlex", "qarts", "qwords", "lc").alias("bonus"))
 
 
@@ -212,3 +225,14 @@ def similarity_threshold(corpus: DataFrame, questions: DataFrame, threshold: flo
     model = pivots or train(rows, n_pivots, code_bytes=0)
     found = within_pivots(rows, questions, 2 * (1 - threshold), model, exclude_own=exclude is not None)
     return found.withColumn("similarity", 1 - F.col("distance") / 2)
+
+
+def search_written(spark: SparkSession, root: str, questions: DataFrame, k: int, types=None, domains=None,
+                   exclude=("qid", "doc_id")) -> DataFrame:
+    """R2 on the written index: exact top-k among the chunks of some types and domains (None: all).  The filters are on the
+    index's folders, so only theirs are listed and read, and of them only ids and vectors."""
+    index = open_index(spark, root)
+    for column, values in (("type", types), ("domain", domains)):
+        if values is not None:
+            index = index.where(F.col(column).isin(list(values)))
+    return knn(index.select("doc_id", "embedding"), questions, k, exclude=exclude)

@@ -1,9 +1,8 @@
 """Scope gate and query expansion.
 
-All of these are column expressions over the question table: a small keyword
-lexicon is embedded in the plan as literal arrays, so the gate costs one
-projection and no join or shuffle.  (For lexicons of many thousands of
-keywords, tokenise and equi-join against a lexicon table instead.)
+All of these are column expressions over the question table.  The keywords of a
+lexicon are found by one automaton in one pass over a question, however many they
+are, so the gate costs one projection and no join or shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry import params
 from quarry.functions import json_reply as J
+from quarry.functions.keywords import any_of, contained
 from quarry.functions.text import col_, lit_array
 
 # Label used when the model verdict cannot be parsed.
@@ -20,16 +20,14 @@ UNKNOWN_DOMAIN = "未知"
 SERVED_DOMAIN = "刑法"
 
 
-def _has_any(text, keywords) -> F.Column:
-    t = col_(text)
-    return F.exists(lit_array(keywords), lambda kw: F.instr(t, kw) > 0)
-
-
 def keyword_scope(text, groups) -> F.Column:
     """G1: label of the first group (declared order) with a keyword contained in ``text``; null if none."""
-    expr = F.lit(None).cast("string")
-    for label, kws in reversed(list(groups)):
-        expr = F.when(_has_any(text, kws), F.lit(label)).otherwise(expr)
+    groups = list(groups)
+    found = contained(text, [w for _, kws in groups for w in kws])
+    expr, end = F.lit(None).cast("string"), sum(len(kws) for _, kws in groups)
+    for label, kws in reversed(groups):
+        end -= len(kws)
+        expr = F.when(any_of(found, end, len(kws)), F.lit(label)).otherwise(expr)
     return expr
 
 
@@ -73,9 +71,8 @@ def expand_queries(questions: DataFrame, expansions, templates, text_col: str =
     of every keyword contained (declared order); no keyword hit -> the templates.
     ``max_expansions`` keeps the first n rows (parallel mode uses 3)."""
     q = F.col(text_col)
-    hits = F.flatten(F.array(*[
-        F.when(F.instr(q, kw) > 0, lit_array(ex)).otherwise(F.array().cast("array<string>"))
-        for kw, ex in expansions])) if expansions else F.array().cast("array<string>")
+    hits = F.flatten(F.transform(contained(q, [kw for kw, _ in expansions]), lambda i: F.get(
+        F.array(*[lit_array(ex) for _, ex in expansions]), i))) if expansions else F.array().cast("array<string>")
     tmpl = F.array(*[F.format_string(t.replace("{q}", "%s"), q) for t in templates])
     expanded = F.concat(F.array(q), F.when(F.size(hits) > 0, hits).otherwise(tmpl))
     out = questions.select("*", F.posexplode(expanded).alias("ord", "query_text"))

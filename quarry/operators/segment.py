@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import params
+from quarry.functions.keywords import any_of, contained
 from quarry.functions.text import ARTICLE_NUMERALS, WS_CLASS, clean_text, col_, stable_id
 
 # Anchors, headings, table-of-contents markers and labels of the statute format.
@@ -146,11 +147,13 @@ def overlap_chunks(df: DataFrame, text_col: str = "text", size: int = params.CHU
 
 
 def tag_keywords(df: DataFrame, tags, text_col: str = "content") -> DataFrame:
-    """``tags`` column = labels (declared order) with at least one pattern contained."""
-    t = F.col(text_col)
-    labels = [F.when(F.exists(F.array(*[F.lit(p) for p in pats]), lambda p: F.instr(t, p) > 0), F.lit(lab))
-              for lab, pats in tags]
-    return df.withColumn("tags", F.filter(F.array(*labels), lambda x: x.isNotNull()))
+    """``tags`` column = labels (declared order) with at least one pattern contained; all patterns in one pass per text."""
+    tags, labels, first = list(tags), [], 0
+    for label, pats in tags:
+        labels.append(F.when(any_of(F.col("_found"), first, len(pats)), F.lit(label)))
+        first += len(pats)
+    found = df.withColumn("_found", contained(text_col, [p for _, pats in tags for p in pats]))
+    return found.withColumn("tags", F.filter(F.array(*labels) if labels else F.array().cast("array<string>"), lambda x: x.isNotNull())).drop("_found")
 
 
 def corpus_stats(chunks: DataFrame, type_col: str = "type", content_col: str = "content") -> DataFrame:

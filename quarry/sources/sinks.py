@@ -23,10 +23,15 @@ def write_index(chunks: DataFrame, root: str, id_col: str = "doc_id") -> None:
 
 
 def open_index(spark: SparkSession, root: str) -> DataFrame:
-    """Every domain partition present; an absent root is an error asking for a build."""
+    """Every domain folder present; without any, the root is one collection, whose chunks have their own ``domain`` and
+    ``type`` or null; an absent root is an error asking for a build."""
     if not path_exists(spark, root):
         raise FileNotFoundError(f"index {root} does not exist; build it first (write_index)")
-    return spark.read.parquet(root)
+    chunks = spark.read.parquet(root)
+    for column in INDEX_PARTITIONS:
+        if column not in chunks.columns:
+            chunks = chunks.withColumn(column, F.lit(None).cast("string"))
+    return chunks
 
 
 def rebuild_domain(spark: SparkSession, chunks: DataFrame, root: str, domain: str, backup_root: str) -> None:
