@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.operators.cases import RAW_CASE_SCHEMA
 from quarry.operators.models import global_index
 from quarry.session import path_exists
+from quarry.sources.json_array import array_objects
 
 EVAL_SCHEMA = "question string, answer string, sources array<string>, category string"
 QA_SCHEMA = "question string, answer string"
@@ -35,8 +36,14 @@ def case_records(spark: SparkSession, path: str, limit: int | None = None) -> Da
     filtering; without, all are."""
     first = spark.read.text(path).select(F.regexp_replace("value", "^\ufeff", "").alias("v")).where(F.trim("v") != "").first()
     is_array = first is not None and first["v"].lstrip().startswith("[")
-    reader = spark.read.schema(RAW_CASE_SCHEMA + ", _corrupt_record string").option("mode", "PERMISSIVE")
-    df = reader.option("multiLine", True).json(path) if is_array else reader.json(path)
+    schema = RAW_CASE_SCHEMA + ", _corrupt_record string"
+    if is_array:    # by ranges of the files, however large one is
+        found = array_objects(spark, path)
+        record = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+        df = found.select(F.struct("file", "start", "seq").alias("_mid"), record.alias("r")).select("_mid", "r.*")
+        df = global_index(df, "_mid").withColumnRenamed("idx", "case_index").drop("_mid")
+        return (df if limit is None else df.where(F.col("case_index") < limit)).where(_valid("fact")).drop("_corrupt_record")
+    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     # record position in file order: monotonically increasing ids follow file order; the global
     # index turns them into consecutive positions without a single-task window
     df = global_index(df.withColumn("_mid", F.monotonically_increasing_id()), "_mid") \
