@@ -133,8 +133,11 @@ def _metric_aggs():
 
 
 def metrics(results: DataFrame) -> DataFrame:
-    """E5: one row of overall metrics."""
-    return results.agg(*_metric_aggs())
+    """E5: one row of overall metrics.  A right refusal has no sources and counts as a hallucination in ``hallucination_rate``;
+    ``hallucination_rate_answered`` leaves refusals out: rows with ``answered`` false, or, without that column, those of the
+    category out_of_scope (null if nothing is answered)."""
+    answered = F.col("answered") if "answered" in results.columns else F.coalesce(F.col("category"), F.lit("")) != "out_of_scope"
+    return results.agg(*_metric_aggs(), F.avg(F.when(answered, F.col("has_hallucination").cast("double"))).alias("hallucination_rate_answered"))
 
 
 def metrics_by_category(results: DataFrame) -> DataFrame:

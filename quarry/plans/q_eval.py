@@ -276,9 +276,13 @@ _AGG = """avg(CAST(is_correct AS DOUBLE)) AS accuracy, avg(confidence) AS avg_co
   avg(relevance_score) AS avg_relevance, avg(latency) AS avg_latency, CAST(count(*) AS BIGINT) AS n"""
 
 
-@register("eval_metrics", S.round6(S.with_(*_BASE, _J, scored_sql()) + f"SELECT {_AGG} FROM scored", METRIC_COLS))
+_ANSWERED = "avg(CASE WHEN coalesce(category, '') <> 'out_of_scope' THEN CAST(has_hallucination AS DOUBLE) END) AS hallucination_rate_answered"
+
+
+@register("eval_metrics", S.round6(S.with_(*_BASE, _J, scored_sql()) + f"SELECT {_AGG}, {_ANSWERED} FROM scored",
+                                   [*METRIC_COLS, "hallucination_rate_answered"]))
 def q_eval_metrics(spark, sf):
-    return round6(E.metrics(scored(spark, sf)), METRIC_COLS)
+    return round6(E.metrics(scored(spark, sf)), [*METRIC_COLS, "hallucination_rate_answered"])
 
 
 @register("eval_by_category", S.round6(S.with_(*_BASE, _J, scored_sql()) +

@@ -13,6 +13,7 @@ from quarry.operators import segment as G
 from quarry.plans import adapters as ad
 from quarry.plans import sql_fragments as S
 from quarry.plans.catalog import register, round6
+from quarry.sources.quality import id_collisions, with_retrieval_key
 
 PACK_SEPS = ".;"          # Latin sentence separators for the driver texts
 CASE_LIMIT = 10_000       # S11: the first records, a part of them at every scale factor
@@ -29,6 +30,33 @@ def q_doc_id(spark, sf):
     return d.select("doc_id", stable_id(clean_text(F.col("text")), F.col("source")).alias("chunk_id"))
 
 
+# every document and a second version of it, which begins alike: beyond 100 characters the two have one id
+_IDS = f"""SELECT doc_id, text, {S.stable_id_sql(S.clean_sql('text'), 'source')} AS chunk_id FROM (
+  SELECT doc_id, text, source FROM documents UNION ALL SELECT -1 - doc_id, text || ' ' || reverse(text), source FROM documents)"""
+
+
+def _with_ids(spark, sf):
+    d = ad.table(spark, sf, "documents").select("doc_id", "text", "source")
+    d = d.unionByName(d.select((-1 - F.col("doc_id")).alias("doc_id"), F.concat("text", F.lit(" "), F.reverse("text")).alias("text"), "source"))
+    return d.select("doc_id", "text", stable_id(clean_text(F.col("text")), F.col("source")).alias("chunk_id"))
+
+
+@register("id_collisions", f"""
+SELECT chunk_id, count(DISTINCT md5(coalesce(text, ''))) AS n_contents, count(*) AS n_rows FROM ({_IDS})
+WHERE chunk_id IS NOT NULL GROUP BY chunk_id HAVING n_contents > 1""")
+def q_id_collisions(spark, sf):
+    """T2 check: ids of texts of one source that share their first 100 characters but differ."""
+    return id_collisions(_with_ids(spark, sf), "chunk_id", "text")
+
+
+@register("retrieval_key", f"""
+SELECT doc_id, chunk_id || CASE WHEN count(DISTINCT md5(coalesce(text, ''))) OVER (PARTITION BY chunk_id) > 1
+  THEN '-' || substr(md5(coalesce(text, '')), 1, 12) ELSE '' END AS retrieval_key FROM ({_IDS})""")
+def q_retrieval_key(spark, sf):
+    """A key that keeps the texts of colliding ids apart."""
+    return with_retrieval_key(_with_ids(spark, sf), "chunk_id", "text").select("doc_id", "retrieval_key")
+
+
 _SEG = S.with_(S.STATUTE_FILES, *S.segment_ctes())
 
 

@@ -65,3 +65,21 @@ def quality_summary(checks: DataFrame) -> DataFrame:
 def missing_files(required: DataFrame, found: DataFrame, col: str = "file") -> DataFrame:
     """Required files that are not present."""
     return required.join(found.select(col).distinct(), col, "left_anti")
+
+
+def id_collisions(chunks: DataFrame, id_col: str = "chunk_id", content_col: str = "content") -> DataFrame:
+    """T2 check: ids that stand for more than one content, with the number of contents and of rows.  An id is made of a source and the
+    first 100 characters, so longer contents may share it.  Rows are counted per (id, content) first, so a common id is no hot group."""
+    rows = chunks.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.md5(F.coalesce(content_col, F.lit(""))).alias("m"))
+    contents = rows.groupBy("id", "m").agg(F.count("*").alias("n"))
+    per_id = contents.groupBy("id").agg(F.count("*").alias("n_contents"), F.sum("n").alias("n_rows"))
+    return per_id.where(F.col("n_contents") > 1).select(F.col("id").alias(id_col), "n_contents", "n_rows")
+
+
+def with_retrieval_key(chunks: DataFrame, id_col: str = "chunk_id", content_col: str = "content", key: str = "retrieval_key") -> DataFrame:
+    """Adds a key that tells colliding contents apart: the id, and behind a colliding one a dash and 12 hex digits of the content's md5.
+    De-duplication by it drops copies and keeps every text."""
+    collided = id_collisions(chunks, id_col, content_col).select(F.col(id_col).alias("_id"), F.lit(True).alias("_hit"))
+    suffix = F.concat(F.lit("-"), F.substring(F.md5(F.coalesce(content_col, F.lit(""))), 1, 12))
+    tagged = chunks.join(collided, chunks[id_col] == collided["_id"], "left")
+    return tagged.withColumn(key, F.concat(id_col, F.when(F.col("_hit"), suffix).otherwise(F.lit("")))).drop("_id", "_hit")

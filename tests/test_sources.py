@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+from pyspark.sql import functions as F
 
 from quarry.operators import cases as C
 from quarry.sources import readers, sinks
@@ -131,3 +132,27 @@ def test_empty_meta_is_flat_and_empty_term_has_no_verdict(spark):
     out = C.compose_cases(C.normalise_cases(readers.case_records(spark, os.path.join(d, "a.jsonl")))).orderBy("case_index").collect()
     assert out[0].accusation_csv == "盗窃" and out[0].content.endswith("有期徒刑7个月")
     assert out[1].accusation_csv == "诈骗" and "判决结果" not in out[1].content
+
+
+def test_colliding_ids_are_found_and_both_texts_stay(spark):
+    from quarry.functions.text import stable_id
+    from quarry.sources.quality import id_collisions, with_retrieval_key
+    head = "甲" * 100
+    rows = [(1, "s", head + "one"), (2, "s", head + "two"), (3, "s", head + "one"), (4, "t", head + "one"), (5, "s", "short"), (6, "s", None)]
+    df = spark.createDataFrame(rows, "n int, source string, content string").withColumn("chunk_id", stable_id(F.col("content"), F.col("source")))
+    got = id_collisions(df).collect()
+    assert [(r.n_contents, r.n_rows) for r in got] == [(2, 3)]
+    keyed = {r.n: r.retrieval_key for r in with_retrieval_key(df).collect()}
+    assert keyed[1] == keyed[3] != keyed[2] and keyed[4] != keyed[1] and "-" not in keyed[5] and keyed[6] is None and len(set(keyed.values())) == 5
+    assert with_retrieval_key(df).dropDuplicates(["retrieval_key"]).select("content").distinct().count() == df.select("content").distinct().count()
+
+
+def test_hallucination_rate_of_what_is_answered(spark):
+    from quarry.operators.evaluate import metrics
+    base = {"is_correct": True, "confidence": 0.5, "citation_precision": 1.0, "citation_recall": 1.0, "citation_f1": 1.0, "relevance_score": 0.5, "latency": 1.0}
+    rows = [{**base, "category": c, "has_hallucination": h} for c, h in (("out_of_scope", True), ("out_of_scope", True), ("general", True), ("general", False), (None, False))]
+    df = spark.createDataFrame(rows)
+    r = metrics(df).first()
+    assert r.hallucination_rate == 0.6 and abs(r.hallucination_rate_answered - 1 / 3) < 1e-12
+    assert metrics(df.withColumn("answered", F.col("category") == "general")).first().hallucination_rate_answered == 0.5
+    assert metrics(df.where("category = 'out_of_scope'")).first().hallucination_rate_answered is None
