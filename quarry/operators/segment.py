@@ -36,43 +36,58 @@ def normalise_layout(c) -> F.Column:
     return F.regexp_replace(col_(c), "[　\t]", " ")
 
 
+def _parts(text_col: str, anchor: str) -> F.Column:
+    """Array of (pos, article, chapter, raw): the text between anchors, each with its anchor and the heading before it.
+
+    One scan over the text emits anchors, and one over each part the headings in it; the latest heading is carried along, so the
+    time grows with the text and not with articles times headings."""
+    numerals = ANCHOR.replace(r"\d", "0-9")
+    find = re.compile(rf"(?m)^ *({numerals})\s*" if anchor == "line" else rf"({numerals})\s*")
+    headings = re.compile(rf"(?m)^ *({HEADING})")
+
+    def cut(text: str | None) -> list | None:
+        if text is None:
+            return None
+        rows, at, article, chapter, heading = [], 0, PREAMBLE_ARTICLE, "", ""
+        for m in [*find.finditer(text), None]:
+            raw = text[at:m.start()] if m else text[at:]
+            rows.append({"pos": len(rows), "article": article, "chapter": chapter, "raw": raw})
+            if m:
+                if "第" in raw:
+                    heading = (headings.findall(raw) or [heading])[-1]
+                at, article, chapter = m.end(), m.group(1), heading
+        return rows
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([cut(t) for t in texts])
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "array<struct<pos:int,article:string,chapter:string,raw:string>>")(F.col(text_col))
+
+
 def segment_articles(files: DataFrame, text_col: str = "text", domain_name_col: str = "domain_name",
-                     min_body: int = params.MIN_ARTICLE_CHARS, min_preamble: int = params.MIN_PREAMBLE_CHARS
-                     ) -> DataFrame:
+                     min_body: int = params.MIN_ARTICLE_CHARS, min_preamble: int = params.MIN_PREAMBLE_CHARS,
+                     anchor: str = "line") -> DataFrame:
     """T3-T7 (+T2): one row per article of each statute text.
 
-    Anchors ``第…条(之…)`` are recognised at line start (indentation allowed); chapter / part /
-    section headings are lines of their own, removed from bodies and carried forward onto
-    the following articles.  Bodies are cleaned (T1) and kept when longer than ``min_body``;
+    Anchors ``第…条(之…)`` are recognised at line start (indentation allowed), or with ``anchor='anywhere'`` also inside a line, where
+    they may refer to another article; chapter / part / section headings are lines of their own, removed from bodies and carried
+    forward onto the following articles.  Bodies are cleaned (T1) and kept when longer than ``min_body``;
     the text before the first anchor becomes a preamble chunk (article '前言') when longer
     than ``min_preamble`` and not a table of contents.  Output columns: all input columns
     except the text, plus pos (0 = preamble), article, chapter, body, content, chunk_id.
     """
-    anchor_line = rf"(?m)^ *({ANCHOR}){WS_CLASS}*"
-    heading_line = rf"(?m)^ *({HEADING})"
+    if anchor not in ("line", "anywhere"):
+        raise ValueError(f"anchor is 'line' or 'anywhere', not {anchor!r}")
     keep = [c for c in files.columns if c != text_col]
     df = files.select(*keep, normalise_layout(F.col(text_col)).alias("_t"))
-    df = df.select(*keep, F.regexp_extract_all("_t", F.lit(anchor_line), 1).alias("_anchors"),
-                   F.split("_t", anchor_line).alias("_parts"))
-    # last heading inside each part (null when none), then carried forward to later articles;
-    # a part without '第' cannot hold a heading, so the regex runs only where one can occur
-    df = df.withColumn("_heads", F.transform("_parts", lambda p: F.when(F.instr(p, "第") > 0, F.try_element_at(
-        F.regexp_extract_all(p, F.lit(heading_line), 1), F.lit(-1)))))
-    # carry forward in O(articles x headings): the chapter of anchor i is the heading of the
-    # last heading-bearing part among parts 0..i (headings are few compared with articles)
-    df = df.withColumn("_hidx", F.filter(F.sequence(F.lit(0), F.size("_heads") - 1),
-                                         lambda j: F.element_at("_heads", j + 1).isNotNull()))
-    df = df.withColumn("_chap", F.transform("_anchors", lambda a, i: F.coalesce(F.element_at(
-        "_heads", F.try_element_at("_hidx", F.size(F.filter("_hidx", lambda h: h <= i))) + 1), F.lit(""))))
-    items = F.transform("_parts", lambda p, i: F.struct(
-        i.alias("pos"),
-        F.when(i == 0, F.lit(PREAMBLE_ARTICLE)).otherwise(F.element_at("_anchors", i)).alias("article"),
-        F.when(i == 0, F.lit("")).otherwise(F.element_at("_chap", i)).alias("chapter"),
+    df = df.select(*keep, _parts("_t", anchor).alias("_parts"))
+    items = F.transform("_parts", lambda p: F.struct(
+        p["pos"].alias("pos"), p["article"].alias("article"), p["chapter"].alias("chapter"),
         # cleaned inside the generator so that it is computed once (a filter on a projected
         # column would be pushed below the projection and evaluate the cleaning twice)
-        clean_text(F.when(F.instr(p, "第") > 0, F.regexp_replace(p, rf"(?m)^ *{HEADING}$", "")).otherwise(p))
-        .alias("body"),
-        p.alias("raw")))
+        clean_text(F.when(F.instr(p["raw"], "第") > 0, F.regexp_replace(p["raw"], rf"(?m)^ *{HEADING}$", "")).otherwise(p["raw"])).alias("body"),
+        p["raw"].alias("raw")))
     ex = df.select(*keep, F.explode(items).alias("it")).select(*keep, "it.*")
     is_pre = F.col("pos") == 0
     squeezed = F.regexp_replace(F.col("raw"), WS_CLASS + "+", "")

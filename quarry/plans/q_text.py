@@ -69,6 +69,19 @@ def q_segment_articles(spark, sf):
     return _seg(spark, sf).select("file_id", "pos", "article", "chapter", "content", "chunk_id")
 
 
+# references to an article inside the lines
+_REFERRING = "referring AS (SELECT file_id, domain_name, replace(text, '. ', '. 见第三条 ') AS text FROM files)"
+
+
+@register("segment_anywhere", S.with_(S.STATUTE_FILES, _REFERRING, *S.segment_ctes("referring", "anywhere"))
+          + "SELECT file_id, pos, article, chapter, content, chunk_id FROM seg")
+def q_segment_anywhere(spark, sf):
+    """T3 with anchors anywhere: references inside an article cut it, too."""
+    files = ad.statute_files(spark, sf).withColumn("text", F.replace("text", F.lit(". "), F.lit(". 见第三条 ")))
+    return G.segment_articles(files, anchor="anywhere").select("file_id", "pos", "article", "chapter", "content", "chunk_id")
+
+
+
 @register("carry_heading", _SEG + """
 SELECT file_id, chapter, CAST(count(*) AS BIGINT) AS n_articles, CAST(min(pos) AS BIGINT) AS first_pos
 FROM seg WHERE pos > 0 GROUP BY file_id, chapter""")

@@ -136,11 +136,11 @@ STATUTE_FILES = """files AS (
   FROM documents)"""
 
 
-def segment_ctes(src: str = "files") -> list[str]:
+def segment_ctes(src: str = "files", anchor: str = "line") -> list[str]:
     """T3-T7 twin: CTE ``seg`` (file_id, domain_name, pos, article, chapter, body, content, chunk_id)."""
     from quarry.functions.text import WS_CLASS
     from quarry.operators.segment import ANCHOR, HEADING
-    anchor_line = rf"(?m)^ *({ANCHOR}){WS_CLASS}*"
+    anchor_line = rf"(?m)^ *({ANCHOR}){WS_CLASS}*" if anchor == "line" else rf"({ANCHOR}){WS_CLASS}*"
     heading_line = rf"(?m)^ *({HEADING})"
     heading_strip = rf"(?m)^ *{HEADING}$"
     body = clean_sql(f"regexp_replace(p, {q(heading_strip)}, '', 'g')")

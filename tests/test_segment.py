@@ -49,3 +49,25 @@ def test_packing_properties(spark, sentences, limit):
     for p in parts:                                   # within the limit unless one sentence is longer
         assert len(p) <= limit or p.count("。") <= 1
     assert "".join(parts).replace(" ", "") == text.replace(" ", "")
+
+
+def test_anchors_anywhere_and_linear_time(spark):
+    import time
+
+    from quarry.operators import segment as G
+    body = "本条规定的内容应当足够长以便保留下来成为一条"
+    text = f"第一章 总则\n第一条 {body}见第二条{body}\n第二条 {body}\n第二章 分则\n第三条 {body}"
+    df = spark.createDataFrame([("d", text), ("e", None), ("f", "")], "domain_name string, text string")
+    line = G.segment_articles(df).orderBy("pos").collect()
+    assert [(r.article, r.chapter) for r in line] == [("第一条", "第一章 总则"), ("第二条", "第一章 总则"), ("第三条", "第二章 分则")]
+    some = G.segment_articles(df, anchor="anywhere").orderBy("pos").collect()
+    assert [(r.pos, r.article, r.chapter) for r in some] == [
+        (1, "第一条", "第一章 总则"), (2, "第二条", "第一章 总则"), (3, "第二条", "第一章 总则"), (4, "第三条", "第二章 分则")]
+    seconds = []
+    for n in (10_000, 100_000):      # one file; a heading for every tenth article
+        big = "\n".join(("第一章 总则\n" if k % 10 == 0 else "") + f"第{k}条 {body}" for k in range(n))
+        one = spark.createDataFrame([("d", big)], "domain_name string, text string")
+        began = time.time()
+        assert G.segment_articles(one).count() == n
+        seconds.append(time.time() - began)
+    assert seconds[1] < 30 * max(seconds[0], 0.3)
