@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SHORT = 128
-CACHE_BYTES = 24 << 20      # what a task remembers of words, and of chunks; beyond it the memory starts afresh
+CACHE_BYTES = 48 << 20      # what a task remembers of words, and of chunks; beyond it the memory starts afresh
 REMEMBERED = 64             # longer words and chunks are not remembered
 BATCH_TOKENS = 1 << 19      # a batch of results is passed on with as many tokens
 _ID, _NONE = (1 << 32) - 1, 1 << 63
@@ -140,8 +140,9 @@ class Codec:
         return [p for p, x in zip(parts, alive) if x]
 
     def encode_chunk(self, chunk: str) -> bytes:
-        """What stands between white space: no pre-token reaches over it."""
-        return b"".join([self.words[w] for w in self.find(chunk)])
+        """What stands between white space: no pre-token reaches over it.  A chunk that is one word is remembered once."""
+        found = self.find(chunk)
+        return self.encode_word(chunk) if found == [chunk] else b"".join([self.words[w] for w in found])
 
     # -- whole texts ------------------------------------------------------------------------------------------------
     def _normal(self, text: str) -> str:
