@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry import lexicon as L
@@ -11,7 +13,9 @@ from quarry.plans import sql_fragments as S
 from quarry.plans.catalog import register
 from quarry.plans.q_history import HISTORY_SQL
 from quarry.plans.q_text import MSG_PAIRS
+from quarry.session import scratch_path
 from quarry.streaming import answers as SA
+from quarry.streaming import event_time as ET
 from quarry.streaming import operators as W
 
 TTL_S = 2 * 86400.0     # driver TTL: two days (events span a month)
@@ -66,6 +70,38 @@ def q_dup_submit_stream(spark, sf):
     return r.select("event_id", "user_id", "is_duplicate")
 
 
+SLICES, LATE_S = 3, 86400      # micro-batches of a replay, and how late its rows are at most
+
+
+def _out_of_order(df, ts: str, key: str, id_col: str):
+    """A file stream of the rows in an order of arrival up to LATE_S after their event, by a hash; a closing row of key -1, a year
+    on, moves the watermark past all others.  Returns (stream, the watermark's delay)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"replay-{uuid.uuid4().hex}")
+    at = W.epoch_seconds(df, ts)
+    first, last = df.select(F.min(at), F.max(at)).first()
+    first, last = first or 0.0, last or 0.0
+    length = (last + LATE_S - first) / SLICES + 1
+    arrival = F.floor((at + F.pmod(F.xxhash64(key, id_col), F.lit(LATE_S)) - first) / length)
+    closing = spark.range(1).select(*[
+        (F.lit(-1) if c.name == key else F.lit(0) if c.name == id_col else F.timestamp_seconds(F.lit(last + 366 * 86400)) if c.name == ts
+         else F.lit(None)).cast(c.dataType).alias(c.name) for c in df.schema])
+    files = spark.sparkContext.defaultParallelism
+    for k in range(SLICES):
+        rows = df.where(arrival == k)
+        (rows.unionByName(closing) if k == SLICES - 1 else rows).repartition(files).write.mode("append").parquet(path)
+    return SA.file_stream(spark, path, df.schema, max_files_per_trigger=files), f"{int(length + LATE_S) + 1} seconds"
+
+
+@register("dup_submit_late", DUP_SQL)
+def q_dup_submit_late(spark, sf):
+    """W1 by event time, on events that come up to a day late: the flags are those of the batch form."""
+    stream, delay = _out_of_order(_events(spark, sf).select("event_id", "user_id", "ts", "message", "history_key"), "ts", "user_id",
+                                  "event_id")
+    r = ET.run_in_order(ET.duplicate_submits_in_order(stream, "user_id", "ts", "message", "history_key", "event_id", delay), "dup-late")
+    return r.select("event_id", "user_id", "is_duplicate")
+
+
 @register("ttl_reuse", _ttl_sql("user_id || '/' || event_type"))
 def q_ttl_reuse(spark, sf):
     """Per (user, event type) result reuse within the TTL of when it was computed."""
@@ -90,6 +126,16 @@ def q_stream_history(spark, sf):
     return h.select("conv_id", "pair_no", "n_history", "history_text")
 
 
+@register("stream_history_late", S.with_(MSG_PAIRS) + HISTORY_SQL)
+def q_stream_history_late(spark, sf):
+    """W3 by event time, on messages (an hour between turns) that come up to a day late."""
+    conv = ad.table(spark, sf, "conversations")
+    conv = conv.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn") * 3600 + F.col("conv_id") % 3600))
+    stream, delay = _out_of_order(conv, "ts", "conv_id", "turn")
+    h = ET.run_in_order(ET.history_in_order(stream, "conv_id", "ts", delay=delay), "history-late")
+    return h.select("conv_id", "pair_no", "n_history", "history_text")
+
+
 @register("stream_answers", QA._STREAM_SQL)
 def q_stream_answers(spark, sf):
     """Benchmark questions arriving as a stream, answered per micro-batch."""

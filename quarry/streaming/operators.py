@@ -51,6 +51,17 @@ def _submit(message: str, history: str) -> F.Column:
         F.col(message).alias("m"), F.col(history).isNull().alias("none"), F.coalesce(F.col(history).cast("string"), F.lit("")).alias("h")))
 
 
+NO_SUBMIT = (None, None)
+
+
+def guard(last: tuple, message, history) -> tuple[tuple, bool]:
+    """W1 for one submit: (what is remembered after it, whether it repeats the one before)."""
+    if message is None or not str(message).strip():
+        return last, False
+    submit = (message, "null" if history is None or history != history else f"={history}")
+    return submit, submit == tuple(last)
+
+
 def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str, history: str,
                              id_col: str) -> DataFrame:
     """W1 stream: state = the session's last (message, history)."""
@@ -61,18 +72,14 @@ def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str,
     state_schema = T.StructType([T.StructField("message", T.StringType()), T.StructField("history", T.StringType())])
 
     def step(k, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last_m, last_h = state.get if state.exists else (None, None)
+        last = state.get if state.exists else NO_SUBMIT
         for pdf in in_order(batches, [ts, id_col]):
             flags = []
             for m, h in zip(pdf[message].tolist(), pdf[history].tolist()):
-                h = "null" if h is None or h != h else f"={h}"
-                if m is None or not str(m).strip():
-                    flags.append(False)
-                    continue
-                flags.append(m == last_m and h == last_h)
-                last_m, last_h = m, h
+                last, dup = guard(last, m, h)
+                flags.append(dup)
             yield pd.DataFrame({key: [k[0]] * len(pdf), id_col: pdf[id_col].tolist(), "is_duplicate": flags})
-        state.update((last_m, last_h))
+        state.update(last)
 
     return stream.groupBy(key).applyInPandasWithState(step, out, state_schema, "append", "NoTimeout")
 
@@ -152,6 +159,33 @@ def ttl_reuse_stream(stream: DataFrame, key: str, ts: str, id_col: str,
 
 
 # ---- W3: per-session history on a message stream ------------------------------------------------
+NO_PAIRS = (None, 0, [], [])
+PAIRS_STATE = "pending string, n bigint, users array<string>, answers array<string>"
+
+
+def render_history(users: list, answers: list, text_turns: int = params.HISTORY_TEXT_TURNS) -> str:
+    """A4's text of a list of pairs."""
+    from quarry.operators.answer import ASSISTANT_LABEL, NO_HISTORY, USER_LABEL
+    if not users:
+        return NO_HISTORY
+    lines = []
+    for u, a in list(zip(users, answers))[-text_turns:]:
+        lines += [f"{USER_LABEL}{(u or '')[:params.HISTORY_USER_CHARS]}...", f"{ASSISTANT_LABEL}{(a or '')[:params.HISTORY_ASSISTANT_CHARS]}..."]
+    return "\n".join(lines)
+
+
+def pair_up(carry: tuple, role, text, max_turns: int, text_turns: int) -> tuple[tuple, tuple | None]:
+    """W3 for one message: (carry after it, the finished pair's (pair_no, n_history, history_text) or None)."""
+    pending, n, users, answers = carry
+    if role == "user":
+        return (text, int(n), list(users), list(answers)), None
+    if role not in ("assistant", "ai", "bot") or pending is None:
+        return carry, None
+    users, answers = list(users), list(answers)
+    pair = (int(n) + 1, len(users), render_history(users, answers, text_turns))
+    return (None, int(n) + 1, (users + [pending])[-max_turns:], (answers + [text])[-max_turns:]), pair
+
+
 def history_stream(messages: DataFrame, key: str = "conv_id", order: str = "turn",
                    max_turns: int = params.MAX_HISTORY_TURNS, text_turns: int = params.HISTORY_TEXT_TURNS
                    ) -> DataFrame:
@@ -159,43 +193,22 @@ def history_stream(messages: DataFrame, key: str = "conv_id", order: str = "turn
     turn answered by the next assistant turn) and every new pair sees the session's previous
     pairs (at most ``max_turns`` kept in state) rendered as in A4.
     Output: key, pair_no, turn, n_history, history_text."""
-    from quarry.operators.answer import ASSISTANT_LABEL, NO_HISTORY, USER_LABEL
     key_type = messages.schema[key].dataType
     out = T.StructType([T.StructField(key, key_type), T.StructField("pair_no", T.LongType()),
                         T.StructField(order, T.LongType()), T.StructField("n_history", T.LongType()),
                         T.StructField("history_text", T.StringType())])
-    state_schema = T.StructType([T.StructField("pending", T.StringType()), T.StructField("n", T.LongType()),
-                                 T.StructField("users", T.ArrayType(T.StringType())),
-                                 T.StructField("answers", T.ArrayType(T.StringType()))])
-
-    def render(users, answers):
-        if not users:
-            return NO_HISTORY
-        lines = []
-        for hu, ha in zip(users, answers):
-            lines.append(f"{USER_LABEL}{hu[:params.HISTORY_USER_CHARS]}...")
-            lines.append(f"{ASSISTANT_LABEL}{ha[:params.HISTORY_ASSISTANT_CHARS]}...")
-        return "\n".join(lines[-2 * text_turns:])
+    state_schema = PAIRS_STATE
 
     def step(k, batches, state):
-        if state.exists:
-            pending, n, users, answers = state.get
-            users, answers, n = list(users), list(answers), int(n)
-        else:
-            pending, n, users, answers = None, 0, [], []
+        carry = state.get if state.exists else NO_PAIRS
         for pdf in in_order(batches, [order]):
             rows = []
             for t, role, text in zip(pdf[order].tolist(), pdf["role"].tolist(), pdf["text"].tolist()):
-                if role == "user":
-                    pending = text
-                elif role in ("assistant", "ai", "bot") and pending is not None:
-                    n += 1
-                    rows.append((k[0], n, int(t), len(users[-max_turns:]), render(users[-max_turns:],
-                                                                                   answers[-max_turns:])))
-                    users, answers = (users + [pending])[-max_turns:], (answers + [text])[-max_turns:]
-                    pending = None
+                carry, pair = pair_up(carry, role, text, max_turns, text_turns)
+                if pair:
+                    rows.append((k[0], pair[0], int(t), *pair[1:]))
             yield pd.DataFrame(rows, columns=[key, "pair_no", order, "n_history", "history_text"])
-        state.update((pending, n, users, answers))
+        state.update(carry)
 
     return messages.groupBy(key).applyInPandasWithState(step, out, state_schema, "append", "NoTimeout")
 
