@@ -63,12 +63,8 @@ class InOrder(StatefulProcessor):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         held = sorted((tuple(r) for r in self.held.get()), key=lambda r: r[:2])
         due = [r for r in held if r[0] <= passed]
+        later = held[len(due):]
         last = self.last.get()[0] if self.last.exists() else None
-        if not due:
-            if not held and (last is None or last + self.idle_us <= passed):
-                self.last.clear()
-                self.carry.clear()
-            return
         carry = tuple(self.carry.get()) if self.carry.exists() else self.start
         out = []
         for us, order, *values in due:
@@ -78,15 +74,18 @@ class InOrder(StatefulProcessor):
             carry, result = self.step(carry, *values)
             if result is not None:
                 out.append((key[0], order, *result))
-        self.carry.update(carry)
-        self.last.update((last,))
-        later = held[len(due):]
-        if later:
+        if due and later:
             self.held.put(later)
             self.handle.registerTimer(_ceil_ms(later[0][0]))
-        else:
+        elif due:
             self.held.clear()
-        self.handle.registerTimer(_ceil_ms(last + self.idle_us))
+        if last is not None and last + self.idle_us <= passed:      # whatever comes now comes after the pause
+            self.last.clear()
+            self.carry.clear()
+        elif due:
+            self.last.update((last,))
+            self.carry.update(carry)
+            self.handle.registerTimer(_ceil_ms(last + self.idle_us))
         if out:
             yield pd.DataFrame(out, columns=self.out_columns)
 
