@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import cut
 from quarry.operators import answer as A
+from quarry.operators import history as Y
 from quarry.operators import retrieve as R
 from quarry.plans import adapters as ad
 from quarry.plans import q_answer as QA
@@ -16,7 +17,7 @@ from quarry.plans.q_text import MSG_PAIRS
 
 
 def _pairs(spark, sf):
-    return A.message_pairs(ad.table(spark, sf, "conversations"))
+    return Y.message_pairs_split(ad.table(spark, sf, "conversations"))
 
 
 @register("message_pairs", S.with_(MSG_PAIRS) + 'SELECT conv_id, turn, pair_no, "user", assistant FROM pairs')
@@ -47,7 +48,7 @@ FROM (
 
 @register("history_window", S.with_(MSG_PAIRS) + HISTORY_SQL)
 def q_history_window(spark, sf):
-    h = A.history_window(_pairs(spark, sf))
+    h = Y.history_window_split(_pairs(spark, sf))
     return h.select("conv_id", "pair_no", "n_history", "history_text")
 
 
@@ -58,7 +59,7 @@ LEFT JOIN (SELECT conv_id, max(turn) AS r FROM conversations WHERE role = 'syste
 WHERE s.r IS NULL OR c.turn > s.r""")
 def q_history_reset(spark, sf):
     """A10: a 'system' message acts as a reset; only the turns after the last one remain."""
-    return A.history_after_reset(ad.table(spark, sf, "conversations")).select("conv_id", "turn", "role")
+    return Y.history_after_reset_split(ad.table(spark, sf, "conversations")).select("conv_id", "turn", "role")
 
 
 @register("citation_markdown", S.with_(*QA._PREFIX, *QA._M16, *QA._M8, *QA._POLICY) + f"""
