@@ -21,6 +21,7 @@ from quarry.operators import models as M
 from quarry.operators import rank as K
 from quarry.operators import retrieve as R
 from quarry.operators.scope import combine_scope, expand_queries, refusal, scope_gate, scope_verdict
+from quarry.streaming.session_history import generate_in_sessions
 
 POOL_K = 16          # the reference retrieves 2 x RETRIEVAL_TOP_K before reranking
 ANSWER_CHARS = 300   # extractive answer length
@@ -60,7 +61,8 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
                     verdicts: DataFrame | None = None, check_lexicon: H.CheckLexicon = H.DEFAULT,
                     cached: list | None = None, scope_replies: DataFrame | None = None, expansions=None, templates=(),
                     embed_fn=None, generate_fn=None, prompt_template: str = A.PROMPT_TEMPLATE,
-                    history: DataFrame | None = None, structured: bool = False, stream_policy: bool = False) -> DataFrame:
+                    history: DataFrame | None = None, structured: bool = False, stream_policy: bool = False,
+                    sessions: DataFrame | None = None, past: DataFrame | None = None) -> DataFrame:
     """One row per question: qid, status, detected_domain, n_docs, doc_ids, confidence,
     is_uncertain, answer, citations; with ``structured`` also citation_list, an array of
     (pos, source, doc_type, content, relevance_score).
@@ -72,6 +74,10 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     answer is the first excerpt.  ``stream_policy``: the judge sees all candidates up to its limit, the relevant ones of its
     best eight are kept, and retrieval is not redone when they are few (K3, stream variant).
 
+    With ``sessions`` (qid, session, ord) the questions of a session are answered in order: a prompt holds the session's ``past``
+    turns (session, batch_id, ord, qid, question, answer) and the answers given before it in this table, refusals included.  The rows
+    then have a column said, the answer without warning, which is what later prompts hold (W3).
+
     Answered questions that the check policy (K9) marks as risky get a hallucination check:
     the model verdict from ``verdicts`` (qid, reply) when given, else the local heuristic
     check (what the reference falls back to without a model); medium/high risk appends the
@@ -111,14 +117,24 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
     ids = F.coalesce(F.array_join(F.transform("_l", lambda s: s["id"]), ","), F.lit(""))
     # K9 -> H1/H2 -> H3 on answered questions
     excerpt = F.col("_l")[0]["excerpt"]
+    def answer_of(text):
+        return (F.when(oos, refusal("detected_domain", refusal_template)).when(low, F.lit(low_relevance_answer))
+                .when(n == 0, F.lit(uncertain_answer)).otherwise(text))
+
     if generate_fn is not None:
         ask = out.where(answered & (n > 0)).select("qid").join(gated.select("qid", "question"), "qid").join(A.context_block(docs), "qid")
-        past = F.lit(A.NO_HISTORY)
-        if history is not None:
-            ask = ask.join(history.select("qid", "history_text"), "qid", "left")
-            past = F.coalesce("history_text", past)
-        ask = ask.select("qid", A.prompt("context", "question", past, prompt_template).alias("_prompt"))
-        out = out.join(M.generate(ask, "_prompt", generate_fn, out_col="_generated").select("qid", "_generated"), "qid", "left")
+        if sessions is not None:
+            turns = out.select("qid", answer_of(F.lit(None)).alias("answer")).join(gated.select("qid", "question"), "qid") \
+                .join(ask.select("qid", "context"), "qid", "left").join(sessions.select("qid", "session", "ord"), "qid")
+            generated = generate_in_sessions(turns, past, generate_fn, prompt_template).select("qid", F.col("answer").alias("_generated"))
+        else:
+            told = F.lit(A.NO_HISTORY)
+            if history is not None:
+                ask = ask.join(history.select("qid", "history_text"), "qid", "left")
+                told = F.coalesce("history_text", told)
+            ask = ask.select("qid", A.prompt("context", "question", told, prompt_template).alias("_prompt"))
+            generated = M.generate(ask, "_prompt", generate_fn, out_col="_generated").select("qid", "_generated")
+        out = out.join(generated, "qid", "left")
         excerpt = F.col("_generated")
     context = F.array_join(F.transform(F.slice("_l", 1, params.CONTEXT_DOCS_LOCAL), lambda s: s["ctx"]), " ")
     policy = K.check_policy(oos, n, low)
@@ -138,9 +154,9 @@ def answer_pipeline(questions: DataFrame, corpus: DataFrame, judge: DataFrame |
         F.when(oos, F.lit(params.OUT_OF_SCOPE_CONFIDENCE)).when(low, F.lit(params.LOW_RELEVANCE_CONFIDENCE))
         .otherwise(conf).alias("confidence"),
         F.when(oos | low, F.lit(True)).otherwise(K.is_uncertain(conf, n, confidence_threshold)).alias("is_uncertain"),
-        F.when(oos, refusal("detected_domain", refusal_template)).when(low, F.lit(low_relevance_answer))
-        .when(n == 0, F.lit(uncertain_answer)).otherwise(checked).alias("answer"),
+        answer_of(checked).alias("answer"),
         F.when(answered, F.array_join(F.transform("_l", lambda s: s["label"]), " | ")).otherwise(F.lit(""))
         .alias("citations"),
         *([F.when(answered, F.col("citation_list")).alias("citation_list")] if structured else []),
+        *([answer_of(excerpt).alias("said")] if sessions is not None else []),
     )

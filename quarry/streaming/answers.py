@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.pipeline import answer_pipeline
 from quarry.session import scratch_path
+from quarry.streaming.session_history import Turns
 
 
 def file_stream(spark: SparkSession, directory: str, schema, glob: str = "*.parquet",
@@ -37,18 +38,37 @@ def run_available(stream: DataFrame, name: str, output_mode: str = "append") ->
     return spark.read.parquet(sink)
 
 
+def answer_batch(batch: DataFrame, batch_id: int, corpus: DataFrame, judge: DataFrame | None, sink: str, turns: Turns | None = None,
+                 session: str | None = None, order: str = "qid", **pipeline_kw) -> None:
+    """One micro-batch of the answer stream; running it again replaces what it wrote, and reads the same history."""
+    path = f"{sink}/batch_id={batch_id}"
+    if session is None:
+        answer_pipeline(batch, corpus, judge, stream_policy=True, **pipeline_kw).withColumn("batch_id", F.lit(batch_id)) \
+            .write.mode("overwrite").parquet(path)
+        return
+    asked = batch.select("qid", F.col(session).cast("string").alias("session"), F.col(order).cast("bigint").alias("ord"), "question")
+    answer_pipeline(batch, corpus, judge, stream_policy=True, sessions=asked, past=turns.before(batch_id), **pipeline_kw) \
+        .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(path)
+    said = batch.sparkSession.read.parquet(path).select("qid", F.col("said").alias("answer"))
+    turns.write(batch_id, asked.join(said, "qid"))
+
+
 def answer_stream(questions: DataFrame, corpus: DataFrame, judge: DataFrame | None, name: str = "answers",
-                  **pipeline_kw) -> DataFrame:
-    """Answer every arriving question; returns the sink table (with ``batch_id``)."""
+                  session: str | None = None, order: str = "qid", **pipeline_kw) -> DataFrame:
+    """Answer every arriving question; returns the sink table (with ``batch_id``).
+
+    With ``session``, a column of the questions, a prompt holds the session's earlier turns: those of earlier micro-batches and, by
+    ``order``, of its own (W3); the table then has said, what later prompts hold of an answer."""
     spark = questions.sparkSession
     run = f"{name}-{uuid.uuid4().hex}"
     sink, ckpt = scratch_path(spark, f"{run}/data"), scratch_path(spark, f"{run}/checkpoint")
 
+    turns = Turns(spark, scratch_path(spark, f"{run}/history")) if session else None
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         cached: list = []
         try:
-            out = answer_pipeline(batch, corpus, judge, cached=cached, stream_policy=True, **pipeline_kw).withColumn("batch_id", F.lit(batch_id))
-            out.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            answer_batch(batch, batch_id, corpus, judge, sink, turns, session, order, cached=cached, **pipeline_kw)
         finally:
             for table in cached:
                 table.unpersist()
