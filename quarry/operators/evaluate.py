@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.numerals import numbers_before
 from quarry.functions.text import col_, lit_array
 
 
@@ -18,6 +19,7 @@ class EvalLexicon:
     refusals: tuple = ("无法回答", "无法准确", "无法找到")
     penalties: tuple = ("死刑", "无期徒刑", "有期徒刑", "拘役", "管制", "罚金", "没收")
     number_pattern: str = r"(\d+)年"
+    numeral_marker: str = "年"
     article_marker: str = "条"
     concepts: tuple = ("定义", "规定", "是指", "处", "处罚", "刑事责任")
     source_keywords: tuple = (("statute", ("刑法", "statute", "法条", "条")), ("case", ("cail", "案例", "case", "司法")))
@@ -30,14 +32,16 @@ DEFAULT = EvalLexicon()
 BRACKETS = "（）【】()"
 
 
-def correctness(pred, truth, category, lex: EvalLexicon = DEFAULT) -> F.Column:
-    """E1."""
+def correctness(pred, truth, category, lex: EvalLexicon = DEFAULT, numerals: bool = False) -> F.Column:
+    """E1.  With ``numerals``, numbers of years in Chinese numerals count beside those in digits."""
     p, t = F.coalesce(col_(pred), F.lit("")), F.coalesce(col_(truth), F.lit(""))
     any_in = lambda words, s: F.exists(lit_array(list(words)), lambda w: F.instr(s, w) > 0)
     gt_pen = F.filter(lit_array(list(lex.penalties)), lambda w: F.instr(t, w) > 0)
     pr_pen = F.filter(lit_array(list(lex.penalties)), lambda w: F.instr(p, w) > 0)
     gt_num = F.regexp_extract_all(t, F.lit(lex.number_pattern), 1)
     pr_num = F.regexp_extract_all(p, F.lit(lex.number_pattern), 1)
+    if numerals:
+        gt_num, pr_num = (F.concat(found, numbers_before(text, lex.numeral_marker)) for found, text in ((gt_num, t), (pr_num, p)))
     pen_bad = (F.size(gt_pen) > 0) & (F.size(F.array_intersect(gt_pen, pr_pen)) / F.size(gt_pen) < 0.5)
     num_bad = (F.size(gt_num) > 0) & (F.size(F.array_intersect(gt_num, pr_num)) / F.size(gt_num) < 0.5)
     concept_bad = (F.instr(t, lex.article_marker) > 0) & any_in(lex.concepts, t) & ~any_in(lex.concepts, p)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.numerals import numeral_text, numeral_value
 from quarry.operators import checks as H
 from quarry.operators import evaluate as E
 from quarry.plans import adapters as ad
@@ -362,3 +363,23 @@ def q_eval_system(spark, sf):
                         scope_groups=QA.GROUPS, rerank_words=QA.WORDS, min_relevance=QA.MIN_REL)
     return s.select("qid", "category", "is_correct", "has_hallucination", *[F.round(c, 6).alias(c) for c in (
         "citation_precision", "citation_recall", "citation_f1", "relevance_score", "confidence")])
+
+
+@register("eval_numerals", """
+SELECT doc_id, CASE WHEN n = 0 THEN '零' ELSE regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+         substr('零一二三四五六七八九', CAST(n // 1000 + 1 AS INT), 1) || '千' || substr('零一二三四五六七八九', CAST(n // 100 % 10 + 1 AS INT), 1) || '百'
+         || substr('零一二三四五六七八九', CAST(n // 10 % 10 + 1 AS INT), 1) || '十' || substr('零一二三四五六七八九', CAST(n % 10 + 1 AS INT), 1),
+         '(零[千百十]?)+', '零', 'g'), '^零', ''), '零$', ''), '^一十', '十') END AS numeral,
+       n AS years, doc_id % 3 <> 0 AS is_correct, true AS is_correct_digits_only
+FROM (SELECT doc_id, CAST((n_chars * 7 + doc_id) % 10000 AS BIGINT) AS n FROM documents)""")
+def q_eval_numerals(spark, sf):
+    """E1 with Chinese numerals: a number of years per document, written out in the truth and in digits in the answer; every third
+    answer is a year off, which digits alone can't show."""
+    n = F.pmod(F.col("n_chars") * 7 + F.col("doc_id"), F.lit(10000)).cast("bigint")
+    d = ad.table(spark, sf, "documents").select("doc_id", n.alias("n")).withColumn("numeral", numeral_text("n"))
+    said = F.when(F.col("doc_id") % 3 == 0, F.col("n") + 1).otherwise(F.col("n")).cast("string")
+    truth, pred = (F.concat(F.lit("处"), c, F.lit("年有期徒刑")) for c in (F.col("numeral"), said))
+    category = F.lit("criminal_law")
+    return d.select("doc_id", "numeral", numeral_value("numeral").alias("years"),
+                    E.correctness(pred, truth, category, numerals=True).alias("is_correct"),
+                    E.correctness(pred, truth, category).alias("is_correct_digits_only"))
