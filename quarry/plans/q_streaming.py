@@ -64,7 +64,7 @@ def q_dup_submit(spark, sf):
 
 @register("dup_submit_stream", DUP_SQL)
 def q_dup_submit_stream(spark, sf):
-    s = _submits(SA.file_stream(spark, sf, ad.table(spark, sf, "events").schema, "events.parquet"))
+    s = _submits(SA.table_stream(spark, sf, "events"))
     r = SA.run_available(W.duplicate_submits_stream(s, "user_id", "ts", "message", "history_key", "event_id"),
                          "dup-submit")
     return r.select("event_id", "user_id", "is_duplicate")
@@ -111,7 +111,7 @@ def q_ttl_reuse(spark, sf):
 
 @register("ttl_reuse_stream", _ttl_sql("CAST(user_id AS VARCHAR) || '/' || event_type"))
 def q_ttl_reuse_stream(spark, sf):
-    s = SA.file_stream(spark, sf, ad.table(spark, sf, "events").schema, "events.parquet") \
+    s = SA.table_stream(spark, sf, "events") \
         .withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "event_type"))
     r = SA.run_available(W.ttl_reuse_stream(s, "key", "ts", "event_id", TTL_S), "ttl-reuse")
     return r.select("event_id", "hit", F.round("computed_at", 6).alias("computed_at"))
@@ -121,7 +121,7 @@ def q_ttl_reuse_stream(spark, sf):
 def q_stream_history(spark, sf):
     """Conversation messages arriving as a stream; each new (user, assistant) pair sees its
     session's last turns (same result as the batch ``history_window``)."""
-    conv = SA.file_stream(spark, sf, ad.table(spark, sf, "conversations").schema, "conversations.parquet")
+    conv = SA.table_stream(spark, sf, "conversations")
     h = SA.run_available(W.history_stream(conv), "history")
     return h.select("conv_id", "pair_no", "n_history", "history_text")
 
@@ -139,7 +139,7 @@ def q_stream_history_late(spark, sf):
 @register("stream_answers", QA._STREAM_SQL)
 def q_stream_answers(spark, sf):
     """Benchmark questions arriving as a stream, answered per micro-batch."""
-    b = SA.file_stream(spark, sf, ad.table(spark, sf, "benchmark").schema, "benchmark.parquet")
+    b = SA.table_stream(spark, sf, "benchmark")
     e = ad.table(spark, sf, "embeddings").select("vec_id", "embedding")
     qs = b.join(e, b.item_id == e.vec_id).select(F.col("item_id").alias("qid"), F.col("text").alias("question"),
                                                    F.col("embedding").alias("qvec"))

@@ -26,6 +26,14 @@ def file_stream(spark: SparkSession, directory: str, schema, glob: str = "*.parq
             .option("pathGlobFilter", glob).parquet(directory))
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A stream of the table ``name`` of ``sf_dir``, be it one Parquet file or a folder of files.  All its files come in one
+    micro-batch: in a folder the files' times say nothing of the order of their rows.  The path is a glob since the source
+    takes a plain one for a folder."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")
+
+
 def run_available(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Run a streaming query over everything available, into a Parquet table in the shared
     scratch folder, and return that table."""

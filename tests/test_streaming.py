@@ -105,3 +105,19 @@ def test_rows_of_a_key_are_sorted_across_arrow_batches():
     parts = [pd.DataFrame({"t": t, "id": t}) for t in ([5, 4], [], [3, 1], [2])]
     assert [p["t"].tolist() for p in in_order(iter(parts), ["t", "id"])] == [[1, 2, 3, 4, 5]]
     assert list(in_order(iter([]), ["t"])) == []
+
+
+def test_tables_that_are_folders_are_streamed_whole(spark):
+    from quarry.plans.q_streaming import q_stream_history
+    d = tempfile.mkdtemp(prefix="quarry-test-folder-")
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in range(6) for t in range(8)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.repartition(5).write.parquet(f"{d}/folder/conversations.parquet")     # a conversation's turns lie in several files, in any order
+    df.coalesce(1).write.parquet(f"{d}/parts")
+    os.makedirs(f"{d}/file")
+    part = next(f for f in os.listdir(f"{d}/parts") if f.endswith(".parquet"))
+    os.link(f"{d}/parts/{part}", f"{d}/file/conversations.parquet")
+    want = {(r.conv_id, r.pair_no): (r.n_history, r.history_text) for r in history_window(message_pairs(df)).collect()}
+    for kind in ("folder", "file"):
+        got = q_stream_history(spark, f"{d}/{kind}").collect()
+        assert len(got) == len(want) and {(r.conv_id, r.pair_no): (r.n_history, r.history_text) for r in got} == want
