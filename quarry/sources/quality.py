@@ -80,6 +80,7 @@ def with_retrieval_key(chunks: DataFrame, id_col: str = "chunk_id", content_col:
     """Adds a key that tells colliding contents apart: the id, and behind a colliding one a dash and 12 hex digits of the content's md5.
     De-duplication by it drops copies and keeps every text."""
     collided = id_collisions(chunks, id_col, content_col).select(F.col(id_col).alias("_id"), F.lit(True).alias("_hit"))
-    suffix = F.concat(F.lit("-"), F.substring(F.md5(F.coalesce(content_col, F.lit(""))), 1, 12))
-    tagged = chunks.join(collided, chunks[id_col] == collided["_id"], "left")
-    return tagged.withColumn(key, F.concat(id_col, F.when(F.col("_hit"), suffix).otherwise(F.lit("")))).drop("_id", "_hit")
+    # before the join, so that contents nobody asks for aren't shuffled
+    rows = chunks.withColumn("_suffix", F.concat(F.lit("-"), F.substring(F.md5(F.coalesce(content_col, F.lit(""))), 1, 12)))
+    tagged = rows.join(collided, rows[id_col] == collided["_id"], "left")
+    return tagged.withColumn(key, F.concat(id_col, F.when(F.col("_hit"), F.col("_suffix")).otherwise(F.lit("")))).drop("_id", "_hit", "_suffix")

@@ -97,3 +97,25 @@ def test_a_folder_without_domains_is_one_collection(spark, tmp_path):
     assert set(index.columns) == {"doc_id", "content", "embedding", "domain", "type"} and index.where("domain IS NULL AND type IS NULL").count() == 2
     asked = spark.createDataFrame([(9, [1.0, 0.1])], "qid long, qvec array<double>")
     assert [r.doc_id for r in R.search_written(spark, str(tmp_path / "one"), asked, 2).orderBy("rk").collect()] == [1, 2]
+
+
+def test_the_head_of_a_cleaned_text_is_that_of_the_whole(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.text import clean_head, clean_text
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab é字\U0001f600 \t\n\x00\x1c．　") for _ in range(r.choice([0, 5, 30, 39, 40, 41, 80, 400]))) for _ in range(400)]
+    texts += [None, " " * 200 + "a" * 20, "a" * 9 + " " * 300 + "b", "\x01" * 100 + "abc" * 10, "a" * 10 + " " * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~F.col("t").isNull() & (clean_head("t", 10) != F.substring(clean_text("t"), 1, 10))).count() == 0
+    assert df.where("t IS NULL").select(clean_head("t", 10)).first()[0] == ""
+
+
+def test_a_retrieval_key_shuffles_no_text(spark):
+    from quarry.sources.quality import with_retrieval_key
+    df = spark.createDataFrame([("a", "x" * 300), ("a", "y" * 300), ("b", "z")], "chunk_id string, content string")
+    keyed = with_retrieval_key(df, "chunk_id", "content").select("chunk_id", "retrieval_key").hint("merge")
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("LogicalRDD")] if "LogicalRDD" in plan else plan
+    joins = above[:above.index("Join")]
+    assert "content" not in joins and len({r.retrieval_key for r in keyed.collect()}) == 3
