@@ -71,3 +71,17 @@ def test_anchors_anywhere_and_linear_time(spark):
         assert G.segment_articles(one).count() == n
         seconds.append(time.time() - began)
     assert seconds[1] < 30 * max(seconds[0], 0.3)
+
+
+def test_parts_leave_in_bounded_batches(spark, monkeypatch):
+    """The parts of many texts never stand in one batch: what a task holds grows with a bound, not with the texts."""
+    import pyarrow as pa
+    monkeypatch.setattr(G, "BATCH_CHARS", 2000)
+    text = "\n".join(f"第{i}条 " + f"内容{i}" * 10 for i in range(1, 21))
+    texts = [None if k % 10 == 3 else text for k in range(40)]
+    batch = pa.RecordBatch.from_pydict({"file_id": list(range(40)), "text": texts})
+    out = list(G._cutter(["file_id"], "line")(iter([batch, batch.slice(0, 0)])))
+    assert sum(b.num_rows for b in out) == 36 * 21 and max(b.num_rows for b in out) == 21
+    df = spark.createDataFrame([(k, "法", t) for k, t in enumerate(texts)], "file_id long, domain_name string, text string")
+    got = G.segment_articles(df).groupBy("file_id").agg({"pos": "min", "article": "count"}).collect()
+    assert len(got) == 36 and {(r["count(article)"], r["min(pos)"]) for r in got} == {(20, 1)}
