@@ -71,9 +71,12 @@ def _row_bytes(df: DataFrame) -> float:
 
 def attach(small: DataFrame, corpus: DataFrame, cols, on: str = "doc_id", est_rows: int | None = None) -> DataFrame:
     """Join corpus columns onto a candidate table.  The candidate side is broadcast only when ``est_rows``, its row count or
-    a bound on it, is within ``BROADCAST_ROWS`` and its columns are few and of bounded width; otherwise the planner shuffles."""
+    a bound on it, is within ``BROADCAST_ROWS`` and its columns are few and of bounded width; otherwise the planner shuffles.
+    A broadcast table is used twice, so ``small`` should be persisted: its keys go below the joins that make up the corpus, which then
+    shuffle the candidates' texts only."""
     right = corpus.select(on, *[c for c in cols if c != on])
     if est_rows is not None and est_rows <= BROADCAST_ROWS and _row_bytes(small) <= CANDIDATE_BYTES:
+        right = right.join(F.broadcast(small.select(on)), on, "left_semi")
         return right.join(F.broadcast(small), on, "inner")
     return small.join(right, on, "inner")
 

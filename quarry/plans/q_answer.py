@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quarry import lexicon as L
@@ -35,6 +36,14 @@ def _final(spark, sf):
     return P.retrieve_final(inq, c, ad.judge_scores(spark, sf), WORDS), c, q
 
 
+def cited(spark, sf, cols, inputs=None):
+    """The final documents of every question with columns of the corpus."""
+    q, c, inq = inputs or _inputs(spark, sf)
+    f, n = P.retrieve_final(inq, c, ad.judge_scores(spark, sf), WORDS, with_count=True)
+    f = f.persist(StorageLevel.MEMORY_AND_DISK)
+    return R.attach(f, c, cols, est_rows=n * params.RETRIEVAL_TOP_K)
+
+
 # ---- SQL: shared prefix ------------------------------------------------------------------
 _GATE = f"""gate AS (SELECT qid, question, qvec, {S.scope_case(GROUPS, 'question')} AS dd FROM questions)"""
 _INQ = "inq AS (SELECT qid, question, qvec FROM gate WHERE dd IS NULL)"
@@ -275,8 +284,7 @@ SELECT f.qid, CAST(f.pos AS BIGINT) AS pos, {_label('d')} AS source, f.type AS d
        {_cut('d.content', 200)} AS content, round(f.distance, 6) AS relevance_score
 FROM final f JOIN corpus d ON f.doc_id = d.doc_id""")
 def citations(spark, sf):
-    f, c, _ = _final(spark, sf)
-    docs = R.attach(f, c, ["content", "source", "article", "accusation"])
+    docs = cited(spark, sf, ["content", "source", "article", "accusation"])
     cs = A.citations(docs).select("qid", F.explode("citations").alias("c"))
     return cs.select("qid", F.col("c.pos").cast("bigint").alias("pos"), F.col("c.source").alias("source"),
                      F.col("c.doc_type").alias("doc_type"), F.col("c.content").alias("content"),
@@ -290,8 +298,7 @@ SELECT f.qid, string_agg('[来源' || CAST(f.pos AS VARCHAR) || '] ' ||
    chr(10) || chr(10) ORDER BY f.pos) AS context
 FROM final f JOIN corpus d ON f.doc_id = d.doc_id GROUP BY f.qid""")
 def context_block(spark, sf):
-    f, c, _ = _final(spark, sf)
-    docs = R.attach(f, c, ["content", "source", "article", "accusation"])
+    docs = cited(spark, sf, ["content", "source", "article", "accusation"])
     return A.context_block(docs)
 
 
@@ -300,6 +307,4 @@ SELECT f.qid, {_cut('d.content', P.ANSWER_CHARS)} AS answer
 FROM final f JOIN corpus d ON f.doc_id = d.doc_id WHERE f.pos = 1""")
 def answers_extractive(spark, sf):
     """M4 default generator: the answer is the top-ranked document's excerpt."""
-    f, c, _ = _final(spark, sf)
-    docs = R.attach(f.where(F.col("pos") == 1), c, ["content"])
-    return docs.select("qid", cut("content", P.ANSWER_CHARS).alias("answer"))
+    return cited(spark, sf, ["content"]).where(F.col("pos") == 1).select("qid", cut("content", P.ANSWER_CHARS).alias("answer"))

@@ -111,8 +111,7 @@ def q_prompt_text(spark, sf):
     """A3: the prompt from the context block, the question and the history text (a fresh
     session per question: no history)."""
     q, c, inq = QA._inputs(spark, sf)
-    f = QA.P.retrieve_final(inq, c, ad.judge_scores(spark, sf), QA.WORDS)
-    ctx = A.context_block(R.attach(f, c, ["content", "source", "article", "accusation"]))
+    ctx = A.context_block(QA.cited(spark, sf, ["content", "source", "article", "accusation"], (q, c, inq)))
     j = inq.select("qid", "question").join(ctx, "qid")
     return j.select("qid", A.prompt(F.col("context"), F.col("question"), F.lit(A.NO_HISTORY), PROMPT).alias("prompt"))
 

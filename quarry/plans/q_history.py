@@ -72,8 +72,7 @@ SELECT f.qid, string_agg(
   AS markdown
 FROM final f JOIN corpus d ON f.doc_id = d.doc_id GROUP BY f.qid""")
 def q_citation_markdown(spark, sf):
-    f, c, _ = QA._final(spark, sf)
-    docs = R.attach(f, c, ["content", "source", "article", "accusation"])
+    docs = QA.cited(spark, sf, ["content", "source", "article", "accusation"])
     cites = docs.select("qid", "pos", A.source_label("source", "type", "article", "accusation").alias("source"),
                         F.col("type").alias("doc_type"), "accusation", F.lit("").alias("articles"), "article",
                         cut("content", 200).alias("content"))

@@ -119,3 +119,18 @@ def test_a_retrieval_key_shuffles_no_text(spark):
     above = plan[:plan.index("LogicalRDD")] if "LogicalRDD" in plan else plan
     joins = above[:above.index("Join")]
     assert "content" not in joins and len({r.retrieval_key for r in keyed.collect()}) == 3
+
+
+def test_attached_texts_are_filtered_below_the_joins_of_the_corpus(spark):
+    from quarry.operators import retrieve as R
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, content string")
+    labels = spark.createDataFrame([(i, "statute") for i in range(10)], "vec_id long, type string")
+    corpus = docs.join(labels, docs.doc_id % 10 == labels.vec_id).select("doc_id", "content", "type")
+    small = spark.createDataFrame([(1, 7), (2, 7), (2, 49), (3, 99)], "qid long, doc_id long")
+    got = R.attach(small, corpus, ["content"], est_rows=4)
+    assert sorted((r.qid, r.content) for r in got.collect()) == [(1, "text 7"), (2, "text 49"), (2, "text 7")]
+    lines = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = {kind: min(i for i, x in enumerate(lines) if f"Join {kind}" in x) for kind in ("Inner", "LeftSemi")}
+    semi = next(x for x in lines if "Join LeftSemi" in x)
+    inner = [x for x in lines if "Join Inner" in x]
+    assert len(inner) == 2 and semi.index("Join") > max(x.index("Join") for x in inner)
