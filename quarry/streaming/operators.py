@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,8 @@ def in_order(batches: Iterator[pd.DataFrame], by: list) -> Iterator[pd.DataFrame
     """A key's rows of one micro-batch, sorted as a whole: they may come in several Arrow batches."""
     parts = [pdf for pdf in batches if len(pdf)]
     if parts:
-        yield pd.concat(parts, ignore_index=True).sort_values(by, kind="stable")
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        yield pdf if len(pdf) == 1 else pdf.sort_values(by, kind="stable")
 
 
 # ---- W1: duplicate-submit guard -------------------------------------------------------------
@@ -70,6 +72,7 @@ def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str,
     out = T.StructType([T.StructField(key, key_type), T.StructField(id_col, id_type),
                         T.StructField("is_duplicate", T.BooleanType())])
     state_schema = T.StructType([T.StructField("message", T.StringType()), T.StructField("history", T.StringType())])
+    stream = stream.select(key, id_col, ts, message, history)       # each column of each key is converted by itself
 
     def step(k, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         last = state.get if state.exists else NO_SUBMIT
@@ -85,10 +88,9 @@ def duplicate_submits_stream(stream: DataFrame, key: str, ts: str, message: str,
 
 
 # ---- W2: result reuse with a TTL ---------------------------------------------------------------
-def _ttl_fold(times, ttl):
+def _ttl_fold(times, ttl, c=None):
     """Hits for sorted event times: a result computed at c serves every request at t with
-    t - c <= ttl; a miss recomputes (c = t).  A hit does not refresh c."""
-    c = None
+    t - c <= ttl; a miss recomputes (c = t).  A hit does not refresh c, the time before the first of them."""
     out = []
     for t in times:
         if c is not None and t - c <= ttl:
@@ -138,22 +140,20 @@ def ttl_reuse_stream(stream: DataFrame, key: str, ts: str, id_col: str,
     out = T.StructType([T.StructField(id_col, id_type), T.StructField("hit", T.BooleanType()),
                         T.StructField("computed_at", T.DoubleType())])
     state_schema = T.StructType([T.StructField("computed_at", T.DoubleType())])
-    s = stream.withColumn("_t", epoch_seconds(stream, ts))
+    # the least that a key's rows need: most keys have few, and each column of each key is converted by itself
+    s = stream.select(key, F.col(id_col).alias("_id"), epoch_seconds(stream, ts).alias("_t"))
 
     def step(k, batches, state):
         c = state.get[0] if state.exists else None
-        for pdf in in_order(batches, ["_t", id_col]):
-            hits, cs = [], []
-            for t in pdf["_t"].tolist():
-                if c is not None and t - c <= ttl_s:
-                    hits.append(True)
-                else:
-                    c = t
-                    hits.append(False)
-                cs.append(c)
-            yield pd.DataFrame({id_col: pdf[id_col].tolist(), "hit": hits, "computed_at": cs})
-        if c is not None:
+        parts = [(pdf["_t"].to_numpy(), pdf["_id"].to_numpy()) for pdf in batches if len(pdf)]
+        if parts:
+            times, ids = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
+            order = (pd.DataFrame({"t": times, "i": ids}).sort_values(["t", "i"], kind="stable").index.to_numpy()
+                     if ids.dtype == object else np.lexsort((ids, times)))
+            made = _ttl_fold(times[order].tolist(), ttl_s, c)
+            c = made[-1][1]
             state.update((c,))
+            yield pd.DataFrame({id_col: ids[order], "hit": [h for h, _ in made], "computed_at": [at for _, at in made]})
 
     return s.groupBy(key).applyInPandasWithState(step, out, state_schema, "append", "NoTimeout")
 

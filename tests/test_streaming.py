@@ -121,3 +121,16 @@ def test_tables_that_are_folders_are_streamed_whole(spark):
     for kind in ("folder", "file"):
         got = q_stream_history(spark, f"{d}/{kind}").collect()
         assert len(got) == len(want) and {(r.conv_id, r.pair_no): (r.n_history, r.history_text) for r in got} == want
+
+
+def test_ttl_stream_takes_only_the_columns_it_needs_and_ties_by_id(spark):
+    d = tempfile.mkdtemp(prefix="quarry-test-ttl-")
+    rows = [(9 - i, "a" if i % 3 else "b", 1000 + i // 2 * 50, "x" * 10) for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, k string, t long, other string").withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    df.repartition(3).write.parquet(f"{d}/t.parquet")
+    r = W.ttl_reuse_stream(SA.table_stream(spark, d, "t"), "k", "ts", "id", 60)
+    plan = r._jdf.queryExecution().analyzed().toString()
+    grouped = next(line for line in plan.split("\n") if "FlatMapGroupsInPandasWithState" in line)
+    assert "other" not in grouped
+    got = {x.id: (x.hit, x.computed_at) for x in SA.run_available(r, "t-ttl").collect()}
+    assert got == {x.id: (x.hit, x.computed_at) for x in W.ttl_reuse(df, ["k"], "ts", "id", 60).collect()}
